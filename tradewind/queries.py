@@ -19,7 +19,7 @@ from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
 from tradewind.session import shared_folder
 from tradewind.sources import testdata as td
-from tradewind.sources.landing import point_lookup, read_landing
+from tradewind.sources.landing import empty, point_lookup, read_landing
 from tradewind.streaming.orders_stream import run_orders_stream
 
 ORD = "ingest_ordinal"
@@ -36,10 +36,6 @@ def _by_arrival():
     return [F.col(ORD)]
 
 
-def _empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 # --- listings --------------------------------------------------------------
 
 
@@ -225,7 +221,7 @@ def _state_after(spark, sf, run, as_of, state=None):
     progress = upsert.seller_progress(
         orders.flatten_orders(td.raw_orders(spark, sf, run=run), keep=(ORD,)), ORD
     )
-    state = _empty(spark, schemas.ETL_STATE) if state is None else state
+    state = empty(spark, schemas.ETL_STATE) if state is None else state
     return upsert.upsert_state(state, progress, "completed", as_of)
 
 
@@ -278,14 +274,14 @@ def _item_run(spark, sf, run, as_of):
 
 def items_upsert(spark, sf):
     first = upsert.upsert_items(
-        _empty(spark, schemas.ITEMS), _item_run(spark, sf, 1, RUN_1), ORD, RUN_1
+        empty(spark, schemas.ITEMS), _item_run(spark, sf, 1, RUN_1), ORD, RUN_1
     )
     return upsert.upsert_items(first, _item_run(spark, sf, 2, RUN_2), ORD, RUN_2)
 
 
 def sellers_upsert(spark, sf):
     first = upsert.upsert_sellers(
-        _empty(spark, schemas.SELLERS), _item_run(spark, sf, 1, RUN_1), ORD
+        empty(spark, schemas.SELLERS), _item_run(spark, sf, 1, RUN_1), ORD
     )
     return upsert.upsert_sellers(first, _item_run(spark, sf, 2, RUN_2), ORD)
 

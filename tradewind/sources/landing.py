@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 ARRIVAL = "_arrival"
 
 
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows; the limit lets the optimizer drop joins with it before they run."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def _fmt(fmt: str) -> str:
     if fmt not in ("json", "parquet"):
         raise ValueError(f"landing format must be json or parquet, not {fmt!r}")

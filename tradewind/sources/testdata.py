@@ -175,7 +175,7 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_extendedprice").alias("price"),
             F.max("l_partkey").alias("partkey"),
             F.max("l_suppkey").alias("suppkey"),
-            F.max("l_linestatus").alias("linestatus"),
+            F.bool_or(F.col("l_linestatus") == "O").alias("is_open"),
             F.max("l_shipdate").alias("shipdate"),
         )
     )
@@ -190,7 +190,7 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             listing_id(F.col("partkey")).alias("id"),
             F.col("p_name").alias("title"),
             F.col("p_type").alias("category_id"),
-            F.when(F.col("linestatus") == "O", F.col("suppkey"))
+            F.when(F.col("is_open"), F.col("suppkey"))
             .cast("string")
             .alias("variation_id"),
             F.col("p_brand").alias("seller_sku"),
