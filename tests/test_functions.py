@@ -1,0 +1,159 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewind import functions as fn
+
+from conftest import rows
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first().x
+
+
+def test_py_round_equals_python_round(spark):
+    rng = random.Random(7)
+    values = [rng.randint(-10**6, 10**6) / 10**rng.randint(0, 6) for _ in range(3000)]
+    values += [n / 8 for n in range(-40, 40)] + [n * 1.005 for n in range(50)] + [1e15 / 7, -0.00001]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for digits in (2, 4):
+        got = df.select("v", fn.py_round(F.col("v"), digits).alias("r")).collect()
+        assert [(r.v, r.r) for r in got if r.r != round(r.v, digits)] == []
+
+
+def test_py_round_keeps_specials(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (None,)], "v DOUBLE")
+    assert rows(df.select(fn.py_round(F.col("v"), 2))) == sorted(
+        [(float("inf"),), (float("-inf"),), (None,)], key=repr
+    )
+
+
+@pytest.mark.parametrize(
+    "sold, views, rate",
+    [(1148, 15000, 0.0765), (10, 0, 0.0), (0, 500, 0.0), (25, 1000, 0.025), (3, 7, 0.4286),
+     (50000, 1000000, 0.05), (120, 15000, 0.008), (100, 5000, 0.02), (100, None, 0.0)],
+)
+def test_conversion(spark, sold, views, rate):
+    views = F.lit(views).cast("bigint")
+    assert one(spark, fn.safe_divide(F.lit(sold), views)) == rate
+
+
+@pytest.mark.parametrize("n, d, digits, value", [(7, 3, 2, 2.33), (-10, 2, 4, -5), (10, -2, 4, -5)])
+def test_divide(spark, n, d, digits, value):
+    assert one(spark, fn.safe_divide(F.lit(n), F.lit(d), digits)) == value
+
+
+@pytest.mark.parametrize(
+    "original, current, pct",
+    [(75, 61.7, 17.73), (50, 35, 30), (61.7, 61.7, 0), (45, 50, 0), (0, 50, 0), (None, 50, 0),
+     (61.7, 50, 18.96), (42, 35, 16.67), (200, 150, 25), (6999.99, 5999.99, 14.29),
+     (5999.99, 4999.99, 16.67)],
+)
+def test_discount(spark, original, current, pct):
+    column = fn.discount_pct(F.lit(original).cast("double"), F.lit(float(current)))
+    assert one(spark, column) == pct
+
+
+ATTRIBUTES = "ARRAY<STRUCT<id: STRING, value_name: STRING, value_id: STRING>>"
+
+
+@pytest.mark.parametrize(
+    "attributes, value",
+    [
+        ([("A", "x", None)], None),
+        ([("BRAND", "x", "y")], "x"),
+        ([("BRAND", None, "y")], "y"),
+        ([("BRAND", "", "y")], "y"),
+        ([("BRAND", "", "")], None),
+        ([("BRAND", None, None), ("BRAND", "late", None)], None),
+        ([(None, "x", None), ("BRAND", "ünï", None)], "ünï"),
+        ([], None),
+        (None, None),
+    ],
+)
+def test_attribute(spark, attributes, value):
+    df = spark.createDataFrame([(attributes,)], f"a {ATTRIBUTES}")
+    assert df.select(fn.get_attr(F.col("a"), "BRAND").alias("x")).first().x == value
+
+
+@pytest.mark.parametrize(
+    "text, value, bad",
+    [("61.50", 61.5, False), ("1e3", 1000.0, False), ("", None, False), (None, None, False),
+     ("abc", None, True), ("1.5d", None, True), ("12f", None, True), (" ", None, True),
+     ("inf", float("inf"), False), ("-2", -2.0, False)],
+)
+def test_number_text(spark, text, value, bad):
+    column = F.lit(text).cast("string")
+    assert one(spark, fn.to_double(column)) == value
+    assert one(spark, fn.not_a_number(column)) is bad
+
+
+@pytest.mark.parametrize(
+    "text, value, bad",
+    [("61.7", "61.70", False), ("10.005", "10.01", False), ("1e3", "1000.00", False),
+     (None, None, False), ("abc", None, True), ("", None, True), ("123456789.5", None, True)],
+)
+def test_money(spark, text, value, bad):
+    column = F.lit(text).cast("string")
+    got = one(spark, fn.to_money(column))
+    assert (None if got is None else str(got)) == value
+    assert one(spark, fn.not_money(column)) is bad
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["2024-01-02T03:04:05.678-04:00", "2024-01-02T03:04:05-03:00", "2024-01-02T03:04:05Z",
+     "2024-01-02T03:04:05.120+02:00", "2024-01-02 03:04:05", "2024-01-02T03:04", "2024-01-02T03",
+     "2024-01-02", "2024-01-02T03:04:05,5", "2024-01-02T03:04:05.1234567"],
+)
+def test_wall_clock_keeps_the_reading(spark, text):
+    got = one(spark, fn.wall_clock(F.lit(text)))
+    assert got == dt.datetime.fromisoformat(text).replace(tzinfo=None)
+
+
+@pytest.mark.parametrize("text", ["garbage", "", None, "2024", "2024-02-30", "2024-01-02T25:00", "12:00"])
+def test_wall_clock_of_no_time(spark, text):
+    assert one(spark, fn.wall_clock(F.lit(text).cast("string"))) is None
+
+
+def test_wall_clock_is_free_of_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        # 02:30 did not exist on this day in New York.
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        start, end = F.lit("2024-03-10T02:30:00"), F.lit("2024-03-10T08:30:00")
+        assert one(spark, fn.iso_text(fn.wall_clock(start))) == "2024-03-10T02:30:00"
+        assert str(one(spark, fn.hours_between(fn.wall_clock(start), fn.wall_clock(end)))) == "6.00"
+        assert one(spark, fn.as_of_literal("2024-03-10 02:30:00").cast("string")) == "2024-03-10 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize(
+    "start, end, hours",
+    [("2024-01-01T00:00:00", "2024-01-02T12:00:00", "36.00"),
+     ("2024-01-02T00:00:00", "2024-01-01T00:00:00", "-24.00"),
+     ("2024-01-01T00:00:00", "2024-01-01T00:20:00", "0.33"),
+     ("2024-01-01", "garbage", "None")],
+)
+def test_hours(spark, start, end, hours):
+    column = fn.hours_between(fn.wall_clock(F.lit(start)), fn.wall_clock(F.lit(end)))
+    assert str(one(spark, column)) == hours
+
+
+@pytest.mark.parametrize("value", [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 120000)])
+def test_iso_text(spark, value):
+    column = F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    assert one(spark, fn.iso_text(column)) == value.isoformat()
+
+
+def test_as_of_converts_to_utc(spark):
+    aware = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert one(spark, fn.as_of_literal(aware)) == dt.datetime(2024, 1, 1, 10)
+
+
+@pytest.mark.parametrize("text, value", [("12", "12"), ("0", None), ("", None), (None, None)])
+def test_id_or_null(spark, text, value):
+    assert one(spark, fn.id_or_null(F.lit(text).cast("string"))) == value
