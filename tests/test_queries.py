@@ -1,0 +1,64 @@
+"""Every registered query against its SQL, and what its plan may not contain."""
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+from conftest import plan
+
+SF = "/root/testdata/sf0.001"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+STORED = ("items_run", "orders_run", "orders_stream")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    return connection
+
+
+def canonical(names, records):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(str(r[i]) for i in order) for r in records)
+
+
+@pytest.mark.parametrize("name", list(queries()))
+def test_query_equals_sql(spark, duck, name):
+    df = queries()[name](spark, SF)
+    answer = duck.execute(oracle_sql()[name])
+    names = [c[0] for c in answer.description]
+    assert sorted(names) == sorted(df.columns)
+    assert canonical(df.columns, df.collect()) == canonical(names, answer.fetchall())
+
+
+@pytest.mark.parametrize("name", [n for n in queries() if n not in STORED])
+def test_plan_scales(spark, name):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # As if no table were small: nothing may depend on a broadcast.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(queries()[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    for word in ("NestedLoop", "Cartesian", "Broadcast", "Python", "Pandas", "SinglePartition"):
+        allowed = word == "SinglePartition" and name == "seller_run_summary"
+        assert allowed or word not in text, word
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 200
+
+
+def test_scans_are_pruned(spark):
+    text = plan(queries()["orders_by_status"](spark, SF))
+    assert "o_totalprice" not in text and "lineitem" not in text
+    text = plan(queries()["user_lookup"](spark, SF))
+    assert "PushedFilters: [IsNotNull(s_suppkey), EqualTo(s_suppkey,7)]" in text
+    text = plan(queries()["payments_flat"](spark, SF))
+    assert "lineitem" not in text

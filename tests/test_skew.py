@@ -1,0 +1,81 @@
+"""A third of all rows on one key: results against brute force, and no hot task."""
+
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradewind.operators.lookup import match_salted
+from tradewind.operators.orders import shared_payments
+from tradewind.operators.topk import first_per_key
+from tradewind.operators.upsert import latest_per_key
+
+from conftest import plan, rows
+
+N = 3000
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """(k, id, v): key 0 has more than a third of the rows; v has many ties."""
+    return spark.range(N).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"),
+        "id",
+        (F.col("id") * 7919 % 50).alias("v"),
+    )
+
+
+def test_top_rows_per_key(skewed):
+    order = [F.desc("v"), F.col("id")]
+    groups = defaultdict(list)
+    for k, id, v in skewed.collect():
+        groups[k].append((-v, id))
+    for n in (1, 7, 5000):
+        got = first_per_key(skewed, "k", order, n, spread="id")
+        expected = sorted((k, id) for k, g in groups.items() for _, id in sorted(g)[:n])
+        assert sorted(tuple(r) for r in got.select("k", "id").collect()) == expected
+
+
+def test_top_rows_are_cut_before_each_shuffle(skewed):
+    text = plan(first_per_key(skewed, "k", [F.col("id")], 5, spread="id"))
+    assert text.count("WindowGroupLimit") == 4 and text.count("Partial") == 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+def test_salted_match(spark, skewed, how):
+    right = spark.createDataFrame([(0,), (5,), (99,)], "k BIGINT")
+    got = rows(match_salted(skewed, right, ["k"], F.col("id"), how), "k", "id")
+    expected = [(k, id) for k, id, _ in skewed.collect() if (k in (0, 5)) == (how != "left_anti")]
+    assert got == sorted(expected, key=repr)
+
+
+def test_salted_match_spreads_a_hot_key(spark, skewed):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        right = spark.createDataFrame([(0,)], "k BIGINT")
+        joined = match_salted(skewed, right, ["k"], F.col("id"), "inner")
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < N / 3
+
+
+def test_last_copy_of_a_hot_key(skewed):
+    df = skewed.select(F.col("k").alias("id"), F.col("v"), F.col("id").alias("ord"))
+    expected = {}
+    for k, id, v in sorted(skewed.collect(), key=lambda r: r.id):
+        expected[k] = v
+    got = latest_per_key(df, "id", "ord")
+    assert dict(got.collect()) == expected
+    assert plan(got).index("partial_max_by") > plan(got).index("Exchange")
+
+
+def test_payment_id_shared_by_a_third_of_all_orders(skewed):
+    uses = skewed.select(F.when(F.col("k") == 0, "hot").otherwise(F.col("id").cast("string")).alias("payment_id"),
+                         F.col("id").cast("string").alias("order_id"))
+    hot = [r.id for r in skewed.collect() if r.k == 0]
+    assert sorted(int(r.order_id) for r in shared_payments(uses).collect()) == hot
