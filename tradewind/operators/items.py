@@ -27,11 +27,11 @@ NOT_AVAILABLE = "N/A"
 def seller_listings(
     listings: DataFrame,
     order: list[Column],
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Each seller's first ``limit`` listings with a status.
+    """Each seller's first ``limit`` listings with a status; all with ``None``.
 
     ``sellers`` restricts to some sellers; an empty list gives no rows.
     """

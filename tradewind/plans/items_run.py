@@ -30,7 +30,7 @@ def run_items(
     run_id: str,
     as_of: str | dt.datetime,
     ord: str,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = DEFAULT_LIMIT,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
