@@ -198,6 +198,19 @@ OUTCOMES = f"""
 NICKNAME = "coalesce(CASE WHEN s_acctbal >= 0 THEN s_name END, 'N/A') AS nickname"
 EARLY_END = "date_created >= TIMESTAMP '1996-01-01' AND date_created <= TIMESTAMP '1997-06-30'"
 
+def _totals(by: str, more: str = "") -> str:
+    return f"""
+        SELECT {by}, count(*) AS n_items, CAST(sum(sold_quantity) AS BIGINT) AS sold_quantity,
+          CAST(sum(views) AS BIGINT) AS views {more},
+          CASE WHEN sum(views) = 0 THEN 0.0
+               ELSE {_fixed('sum(sold_quantity) / sum(views)', 4)} END AS conversion_rate
+        FROM ({_enriched(None, RUN_1)}) GROUP BY {by}"""
+
+
+AVG_PRICE = f""", {_fixed(
+    "CAST(sum(CAST(current_price AS DECIMAL(18,2))) AS DOUBLE) / count(current_price)", 2
+)} AS avg_price"""
+
 ORACLES = {
     "attr_extract": f"""
         SELECT id, brand, size, color, CAST(NULL AS VARCHAR) AS gender FROM ({_items()})""",
@@ -345,6 +358,50 @@ ORACLES = {
           CASE WHEN b.seller_id IS NULL THEN {RUN_1} ELSE {RUN_2} END AS last_run_date,
           'completed' AS status, coalesce(b.last_order_id, a.last_order_id) AS last_order_id
         FROM ({_state(1)}) a FULL JOIN ({_state(2)}) b ON a.seller_id = b.seller_id""",
+    "price_positions": f"""
+        SELECT item_id, category_id,
+          CASE WHEN current_price > m * 1.10 THEN 'premium'
+               WHEN current_price < m * 0.90 THEN 'discount'
+               ELSE 'competitive' END AS price_position
+        FROM (SELECT *, median(current_price) OVER (PARTITION BY category_id) AS m
+              FROM ({_enriched(None, RUN_1)}))""",
+    "competitor_ranks": f"""
+        SELECT item_id, category_id, rank() OVER (
+          PARTITION BY category_id ORDER BY current_price) AS competitor_rank
+        FROM ({_enriched(None, RUN_1)})""",
+    "market_shares": f"""
+        SELECT seller_id, CAST(sum(total_amount) AS DECIMAL(20,2)) AS revenue,
+          {_fixed('CAST(sum(total_amount) AS DOUBLE) / any_value(total) * 100', 2)}
+            AS market_share_pct
+        FROM (SELECT *, (SELECT CAST(sum(total_amount) AS DOUBLE) FROM ({_orders()})) AS total
+              FROM ({_orders()}))
+        GROUP BY seller_id""",
+    "trend_growth": f"""
+        WITH t AS (
+          SELECT p_name AS keyword, p_type AS category_id,
+            CAST(date_trunc('month', l_shipdate) AS DATE) AS trend_date,
+            count(*) AS search_volume
+          FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2, 3),
+        g AS (SELECT *, lag(search_volume) OVER (
+            PARTITION BY keyword, category_id ORDER BY trend_date) AS last FROM t)
+        SELECT keyword, category_id, trend_date, search_volume,
+          CASE WHEN last <> 0 THEN {_fixed('(search_volume - last) / last * 100', 2)} END
+            AS growth_rate FROM g""",
+    "price_changes": f"""
+        SELECT b.item_id, {RUN_2} AS recorded_at, a.current_price AS previous_price,
+          b.current_price AS price
+        FROM ({_last(_enriched(1, RUN_1), 'item_id')}) a
+        JOIN ({_last(_enriched(2, RUN_2), 'item_id')}) b ON a.item_id = b.item_id
+        WHERE a.current_price <> b.current_price""",
+    "sales_velocity": f"""
+        SELECT *, {_fixed('units / days', 4)} AS units_per_day FROM (
+          SELECT item_id, CAST(sum(quantity) AS BIGINT) AS units,
+            CAST(max(CAST(date_created AS DATE)) - min(CAST(date_created AS DATE)) + 1 AS INTEGER)
+              AS days
+          FROM ({_lines(_orders())}) l JOIN ({_orders()}) o ON o.id = l.order_id
+          GROUP BY item_id)""",
+    "variant_performance": _totals("brand, size, color"),
+    "category_segments": _totals("category_id", AVG_PRICE),
     "items_run": _items_after(
         _enriched(1, RUN_1, ACTIVE.format(items=_items(1))),
         _enriched(2, RUN_2, ACTIVE.format(items=_items(2))),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.functions import get_attr
-from tradewind.operators import items, orders, reports, upsert
+from tradewind.operators import insights, items, orders, reports, upsert
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
@@ -322,6 +322,47 @@ def etl_state_upsert(spark, sf):
     return _state_after(spark, sf, 2, RUN_2, first)
 
 
+# --- market figures, by our own definitions ---------------------------------
+
+
+def price_positions(spark, sf):
+    return insights.price_positions(enrich_items(spark, sf))
+
+
+def competitor_ranks(spark, sf):
+    return insights.competitor_ranks(enrich_items(spark, sf))
+
+
+def market_shares(spark, sf):
+    return insights.market_shares(orders_flat(spark, sf))
+
+
+def trend_growth(spark, sf):
+    return insights.growth_rates(td.market_trends(spark, sf))
+
+
+def price_changes(spark, sf):
+    runs = []
+    for run, as_of in ((1, RUN_1), (2, RUN_2)):
+        records = upsert.latest_per_key(_item_run(spark, sf, run, as_of), "item_id", ORD)
+        records = records.withColumn(ORD, F.lit(0))
+        runs.append(upsert.price_records(records, ORD, as_of, f"run-{run}"))
+    return insights.price_changes(runs[0].unionByName(runs[1]))
+
+
+def sales_velocity(spark, sf):
+    raw = td.raw_orders(spark, sf)
+    return insights.sales_velocity(orders.flatten_orders(raw), orders.flatten_order_items(raw))
+
+
+def variant_performance(spark, sf):
+    return insights.variant_performance(enrich_items(spark, sf))
+
+
+def category_segments(spark, sf):
+    return insights.category_segments(enrich_items(spark, sf))
+
+
 # --- whole runs through stored tables --------------------------------------
 
 
@@ -373,6 +414,8 @@ QUERIES = {
         seller_stats_json, order_details, order_lines,
         items_upsert, sellers_upsert, price_history_append, orders_upsert,
         order_items_replace, payments_replace, etl_state_upsert,
+        price_positions, competitor_ranks, market_shares, trend_growth, price_changes,
+        sales_velocity, variant_performance, category_segments,
         items_run, orders_run, orders_stream,
     )
 }

@@ -159,6 +159,20 @@ def raw_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def market_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search volumes, taken as the lines sold per part name, type and month."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(
+        "l_partkey", F.trunc("l_shipdate", "month").alias("trend_date")
+    ).agg(F.count("*").alias("search_volume"))
+    part = table(spark, sf_dir, "part")
+    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_name").alias("keyword"),
+        "search_volume",
+        F.col("p_type").alias("category_id"),
+        "trend_date",
+    )
+
+
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: last ship time and an array with a line per return flag.
 
