@@ -83,7 +83,7 @@ def test_seller_listings(raw):
         *[listing(f"a{n}", seller_id=1) for n in range(4)],
         listing("p", seller_id=1, status="paused"), listing("b", seller_id=2),
     )
-    order = [F.col("ord")]
+    order = "ord"
     assert rows(items.seller_listings(df, order, 2), "id") == [("a0",), ("a1",), ("b",)]
     assert rows(items.seller_listings(df, order, 9, "paused"), "id") == [("p",)]
     assert rows(items.seller_listings(df, order, 9, sellers=[2]), "id") == [("b",)]
@@ -116,7 +116,7 @@ def test_search(raw):
 
 def test_questions_and_trends(spark):
     questions = spark.createDataFrame([("i", n, "q") for n in range(12)], schemas.RAW_QUESTION)
-    got = items.item_questions(questions, [F.col("question_id")])
+    got = items.item_questions(questions)
     assert sorted(r.question_id for r in got.collect()) == list(range(10))
     landed = spark.createDataFrame([("MLB", "C", "x"), ("MLB", "D", "y"), ("MLA", "C", "z")], schemas.RAW_TREND)
     assert rows(items.trends(landed, "MLB"), "keyword") == [("x",), ("y",)]

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tradewind.operators.lookup import match_salted
+from tradewind.operators.lookup import lookup, match_salted
 from tradewind.operators.orders import shared_payments
 from tradewind.operators.topk import first_per_key
 from tradewind.operators.upsert import latest_per_key
@@ -26,18 +26,30 @@ def skewed(spark):
 
 
 def test_top_rows_per_key(skewed):
-    order = [F.desc("v"), F.col("id")]
     groups = defaultdict(list)
     for k, id, v in skewed.collect():
-        groups[k].append((-v, id))
-    for n in (1, 7, 5000):
-        got = first_per_key(skewed, "k", order, n, spread="id")
-        expected = sorted((k, id) for k, g in groups.items() for _, id in sorted(g)[:n])
-        assert sorted(tuple(r) for r in got.select("k", "id").collect()) == expected
+        groups[k].append((v, id))
+    for n in (1, 7, 25, 5000):
+        for descending in (False, True):
+            got = first_per_key(skewed, "k", ["v", "id"], n, descending)
+            expected = sorted(
+                (k, id) for k, g in groups.items() for _, id in sorted(g, reverse=descending)[:n]
+            )
+            assert sorted(tuple(r) for r in got.select("k", "id").collect()) == expected
+
+
+def test_top_rows_with_null_keys_and_values(spark):
+    df = spark.createDataFrame(
+        [(None, 1, "x"), (1, None, "a"), (1, 2, "b"), (1, 3, "c")], "k INT, v INT, t STRING"
+    )
+    assert rows(first_per_key(df, "k", ["v"], 2), "t") == [("a",), ("b",)]
+    assert rows(first_per_key(df, "k", ["v"], 2, descending=True), "t") == [("b",), ("c",)]
+    assert first_per_key(df, "k", ["v"], None).count() == 3
+    assert first_per_key(df, "k", ["v"], 0).isEmpty()
 
 
 def test_top_rows_are_cut_before_each_shuffle(skewed):
-    text = plan(first_per_key(skewed, "k", [F.col("id")], 5, spread="id"))
+    text = plan(first_per_key(skewed, "k", ["id"], 5))
     assert text.count("WindowGroupLimit") == 4 and text.count("Partial") == 2
 
 
@@ -64,6 +76,32 @@ def test_salted_match_spreads_a_hot_key(spark, skewed):
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < N / 3
 
 
+@pytest.mark.parametrize("join", ["salted", "plain"])
+def test_adaptive_execution_splits_what_is_left(spark, skewed, join):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = skewed.withColumn("wide", F.sha2(F.col("id").cast("string"), 512))
+        if join == "salted":
+            right = skewed.groupBy("k").agg(F.max("v").alias("m"))
+            joined = match_salted(left, right, ["k"], F.col("id"), "left", salts=2)
+        else:
+            right = spark.range(40).select(F.col("id").alias("key"), F.lit("x").alias("m"))
+            joined = lookup(left, right, "k", "key")
+        assert joined.count() == N and len(joined.collect()) == N
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_last_copy_of_a_hot_key(skewed):
     df = skewed.select(F.col("k").alias("id"), F.col("v"), F.col("id").alias("ord"))
     expected = {}

@@ -24,21 +24,25 @@ QUESTION_LIMIT = 10
 NOT_AVAILABLE = "N/A"
 
 
+def listings_of(
+    listings: DataFrame, status: str = "active", sellers: list[int] | None = None
+) -> DataFrame:
+    """Listings with a status, of some sellers or of all (``None``)."""
+    chosen = listings.filter(F.col("status") == status)
+    if sellers is None:
+        return chosen
+    return chosen.filter(F.col("seller_id").isin(sellers)) if sellers else chosen.limit(0)
+
+
 def seller_listings(
     listings: DataFrame,
-    order: list[Column],
+    ord: str,
     limit: int | None = DEFAULT_LIMIT,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Each seller's first ``limit`` listings with a status; all with ``None``.
-
-    ``sellers`` restricts to some sellers; an empty list gives no rows.
-    """
-    chosen = listings.filter(F.col("status") == status)
-    if sellers is not None:
-        chosen = chosen.filter(F.col("seller_id").isin(sellers)) if sellers else chosen.limit(0)
-    return first_per_key(chosen, "seller_id", order, limit, spread="id")
+    """Each seller's first ``limit`` listings with a status, in the order of ``ord``."""
+    return first_per_key(listings_of(listings, status, sellers), "seller_id", [ord], limit)
 
 
 def with_details(found: DataFrame, listings: DataFrame) -> DataFrame:
@@ -95,10 +99,10 @@ def _has_id() -> Column:
 
 
 def item_questions(
-    questions: DataFrame, order: list[Column], limit: int = QUESTION_LIMIT
+    questions: DataFrame, ord: str = "question_id", limit: int = QUESTION_LIMIT
 ) -> DataFrame:
     """The first questions of each item."""
-    return first_per_key(questions, "item_id", order, limit, spread="question_id")
+    return first_per_key(questions, "item_id", [ord], limit)
 
 
 def trends(landed: DataFrame, site: str, category: str | None = None) -> DataFrame:

@@ -2,8 +2,10 @@
 
 ``lookup`` leaves skew to AQE: both inputs come straight from a shuffle, so a hot
 key on the left is split by map output and the right partition is repeated.  That
-rewrite does not apply when the right side is itself an aggregate.  For that case
-``match_salted`` spreads the left rows of a key and repeats the narrow right rows.
+rewrite does not apply when the right side is itself an aggregate, as that needs no
+shuffle of its own.  For that case ``match_salted`` spreads the left rows of a key and
+repeats the narrow right rows, which are then shuffled, so that AQE can also split
+whatever is still too large.
 """
 
 from __future__ import annotations

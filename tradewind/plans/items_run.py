@@ -11,8 +11,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.items import DEFAULT_LIMIT, enrich, seller_listings, split_by_price
+from tradewind.operators.items import DEFAULT_LIMIT, enrich, listings_of, split_by_price
 from tradewind.operators.reports import seller_outcomes
+from tradewind.operators.topk import cutoffs, first_per_key, up_to_cutoff
 from tradewind.operators.upsert import (
     price_records,
     seller_records,
@@ -20,8 +21,9 @@ from tradewind.operators.upsert import (
     upsert_sellers,
     with_item_id,
 )
-from tradewind.plans.staging import staging
+from tradewind.plans.staging import Stage, staging
 from tradewind.plans.tables import TableStore
+from tradewind.sources.landing import ARRIVAL
 
 
 def run_items(
@@ -41,8 +43,11 @@ def run_items(
     """
     spark = store.spark
     if not store.has_batch(run_id):
-        chosen = seller_listings(listings, [F.col(ord)], limit, status, sellers)
         with staging(spark) as stage:
+            if ord == ARRIVAL:
+                # Parsed once, and row numbers must not change between two reads.
+                listings = stage.put("landed", listings)
+            chosen = _chosen(stage, listings_of(listings, status, sellers), ord, limit)
             readable, unreadable = split_by_price(stage.put("listings", chosen))
             records = stage.put("records", enrich(readable, as_of, keep=(ord,)))
             if sellers is None:
@@ -59,6 +64,15 @@ def run_items(
     return store.read("run_outcomes", run_id).drop("run_id")
 
 
+def _chosen(stage: Stage, listings: DataFrame, ord: str, limit: int | None) -> DataFrame:
+    """As ``first_per_key``, with the few cutoffs staged: known small, they are broadcast."""
+    if limit is None or limit <= 0:
+        return first_per_key(listings, "seller_id", [ord], limit)
+    cuts = stage.put("cutoffs", cutoffs(listings, "seller_id", [ord], limit))
+    listings = listings.filter(F.col("seller_id").isNotNull())
+    return up_to_cutoff(listings, cuts, "seller_id", [ord])
+
+
 def load_records(
     store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str
 ) -> dict[str, DataFrame]:

@@ -32,10 +32,6 @@ CATEGORY = "PROMO"
 START, END = "1996-01-01", "1997-06-30"
 
 
-def _by_arrival():
-    return [F.col(ORD)]
-
-
 # --- listings --------------------------------------------------------------
 
 
@@ -58,14 +54,14 @@ def enrich_items(spark, sf):
 
 
 def items_active_limit(spark, sf):
-    found = items.seller_listings(td.raw_items(spark, sf), _by_arrival(), LIMIT)
+    found = items.seller_listings(td.raw_items(spark, sf), ORD, LIMIT)
     return found.select("id", "seller_id", "title", "status", "price")
 
 
 def item_details(spark, sf):
     listings = td.raw_items(spark, sf)
     found = items.seller_listings(
-        listings.select("id", "seller_id", "status", ORD), _by_arrival(), LIMIT
+        listings.select("id", "seller_id", "status", ORD), ORD, LIMIT
     )
     details = items.with_details(found, listings)
     return details.select(
@@ -96,7 +92,7 @@ def items_with_reviews(spark, sf):
 
 
 def item_questions(spark, sf):
-    return items.item_questions(td.raw_questions(spark, sf), [F.col("question_id")], limit=3)
+    return items.item_questions(td.raw_questions(spark, sf), limit=3)
 
 
 def user_lookup(spark, sf):
@@ -142,7 +138,7 @@ def category_seller_counts(spark, sf):
 
 
 def _loaded_items(spark, sf):
-    chosen = items.seller_listings(td.raw_items(spark, sf), _by_arrival(), LIMIT)
+    chosen = items.seller_listings(td.raw_items(spark, sf), ORD, LIMIT)
     return upsert.with_item_id(items.enrich(chosen, RUN_1))
 
 

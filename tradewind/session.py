@@ -46,10 +46,11 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see, as the cluster names it in spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) gets a temporary one.
+    Only a session without any such folder (a local test) gets a temporary one.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tradewind-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
