@@ -194,6 +194,22 @@ def test_redelivered_batch_changes_nothing(spark, store, tmp_path):
     assert (content(store), store.read("quarantine").count()) == before
 
 
+def test_failed_stream_can_be_continued(spark, store, tmp_path, monkeypatch):
+    landing, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    land(spark, landing, [order("1"), order("2", seller=6)])
+    with monkeypatch.context() as patch:
+        patch.setattr(order_plan, "flatten_payments", lambda df: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            run_orders_stream(store, str(landing), checkpoint, "s", RUN_1, sellers=[5])
+    assert state(store) == {5: ("failed", 0, None)} and store.read("orders").isEmpty()
+    run_orders_stream(store, str(landing), checkpoint, "s", RUN_2, sellers=[5])
+    assert state(store) == {5: ("completed", 1, "1")}
+    land(spark, landing, [order("3")], name="more")
+    run_orders_stream(store, str(landing), checkpoint, "s", RUN_3, sellers=[5])
+    assert state(store) == {5: ("completed", 2, "3")}
+    assert rows(store.read("orders"), "id") == [("1",), ("3",)]
+
+
 def test_arrival_order_follows_file_time_then_place(spark, tmp_path):
     import os
     land(spark, tmp_path / "in", [order("1"), order("2")], name="z")

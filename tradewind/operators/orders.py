@@ -205,24 +205,36 @@ def flatten_payments(raw: DataFrame) -> DataFrame:
     )
 
 
-def shared_payments(
-    payments: DataFrame, stored: DataFrame | None = None, replaced: DataFrame | None = None
+def clashing_payments(
+    uses: DataFrame, stored: DataFrame | None = None, replaced: DataFrame | None = None
 ) -> DataFrame:
-    """Ids of orders with a payment id that another payment also has.
+    """Payment ids that more than one payment has.
 
-    ``payments`` has one row (``payment_id``, ``order_id``) per payment of the
-    batch.  ``stored`` holds such rows of the table; those of orders being
-    ``replaced`` (column ``order_id``) do not count, as they go away.
+    ``uses`` has one row (``payment_id``, ``order_id``) per payment of a batch.
+    ``stored`` holds such rows of the table; those of orders being ``replaced``
+    (column ``order_id``) do not count, as they go away.
     """
-    uses = payments.groupBy("payment_id").agg(F.count("*").alias("n"))
-    clashes = uses.filter(F.col("n") > 1).select("payment_id")
+    counts = uses.groupBy("payment_id").agg(F.count("*").alias("n"))
+    clashes = counts.filter(F.col("n") > 1).select("payment_id")
     if stored is not None:
-        kept = stored.join(uses.select("payment_id"), "payment_id", "left_semi")
+        kept = stored.join(counts.select("payment_id"), "payment_id", "left_semi")
         if replaced is not None:
             kept = kept.join(replaced.select("order_id"), "order_id", "left_anti")
         clashes = clashes.union(kept.select("payment_id")).distinct()
-    found = match_salted(payments, clashes, ["payment_id"], F.col("order_id"), "left_semi")
-    return found.select("order_id").distinct()
+    return clashes
+
+
+def payments_among(uses: DataFrame, clashes: DataFrame) -> DataFrame:
+    """The rows of ``uses`` whose payment id is among the clashing ones."""
+    return match_salted(uses, clashes, ["payment_id"], F.col("order_id"), "left_semi")
+
+
+def shared_payments(
+    uses: DataFrame, stored: DataFrame | None = None, replaced: DataFrame | None = None
+) -> DataFrame:
+    """Ids of the batch's orders with a payment id that another payment also has."""
+    clashes = clashing_payments(uses, stored, replaced)
+    return payments_among(uses, clashes).select("order_id").distinct()
 
 
 def order_details(orders: DataFrame, lines: DataFrame, payments: DataFrame) -> DataFrame:
