@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators.lookup import lookup, match_salted
-from tradewind.operators.orders import shared_payments
+from tradewind.operators.orders import shared_payments, unseen
 from tradewind.operators.topk import first_per_key
 from tradewind.operators.upsert import latest_per_key
 
@@ -112,6 +112,13 @@ def test_last_copy_of_a_hot_key(skewed):
     assert plan(got).index("partial_max_by") > plan(got).index("Exchange")
 
 
+def test_unseen_orders_of_hot_ids(spark, skewed):
+    raw = skewed.select(F.col("k").cast("string").alias("id"), F.col("id").alias("n"))
+    seen = raw.filter("id IN ('0', '7')")
+    expected = sorted(r.n for r in raw.collect() if r.id not in ("0", "7"))
+    assert sorted(r.n for r in unseen(raw, seen).collect()) == expected
+
+
 def test_payment_id_shared_by_a_third_of_all_orders(skewed):
     uses = skewed.select(F.when(F.col("k") == 0, "hot").otherwise(F.col("id").cast("string")).alias("payment_id"),
                          F.col("id").cast("string").alias("order_id"))

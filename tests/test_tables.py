@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,28 @@ def test_children_follow_their_orders(spark, store):
     assert rows(store.read("order_items"), "order_id", "item_id") == [("1", "n"), ("3", "v")]
 
 
+def test_any_sequence_of_commits_and_compactions(spark, tmp_path):
+    rng = random.Random(8)
+    store = TableStore(spark, str(tmp_path), buckets=2)
+    status, children = {}, {}
+    for step in range(9):
+        if step in (3, 4, 7):
+            store.compact(*rng.choice([("orders",), ("order_items",), ("orders", "order_items")]))
+        else:
+            ids = rng.sample("abcdef", rng.randint(1, 4))
+            lists = {k: [f"{step}{n}" for n in range(rng.randint(0, 2))] for k in ids}
+            store.commit(f"r{step}", {
+                "orders": orders(spark, *[(k, f"s{step}") for k in ids]),
+                "order_items": lines(spark, *[(k, i) for k in ids for i in lists[k]]),
+            })
+            status.update(dict.fromkeys(ids, f"s{step}"))
+            children.update(lists)
+        assert dict(rows(store.read("orders"), "id", "status")) == status
+        assert rows(store.read("order_items"), "order_id", "item_id") == sorted(
+            (k, i) for k, found in children.items() for i in found
+        )
+
+
 def test_failed_commit_is_invisible(spark, store):
     store.commit("r1", {"orders": orders(spark, ("1", "a"))})
     broken = orders(spark, ("1", "b")).withColumn("status", F.raise_error(F.lit("lost")).cast("string"))

@@ -119,8 +119,12 @@ def for_sellers(raw: DataFrame, sellers: list[int] | None) -> DataFrame:
 
 
 def unseen(raw: DataFrame, seen_ids: DataFrame) -> DataFrame:
-    """Order documents whose id is not in ``seen_ids`` (column ``id``)."""
-    return raw.join(seen_ids.select("id"), "id", "left_anti")
+    """Order documents whose id is not in ``seen_ids`` (column ``id``).
+
+    Either side may repeat an id any number of times.
+    """
+    known = seen_ids.select("id").distinct()
+    return match_salted(raw, known, ["id"], F.monotonically_increasing_id(), "left_anti")
 
 
 def flatten_orders(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
