@@ -92,6 +92,16 @@ def test_failed_commit_is_invisible(spark, store):
     assert rows(store.read("orders"), "id", "status") == [("1", "b")]
 
 
+def test_another_store_sees_commits_after_a_refresh(spark, store):
+    reader = TableStore(spark, store.root)
+    assert reader.read("orders").isEmpty()
+    store.commit("r1", {"orders": orders(spark, ("1", "a"))})
+    assert reader.read("orders").isEmpty()
+    reader.refresh()
+    assert rows(reader.read("orders"), "id") == [("1",)]
+    assert [tuple(r) for r in reader.log()] == [tuple(r) for r in store.log()]
+
+
 def test_similar_run_ids_do_not_share_a_folder(spark, store):
     store.commit("a/b", {"orders": orders(spark, ("1", "a"))})
     store.commit("a_b", {"orders": orders(spark, ("2", "a"))})

@@ -72,6 +72,7 @@ def _sellers(spark: SparkSession, args: argparse.Namespace) -> int:
     named = reports.with_nicknames(choose(listings, args.category), users)
     if args.out:
         named.write.csv(args.out, header=True)
+        print(json.dumps({"sellers": spark.read.csv(args.out, header=True).count()}))
     else:
         for row in named.collect():
             print(f"{row.seller_id}\t{row.nickname}")

@@ -42,6 +42,7 @@ def run_items(
     that was loaded before changes nothing.
     """
     spark = store.spark
+    store.refresh()
     if not store.has_batch(run_id):
         with staging(spark) as stage:
             if ord == ARRIVAL:
