@@ -144,8 +144,7 @@ def test_shared_payments(spark):
     )
     assert rows(orders.shared_payments(uses)) == [("1",), ("2",), ("4",)]
     stored = spark.createDataFrame([("s", "other"), ("t", "6")], uses.schema)
-    replaced = uses.select("order_id")
-    assert rows(orders.shared_payments(uses, stored, replaced)) == [("1",), ("2",), ("4",), ("5",)]
+    assert rows(orders.shared_payments(uses, stored)) == [("1",), ("2",), ("4",), ("5",)]
 
 
 def test_details(raw):

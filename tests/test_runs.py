@@ -1,6 +1,8 @@
 """Whole runs through stored tables, batch and streaming."""
 
 import json
+import os
+import random
 from decimal import Decimal
 
 import pytest
@@ -86,13 +88,57 @@ def test_shared_payment_ids_are_quarantined(spark, store, tmp_path):
     load_orders(spark, store, tmp_path, "r1", RUN_1, [order("1"), order("2")])
     load_orders(spark, store, tmp_path, "r2", RUN_2, [
         order("3", payments=[payment("p-1")]),   # belongs to stored order 1
-        order("4", payments=[payment("p-2")]),   # order 2 gives it up below
-        order("2", payments=[payment("new")]),
+        order("4", payments=[payment("p-2")]),   # order 2 gives it up only now
+        order("2", payments=[payment("new"), payment("p-2b")]),
         order("5", payments=[payment("x")]), order("6", payments=[payment("x")]),
     ])
-    assert rows(store.read("orders"), "id") == [("1",), ("2",), ("4",)]
+    assert rows(store.read("orders"), "id") == [("1",), ("2",)]
+    assert rows(store.read("payments"), "id", "order_id") == [
+        ("new", "2"), ("p-1", "1"), ("p-2b", "2")
+    ]
+    assert rows(store.read("quarantine"), "record_id") == [("3",), ("4",), ("5",), ("6",)]
+    load_orders(spark, store, tmp_path, "r3", RUN_3, [
+        order("4", payments=[payment("p-2")]), order("2", payments=[payment("new")])
+    ])
     assert rows(store.read("payments"), "id", "order_id") == [("new", "2"), ("p-1", "1"), ("p-2", "4")]
-    assert rows(store.read("quarantine"), "record_id") == [("3",), ("5",), ("6",)]
+
+
+def test_random_batches_equal_a_model(spark, store, tmp_path):
+    rng = random.Random(12)
+    stored, held_back = {}, 0
+    for run in range(4):
+        batch = []
+        for n in range(10):
+            pays = [payment(rng.choice(["x", "y", f"{run}{n}a"])) for _ in range(rng.randint(0, 2))]
+            lines = [line(item={"id": rng.choice("ab")}) for _ in range(rng.randint(0, 3))]
+            document = order(rng.choice("abcdefgh"), status=rng.choice(["paid", "paid", "new", None]),
+                             order_items=lines or None, payments=pays or None)
+            batch.append(document)
+        load_orders(spark, store, tmp_path, f"r{run}", RUN_1, batch)
+
+        held_back += sum(d["status"] is None for d in batch)
+        last = {d["id"]: d for d in batch if d["status"]}
+        uses = [(p["id"], d["id"]) for d in last.values() for p in d["payments"] or []]
+        taken = {p["id"]: k for k, d in stored.items() for p in d["payments"] or []}
+        clashing = {
+            o for p, o in uses if sum(p == q for q, _ in uses) > 1 or taken.get(p, o) != o
+        }
+        held_back += len(clashing)
+        stored.update({k: d for k, d in last.items() if k not in clashing})
+
+        assert rows(store.read("orders"), "id", "status") == sorted(
+            (k, d["status"]) for k, d in stored.items()
+        )
+        assert rows(store.read("order_items"), "order_id", "item_id") == sorted(
+            (k, x["item"]["id"]) for k, d in stored.items() for x in d["order_items"] or []
+        )
+        assert rows(store.read("payments"), "order_id", "id") == sorted(
+            (k, p["id"]) for k, d in stored.items() for p in d["payments"] or []
+        )
+        assert store.read("quarantine").count() == held_back
+        if run == 2:
+            store.compact("orders", "order_items", "payments")
+    assert held_back > 8
 
 
 def test_date_bounds_and_sellers(spark, store, tmp_path):
@@ -173,7 +219,6 @@ def test_first_batch_of_a_run_wins_and_totals_add_up(spark, store, tmp_path):
                             ("b", [order("1", status="second page"), order("3")])):
         land(spark, landing, documents, name=name)
     # One file per batch, oldest first.
-    import os
     os.utime(landing / "a.json", (1, 1))
     run_orders_stream(store, str(landing), str(tmp_path / "cp"), "s", RUN_1, files_per_batch=1)
     assert rows(store.read("orders"), "id", "status") == [
@@ -211,7 +256,6 @@ def test_failed_stream_can_be_continued(spark, store, tmp_path, monkeypatch):
 
 
 def test_arrival_order_follows_file_time_then_place(spark, tmp_path):
-    import os
     land(spark, tmp_path / "in", [order("1"), order("2")], name="z")
     land(spark, tmp_path / "in", [order("3"), order("4")], name="a")
     os.utime(tmp_path / "in" / "z.json", (1, 1))

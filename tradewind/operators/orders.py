@@ -209,23 +209,21 @@ def flatten_payments(raw: DataFrame) -> DataFrame:
     )
 
 
-def clashing_payments(
-    uses: DataFrame, stored: DataFrame | None = None, replaced: DataFrame | None = None
-) -> DataFrame:
+def clashing_payments(uses: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Payment ids that more than one payment has.
 
-    ``uses`` has one row (``payment_id``, ``order_id``) per payment of a batch.
-    ``stored`` holds such rows of the table; those of orders being ``replaced``
-    (column ``order_id``) do not count, as they go away.
+    ``uses`` has one row (``payment_id``, ``order_id``) per payment of a batch, and
+    ``stored`` such rows of the table.  An id stored under another order clashes even
+    if that order is in the batch too: its new version might itself be held back.
     """
-    counts = uses.groupBy("payment_id").agg(F.count("*").alias("n"))
-    clashes = counts.filter(F.col("n") > 1).select("payment_id")
-    if stored is not None:
-        kept = stored.join(counts.select("payment_id"), "payment_id", "left_semi")
-        if replaced is not None:
-            kept = kept.join(replaced.select("order_id"), "order_id", "left_anti")
-        clashes = clashes.union(kept.select("payment_id")).distinct()
-    return clashes
+    counts = uses.groupBy("payment_id").agg(
+        F.count("*").alias("_n"), F.min("order_id").alias("_user")
+    )
+    clashes = counts.filter(F.col("_n") > 1).select("payment_id")
+    if stored is None:
+        return clashes
+    taken = stored.join(counts, "payment_id").filter(F.col("order_id") != F.col("_user"))
+    return clashes.union(taken.select("payment_id")).distinct()
 
 
 def payments_among(uses: DataFrame, clashes: DataFrame) -> DataFrame:
@@ -233,12 +231,9 @@ def payments_among(uses: DataFrame, clashes: DataFrame) -> DataFrame:
     return match_salted(uses, clashes, ["payment_id"], F.col("order_id"), "left_semi")
 
 
-def shared_payments(
-    uses: DataFrame, stored: DataFrame | None = None, replaced: DataFrame | None = None
-) -> DataFrame:
+def shared_payments(uses: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Ids of the batch's orders with a payment id that another payment also has."""
-    clashes = clashing_payments(uses, stored, replaced)
-    return payments_among(uses, clashes).select("order_id").distinct()
+    return payments_among(uses, clashing_payments(uses, stored)).select("order_id").distinct()
 
 
 def order_details(orders: DataFrame, lines: DataFrame, payments: DataFrame) -> DataFrame:
