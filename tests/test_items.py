@@ -117,7 +117,7 @@ def test_search(raw):
 def test_questions_and_trends(spark):
     questions = spark.createDataFrame([("i", n, "q") for n in range(12)], schemas.RAW_QUESTION)
     got = items.item_questions(questions)
-    assert sorted(r.question_id for r in got.collect()) == list(range(10))
+    assert rows(got, "question_id", "total") == [(n, 12) for n in range(10)]
     landed = spark.createDataFrame([("MLB", "C", "x"), ("MLB", "D", "y"), ("MLA", "C", "z")], schemas.RAW_TREND)
     assert rows(items.trends(landed, "MLB"), "keyword") == [("x",), ("y",)]
     assert rows(items.trends(landed, "MLB", "C"), "keyword") == [("x",)]

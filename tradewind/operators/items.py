@@ -101,8 +101,9 @@ def _has_id() -> Column:
 def item_questions(
     questions: DataFrame, ord: str = "question_id", limit: int = QUESTION_LIMIT
 ) -> DataFrame:
-    """The first questions of each item."""
-    return first_per_key(questions, "item_id", [ord], limit)
+    """The first questions of each item, with the item's ``total`` of questions."""
+    totals = questions.groupBy("item_id").agg(F.count("*").alias("total"))
+    return first_per_key(questions, "item_id", [ord], limit).join(totals, "item_id")
 
 
 def trends(landed: DataFrame, site: str, category: str | None = None) -> DataFrame:

@@ -236,7 +236,8 @@ ORACLES = {
           CAST(coalesce(toxic, 0) AS BIGINT) AS total_reviews
         FROM ({_items()}) LEFT JOIN labels ON doc_id = k""",
     "item_questions": f"""
-        SELECT {_item_id('conv_id')} AS item_id, turn AS question_id, text FROM conversations
+        SELECT {_item_id('conv_id')} AS item_id, turn AS question_id, text,
+          count(*) OVER (PARTITION BY conv_id) AS total FROM conversations
         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 3""",
     "user_lookup": """
         SELECT s_suppkey AS id, CASE WHEN s_acctbal >= 0 THEN s_name END AS nickname

@@ -386,12 +386,16 @@ def orders_run(spark, sf):
 
 
 def orders_stream(spark, sf):
-    """Streaming form, from a JSON landing; returns the loaded lines."""
+    """Streaming form, from a JSON landing; returns the loaded lines.
+
+    The second delivery has the same orders, some of them defective: those are
+    quarantined and keep their stored version, the others replace themselves.
+    """
     folder = _new_folder(spark)
     store = TableStore(spark, f"{folder}/tables")
     landing = f"{folder}/landing"
-    for run, as_of in ((None, RUN_1), (None, RUN_2)):
-        td.raw_orders(spark, sf, run=run).drop(ORD).write.mode("append").json(landing)
+    for defects, as_of in ((False, RUN_1), (True, RUN_2)):
+        td.raw_orders(spark, sf, defects=defects).drop(ORD).write.mode("append").json(landing)
         run_orders_stream(store, landing, f"{folder}/checkpoint", f"run {as_of}", as_of)
     return store.read("order_items").drop("id")
 
