@@ -161,5 +161,6 @@ def test_replacing_children_of_an_order_without_lines(spark):
     target = spark.createDataFrame([("1", "x"), ("1", "y"), ("2", "z")], "order_id STRING, item STRING")
     keys = spark.createDataFrame([("1",), ("3",)], "order_id STRING")
     new = spark.createDataFrame([("3", "n")], target.schema)
-    got = upsert.replace_by_key(target, keys, new, "order_id")
+    got = upsert.replace_by_key(target, keys, new, "order_id", spread="item")
     assert rows(got) == [("2", "z"), ("3", "n")]
+    assert rows(upsert.replace_by_key(target, keys, new, "order_id")) == rows(got)

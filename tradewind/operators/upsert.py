@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import as_of_literal
+from tradewind.operators.lookup import match_salted
 
 # Listing fields that an update overwrites, apart from updated_at.
 ITEM_MUTABLE = (
@@ -228,12 +229,19 @@ def price_records(batch: DataFrame, ord: str, as_of: str | dt.datetime, run_id:
 # --- orders and their children: whole-row replacement ----------------------
 
 
-def replace_by_key(target: DataFrame, keys: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def replace_by_key(
+    target: DataFrame, keys: DataFrame, rows: DataFrame, key: str, spread: str | None = None
+) -> DataFrame:
     """Target without the keys in ``keys``, plus ``rows``.
 
     For a table of orders, ``keys`` and ``rows`` are the same batch.  For children,
-    ``keys`` are the batch's order ids, including orders that have no rows any more.
+    ``keys`` are the batch's order ids, including orders that have no rows any more,
+    and ``spread`` names a column that varies within an order, as one order may own a
+    large share of the target.
     """
-    return target.join(keys.select(key), key, "left_anti").unionByName(
-        rows.select(*target.columns)
-    )
+    gone = keys.select(key).distinct()
+    if spread is None:
+        kept = target.join(gone, key, "left_anti")
+    else:
+        kept = match_salted(target, gone, [key], F.col(spread), "left_anti")
+    return kept.unionByName(rows.select(*target.columns))

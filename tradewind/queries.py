@@ -290,27 +290,34 @@ def price_history_append(spark, sf):
     return runs[0].unionByName(runs[1]).drop("id")
 
 
-def _order_run(spark, sf, run):
-    """Order documents of a run, last copy of each."""
-    return upsert.latest_per_key(td.raw_orders(spark, sf, run=run), "id", ORD)
+def _children(spark, sf, run, field):
+    """Last copy of each order document of a run, with one of its arrays."""
+    raw = td.raw_orders(spark, sf, run=run).select("id", field, ORD)
+    return upsert.latest_per_key(raw, "id", ORD)
 
 
-def _replaced(spark, sf, flatten, key):
-    batch = _order_run(spark, sf, 2)
-    ids = batch.select(F.col("id").alias(key))
-    return upsert.replace_by_key(flatten(_order_run(spark, sf, 1)), ids, flatten(batch), key)
+def _replaced_children(spark, sf, field, flatten):
+    target, batch = (flatten(_children(spark, sf, run, field)) for run in (1, 2))
+    ids = td.raw_orders(spark, sf, run=2).select(F.col("id").alias("order_id"))
+    return upsert.replace_by_key(target, ids, batch, "order_id", spread="id")
 
 
 def orders_upsert(spark, sf):
-    return _replaced(spark, sf, orders.flatten_orders, "id")
+    target, batch = (
+        upsert.latest_per_key(
+            orders.flatten_orders(td.raw_orders(spark, sf, run=run), keep=(ORD,)), "id", ORD
+        )
+        for run in (1, 2)
+    )
+    return upsert.replace_by_key(target, batch, batch, "id")
 
 
 def order_items_replace(spark, sf):
-    return _replaced(spark, sf, orders.flatten_order_items, "order_id").drop("id")
+    return _replaced_children(spark, sf, "order_items", orders.flatten_order_items).drop("id")
 
 
 def payments_replace(spark, sf):
-    return _replaced(spark, sf, orders.flatten_payments, "order_id")
+    return _replaced_children(spark, sf, "payments", orders.flatten_payments)
 
 
 def etl_state_upsert(spark, sf):
