@@ -20,7 +20,7 @@ def spark():
 def store(spark, tmp_path):
     from tradewind.plans.tables import TableStore
 
-    return TableStore(spark, str(tmp_path / "tables"), buckets=4)
+    return TableStore(spark, str(tmp_path / "tables"), rows_per_bucket=3)
 
 
 def rows(df, *columns):

@@ -61,7 +61,7 @@ def test_children_follow_their_orders(spark, store):
 
 def test_any_sequence_of_commits_and_compactions(spark, tmp_path):
     rng = random.Random(8)
-    store = TableStore(spark, str(tmp_path), buckets=2)
+    store = TableStore(spark, str(tmp_path), rows_per_bucket=2)
     status, children = {}, {}
     for step in range(9):
         if step in (3, 4, 7):
@@ -109,14 +109,14 @@ def test_similar_run_ids_do_not_share_a_folder(spark, store):
 
 
 def test_compaction_keeps_content_and_merges_without_shuffling_the_base(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path), buckets=4, compact_after=2)
+    store = TableStore(spark, str(tmp_path), rows_per_bucket=13, compact_after=2)
     store.commit("r1", {"orders": orders(spark, *[(str(n), "a") for n in range(50)])})
     store.compact_if_due("orders")
     assert not [r for r in store.log() if r.kind == "base"]
     store.commit("r2", {"orders": orders(spark, *[(str(n), "b") for n in range(25)])})
     before = rows(store.read("orders"), "id", "status")
     store.compact_if_due("orders")
-    assert [r.buckets for r in store.log() if r.kind == "base"] == [4]
+    assert [r.buckets for r in store.log() if r.kind == "base"] == [4]  # 50 rows
     assert rows(store.read("orders"), "id", "status") == before
 
     # Another session knows the base only from the log.

@@ -15,7 +15,7 @@ from tradewind.operators.items import DEFAULT_LIMIT
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
-from tradewind.session import build_session
+from tradewind.session import build_session, shuffle_partitions
 from tradewind.sources.landing import ARRIVAL, read_landing, with_arrival
 from tradewind.streaming.orders_stream import run_orders_stream
 
@@ -86,6 +86,9 @@ def _init(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tradewind", description=__doc__)
+    parser.add_argument(
+        "--input-gb", type=int, help="size of the input, to choose the shuffle partitions"
+    )
     commands = parser.add_subparsers(required=True)
 
     def command(name, run, help, root=True, landing=True):
@@ -125,7 +128,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     args = _parser().parse_args(arguments)
-    return args.run(build_session("tradewind"), args)
+    partitions = shuffle_partitions(args.input_gb << 30) if args.input_gb else None
+    return args.run(build_session("tradewind", partitions=partitions), args)
 
 
 if __name__ == "__main__":
