@@ -78,6 +78,16 @@ def test_descriptions_and_reviews(spark, tmp_path, raw):
     )
 
 
+def test_extract(spark, raw):
+    df = raw(listing("a"), listing("b"), listing("c", status="paused"))
+    texts = spark.createDataFrame([("a", "text")], schemas.RAW_DESCRIPTION)
+    reviews = spark.createDataFrame([("b", 4.0, 2)], schemas.RAW_REVIEW)
+    assert items.extract(df, "ord", 1).columns == df.columns
+    assert rows(items.extract(df, "ord", 1, texts), "id", "description") == [("a", "text")]
+    full = items.extract(df, "ord", 9, texts, reviews)
+    assert rows(full, "id", "description", "total_reviews") == [("a", "text", 0), ("b", "N/A", 2)]
+
+
 def test_seller_listings(raw):
     df = raw(
         *[listing(f"a{n}", seller_id=1) for n in range(4)],

@@ -94,6 +94,22 @@ def attach_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def extract(
+    listings: DataFrame,
+    ord: str,
+    limit: int | None = DEFAULT_LIMIT,
+    descriptions: DataFrame | None = None,
+    reviews: DataFrame | None = None,
+    status: str = "active",
+    sellers: list[int] | None = None,
+) -> DataFrame:
+    """Each seller's first listings, with descriptions and reviews where given."""
+    found = seller_listings(listings, ord, limit, status, sellers)
+    if descriptions is not None:
+        found = attach_descriptions(found, descriptions)
+    return found if reviews is None else attach_reviews(found, reviews)
+
+
 def _has_id() -> Column:
     return F.col("id").isNotNull() & (F.col("id") != "")
 

@@ -235,6 +235,12 @@ ORACLES = {
         SELECT id, title, CAST(coalesce(quality, 0) AS DOUBLE) AS rating_average,
           CAST(coalesce(toxic, 0) AS BIGINT) AS total_reviews
         FROM ({_items()}) LEFT JOIN labels ON doc_id = k""",
+    "items_extract": f"""
+        SELECT id, seller_id, title, coalesce(text, 'N/A') AS description,
+          CAST(coalesce(quality, 0) AS DOUBLE) AS rating_average,
+          CAST(coalesce(toxic, 0) AS BIGINT) AS total_reviews
+        FROM ({ACTIVE.format(items=_items())}) LEFT JOIN documents ON documents.doc_id = k
+        LEFT JOIN labels ON labels.doc_id = k""",
     "item_questions": f"""
         SELECT {_item_id('conv_id')} AS item_id, turn AS question_id, text,
           count(*) OVER (PARTITION BY conv_id) AS total FROM conversations

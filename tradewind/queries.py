@@ -91,6 +91,16 @@ def items_with_reviews(spark, sf):
     return items.attach_reviews(listings, td.raw_reviews(spark, sf))
 
 
+def items_extract(spark, sf):
+    found = items.extract(
+        td.raw_items(spark, sf), ORD, LIMIT,
+        td.raw_descriptions(spark, sf), td.raw_reviews(spark, sf),
+    )
+    return found.select(
+        "id", "seller_id", "title", "description", "rating_average", "total_reviews"
+    )
+
+
 def item_questions(spark, sf):
     return items.item_questions(td.raw_questions(spark, sf), limit=3)
 
@@ -411,7 +421,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         attr_extract, enrich_items, items_active_limit, item_details, item_lookup,
-        item_search_page, items_with_descriptions, items_with_reviews, item_questions,
+        item_search_page, items_with_descriptions, items_with_reviews, items_extract,
+        item_questions,
         user_lookup, category_trends, price_quarantine,
         sellers_of_category, sellers_quick10, category_seller_counts, seller_outcomes,
         seller_run_summary,
