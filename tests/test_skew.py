@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators.lookup import lookup, match_salted
 from tradewind.operators.orders import shared_payments, unseen
-from tradewind.operators.topk import first_per_key
+from tradewind.operators.topk import cutoffs, first_per_key, up_to_cutoff
 from tradewind.operators.upsert import latest_per_key
 
 from conftest import plan, rows
@@ -48,9 +48,26 @@ def test_top_rows_with_null_keys_and_values(spark):
     assert first_per_key(df, "k", ["v"], 0).isEmpty()
 
 
-def test_top_rows_are_cut_before_each_shuffle(skewed):
-    text = plan(first_per_key(skewed, "k", ["id"], 5))
-    assert text.count("WindowGroupLimit") == 4 and text.count("Partial") == 2
+def test_top_rows_are_cut_before_each_shuffle(spark, skewed):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        wide = skewed.withColumn("wide", F.sha2(F.col("id").cast("string"), 512))
+        text = plan(first_per_key(wide, "k", ["id"], 5))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert text.count("WindowGroupLimit") == 6 and text.count(", Partial") == 3
+    # The wide rows are shuffled once; three more shuffles move only key and order.
+    assert text.count("Exchange hashpartitioning") == 4
+    assert sum("wide" in below for below in text.split("Exchange")[1:]) == 1
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_stored_cutoffs_give_the_same_rows(skewed, descending):
+    for n in (1, 7, 5000):
+        cuts = cutoffs(skewed, "k", ["v", "id"], n, descending)
+        got = up_to_cutoff(skewed, cuts, "k", ["v", "id"], descending)
+        assert rows(got) == rows(first_per_key(skewed, "k", ["v", "id"], n, descending))
 
 
 @pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
