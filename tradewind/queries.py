@@ -66,7 +66,7 @@ def item_details(spark, sf):
     details = items.with_details(found, listings)
     return details.select(
         "id", "seller_id", "title", "category_id", "available_quantity", "condition",
-        F.size("attributes").alias("n_attributes"),
+        F.array_size("attributes").alias("n_attributes"),
     )
 
 
