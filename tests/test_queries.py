@@ -3,9 +3,11 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 
 from conftest import plan
+from tradewind.oracles import ORACLES
+from tradewind.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -30,22 +32,22 @@ def canonical(names, records):
     return sorted(tuple(str(r[i]) for i in order) for r in records)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF)
-    answer = duck.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    answer = duck.execute(ORACLES[name])
     names = [c[0] for c in answer.description]
     assert sorted(names) == sorted(df.columns)
     assert canonical(df.columns, df.collect()) == canonical(names, answer.fetchall())
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in STORED])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STORED])
 def test_plan_scales(spark, name):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         # As if no table were small: nothing may depend on a broadcast.
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        text = plan(queries()[name](spark, SF))
+        text = plan(QUERIES[name](spark, SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     for word in ("NestedLoop", "Cartesian", "Broadcast", "Python", "Pandas", "SinglePartition"):
@@ -58,9 +60,9 @@ def test_entry(spark):
 
 
 def test_scans_are_pruned(spark):
-    text = plan(queries()["orders_by_status"](spark, SF))
+    text = plan(QUERIES["orders_by_status"](spark, SF))
     assert "o_totalprice" not in text and "lineitem" not in text
-    text = plan(queries()["user_lookup"](spark, SF))
+    text = plan(QUERIES["user_lookup"](spark, SF))
     assert "PushedFilters: [IsNotNull(s_suppkey), EqualTo(s_suppkey,7)]" in text
-    text = plan(queries()["payments_flat"](spark, SF))
+    text = plan(QUERIES["payments_flat"](spark, SF))
     assert "lineitem" not in text
