@@ -1,8 +1,9 @@
 """The registered queries of this folder, and the SQL of those that SQL can express."""
 
-from tradewind.llm import quality_rules
+from tradewind.llm import byte_bpe, quality_rules
 
 QUERIES = {
+    "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
