@@ -24,6 +24,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -253,7 +254,7 @@ def _encoder(key: str, ranks, pattern: str) -> Encoder:
 def _pieces_of(batches: Iterator[pa.RecordBatch], chars: int = BATCH_CHARS):
     """Slices of the batches with a bounded amount of text each."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(0)).fill_null(0).to_numpy()
+        sizes = pc.binary_length(batch.column(0)).fill_null(0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(sizes), 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
