@@ -1,12 +1,14 @@
 """The registered queries of this folder, and the SQL of those that SQL can express."""
 
-from tradewind.llm import byte_bpe, quality_rules
+from tradewind.llm import byte_bpe, chat_format, quality_rules
 
 QUERIES = {
+    "op5_chat_format": chat_format.op5_chat_format,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLES = {
+    "op5_chat_format": chat_format.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
