@@ -1,17 +1,19 @@
 """The registered queries of this folder, and the SQL of those that SQL can express."""
 
-from tradewind.llm import byte_bpe, chat_format, language_id, quality_rules, url_filter
+from tradewind.llm import byte_bpe, chat_format, language_id, mixing, quality_rules, url_filter
 
 QUERIES = {
     "op2_url_filter": url_filter.op2_url_filter,
     "op4_language_id": language_id.op4_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
+    "op7_mixing": mixing.op7_mixing,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLES = {
     "op2_url_filter": url_filter.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
+    "op7_mixing": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
 }
