@@ -1,8 +1,17 @@
 """The registered queries of this folder, and the SQL of those that SQL can express."""
 
-from tradewind.llm import byte_bpe, chat_format, language_id, mixing, quality_rules, url_filter
+from tradewind.llm import (
+    byte_bpe,
+    chat_format,
+    embedding_dups,
+    language_id,
+    mixing,
+    quality_rules,
+    url_filter,
+)
 
 QUERIES = {
+    "op1_embedding_dups": embedding_dups.op1_embedding_dups,
     "op2_url_filter": url_filter.op2_url_filter,
     "op4_language_id": language_id.op4_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
