@@ -6,6 +6,7 @@ from tradewind.llm import (
     embedding_dups,
     language_id,
     mixing,
+    ngram_join,
     quality_rules,
     url_filter,
 )
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_mixing": mixing.op7_mixing,
+    "op8_ngram_join": ngram_join.op8_ngram_join,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
