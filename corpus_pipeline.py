@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tradewind.llm import quality_rules
+from tradewind.llm import byte_bpe, mixing, ngram_join, quality_rules, suffix_dedup
 from tradewind.llm.common import Scratch, table
 
 STAGES = [
     ("quality rules", quality_rules.stage),
+    ("n-gram Jaccard join", ngram_join.stage),
+    ("suffix-array dedup", suffix_dedup.stage),
+    ("mixing sources", mixing.stage),
+    ("byte-pair encoding", byte_bpe.stage),
 ]
 
 #: Suffix-array dedup and byte-pair encoding are not expressible in SQL.

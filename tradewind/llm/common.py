@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -74,3 +75,9 @@ class Scratch:
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps, which it does when their
+        driver objects are collected."""
+        gc.collect()
+        self.spark._jvm.System.gc()

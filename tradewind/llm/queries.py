@@ -8,6 +8,7 @@ from tradewind.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    suffix_dedup,
     url_filter,
 )
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
     "op7_mixing": mixing.op7_mixing,
     "op8_ngram_join": ngram_join.op8_ngram_join,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
