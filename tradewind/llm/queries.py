@@ -7,6 +7,7 @@ from tradewind.llm import (
     language_id,
     mixing,
     ngram_join,
+    phrase_automata,
     quality_rules,
     suffix_dedup,
     url_filter,
@@ -15,6 +16,7 @@ from tradewind.llm import (
 QUERIES = {
     "op1_embedding_dups": embedding_dups.op1_embedding_dups,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_phrase_automata": phrase_automata.op3_phrase_automata,
     "op4_language_id": language_id.op4_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_byte_bpe": byte_bpe.op6_byte_bpe,
