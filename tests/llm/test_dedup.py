@@ -1,0 +1,263 @@
+"""Near-duplicates and repeated passages against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from messy import documents, empty, prose, rows
+
+from tradewind.llm import embedding_dups, ngram_join, phrase_automata, suffix_dedup
+from tradewind.llm.common import Scratch
+from tradewind.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def component_of(links):
+    """Smallest reachable node of every node."""
+    found = {}
+    for start in sorted(links):
+        stack = [start]
+        while stack:
+            node = stack.pop()
+            if node not in found:
+                found[node] = start
+                stack.extend(links[node])
+    return found
+
+
+# --- components ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(45)]
+    edges += [(100 + k, 101 + k) for k in range(30)] + [(5, 5), (None, 3), edges[0]]
+    rng.shuffle(edges)
+    links = defaultdict(set)
+    for a, b in edges:
+        if a is not None:
+            links[a].add(b)
+            links[b].add(a)
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    got = {r.node: r.root for r in components(df, Scratch(spark)).collect()}
+    assert got == component_of(links)
+
+
+def test_no_components(spark):
+    assert components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark)).count() == 0
+
+
+# --- vectors ---------------------------------------------------------------------
+
+
+def vectors(seed=1):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((60, 16))
+    near = base[:20] + rng.standard_normal((20, 16)) * 0.3
+    hot = base[0] + rng.standard_normal((40, 16)) * 0.05
+    data = np.concatenate([base, near, hot, base[:3]]).astype(np.float32)
+    out = [(k, v.tolist()) for k, v in enumerate(data)]
+    zero, nan = [0.0] * 16, [float("nan")] * 16
+    odd = [None, [], zero, nan, [None] * 16, [float("inf")] * 16, [1.0, 2.0], [2.0, 4.0], [1.0, 0.0]]
+    out += [(200 + k, v) for k, v in enumerate(odd)]
+    return out + [(None, data[0].tolist())]
+
+
+def brute_vectors(given):
+    usable = {
+        i: np.array(v, float)
+        for i, v in given
+        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)
+    }
+    links = {i: set() for i, _ in given}
+    for a, x in usable.items():
+        for b, y in usable.items():
+            if a != b and len(x) == len(y):
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.9:
+                    links[a].add(b)
+    root = component_of({i: s for i, s in links.items() if i is not None})
+    return sorted(
+        ((i, len(links[i]), root.get(i)) for i, _ in given), key=lambda r: (r[0] is None, r)
+    )
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_vectors(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dups, "BLOCK", block)
+    given = vectors()
+    df = spark.createDataFrame(
+        [(i, v, "x", 1) for i, v in given], "vec_id bigint, embedding array<float>, node string, n int"
+    )
+    got = embedding_dups.near_duplicates(df).collect()
+    assert sorted(map(tuple, got), key=lambda r: (r[0] is None, r)) == brute_vectors(given)
+
+
+def test_vectors_empty(spark):
+    df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
+    assert embedding_dups.near_duplicates(df).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 100, 10**4, 10**7, 10**10])
+def test_least_count_keeps_the_recall(n):
+    s = embedding_dups.Scheme.calibrated(n)
+    import math
+
+    p = (1 - math.acos(0.9) / math.pi) ** s.bits * math.erf(embedding_dups.WINDOW / math.sqrt(2))
+    missed = sum(math.comb(s.tables, k) * p**k * (1 - p) ** (s.tables - k) for k in range(s.least_count))
+    assert 1 - missed >= embedding_dups.RECALL
+
+
+# --- Jaccard join ----------------------------------------------------------------
+
+
+def shingles(text):
+    words = WORD.findall(text or "")
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else None
+
+
+def brute_jaccard(given):
+    sets = {i: shingles(t) for i, t, *_ in given}
+    links = {i: Counter() for i in sets if i is not None}
+    for a, x, *_ in given:
+        for b, y, *_ in given:
+            if None not in (a, b) and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if both >= 0.8 * len(sets[a] | sets[b]) - 1e-9:
+                    links[a][b] += 1
+    root = component_of(links)
+    return sorted(
+        (i, root[i], max(0, sum(links[i].values()) // [x[0] for x in given].count(i) - 1)) for i, *_ in given
+    )
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_jaccard_join(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = random.Random(4)
+    long = prose(rng, 120)
+    hot = []
+    for k in range(25):
+        words = long.split(" ")
+        words[4 * k] = f"other{k}"
+        hot.append((500 + k, " ".join(words), "en", "src0"))
+    given = rows() + hot
+    got = ngram_join.jaccard_join(documents(spark, given))
+    assert sorted(map(tuple, got.collect())) == brute_jaccard(given)
+
+
+def test_jaccard_join_odd_ids(spark):
+    given = [(None, "a b c d e f", "en", "s"), (1, "a b c d e f", "en", "s"), (2, None, "en", "s")]
+    got = ngram_join.jaccard_join(documents(spark, given)).collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 1, 0), (2, 2, 0), (None, None, 0)]
+    assert ngram_join.jaccard_join(empty(spark)).count() == 0
+
+
+def test_jaccard_stage_keeps_one_of_each_group(spark):
+    given = rows()
+    docs = documents(spark, given)
+    out = ngram_join.stage(spark, docs, None)
+    assert out.columns == docs.columns
+    roots = {i for i, root, _ in brute_jaccard(given) if i == root}
+    assert {r.doc_id for r in out.select("doc_id").collect()} == roots
+
+
+def test_pruning_tolerance():
+    import math
+
+    for n, needed in zip(range(16, 97, 16), ngram_join.least_matches(), strict=True):
+        tail = sum(math.comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(needed))
+        assert tail < 1e-6 * 1.0001
+
+
+# --- passages ----------------------------------------------------------------------
+
+
+def brute_words(given, size=35):
+    words = [(i, WORD.findall(t or "")) for i, t, *_ in given]
+    seen = Counter(tuple(w[k : k + size]) for i, w in words if i is not None for k in range(len(w) - size + 1))
+    out = []
+    for i, w in words:
+        gone = bytearray(len(w))
+        for k in range(len(w) - size + 1):
+            if seen[tuple(w[k : k + size])] > 1 and i is not None:
+                gone[k : k + size] = b"\1" * size
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+WORD_DIGEST = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
+
+
+@pytest.mark.parametrize("shard", [8 << 20, 20_000])
+def test_automata(spark, monkeypatch, shard):
+    monkeypatch.setattr(phrase_automata, "SHARD_BYTES", shard)
+    given = rows() + [(300 + k, "a b c " * 30, "en", "s") for k in range(3)]
+    got = phrase_automata.located(
+        documents(spark, given), "doc_id", "text", phrase_automata._digest, WORD_DIGEST
+    )
+    assert sorted(map(tuple, got.collect()), key=str) == brute_words(given)
+
+
+def test_automata_keep_texts_without_passages(spark):
+    given = [(1, "only  here\n", "en", "s"), (2, "p " * 50, "en", "s"), (None, "p " * 50, "en", "s"), (3, None, "en", "s")]
+    got = phrase_automata.remove_passages(documents(spark, given))
+    # The repeated window is inside one document; a row without an id is left alone.
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        (1, "only  here\n"), (2, ""), (3, None), (None, "p " * 50)
+    ]
+    assert phrase_automata.remove_passages(empty(spark)).count() == 0
+
+
+def test_locate_finds_overlapping_passages():
+    line = np.array([1, 2, 3, 4, 5, 2, 3, 9], np.uint64)
+    got = phrase_automata.locate([line], [line[1:3], line[2:4]])
+    assert got[0].tolist() == [False, True, True, True, False, True, True, False]
+
+
+def brute_bytes(given, size=50):
+    first = {}
+    for i, t, *_ in sorted((g for g in given if g[0] is not None), key=lambda g: g[0]):
+        data = (t or "").encode()
+        for k in range(len(data) - size + 1):
+            first.setdefault(data[k : k + size], i)
+    out = []
+    for i, t, *_ in given:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - size + 1):
+            if i is not None and first[data[k : k + size]] < i:
+                gone[k : k + size] = b"\1" * size
+        kept = bytes(x for x, g in zip(data, gone, strict=True) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        out.append((i, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("scan", [3 << 20, 3000])
+def test_suffixes(spark, monkeypatch, tmp_path, scan):
+    monkeypatch.setattr(suffix_dedup, "COMBINED_BYTES", scan)
+    given = rows(7)
+    path = str(tmp_path / "documents.parquet")
+    documents(spark, given).write.parquet(path)
+    got = suffix_dedup.op9_suffix_dedup(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_bytes(given)
+
+
+def test_suffix_stage(spark):
+    given = rows(7)
+    docs = documents(spark, given)
+    out = suffix_dedup.stage(spark, docs, None)
+    assert out.columns == docs.columns and out.count() == len(given)
+    texts = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert texts[next(i for i, t, *_ in given if t is None)] == (None, None)
+    left = {i: h for i, *_, h in brute_bytes(given)}
+    for i, (text, n) in texts.items():
+        if text is not None and "�" not in text and text.isascii():
+            assert hashlib.sha256(text.encode()).hexdigest() == left[i] and n == len(text)
+    assert suffix_dedup.stage(spark, empty(spark), None).count() == 0

@@ -28,8 +28,16 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
-from tradewind.llm.common import fresh, quoted, table
+from tradewind.llm.common import quoted, table
 
 INFINITE = 1 << 62
 #: Pieces whose encodings a Python worker keeps, and as many that were used before them.
@@ -269,15 +277,16 @@ def _run(docs: DataFrame, text: str, path: str, pattern: str, fields: dict, make
     # The rank file has a fixed size; the documents are never sent to the driver.
     ranks = spark.sparkContext.broadcast(read_ranks(path))
     key = hashlib.sha256(f"{path}\n{pattern}".encode()).hexdigest()
-    names, value = list(docs.columns), fresh("value")
-    types = {**{c: docs.schema[c].dataType for c in names}}
-    from pyspark.sql.types import StructField, StructType
-
+    # Plain names on the way through Python; any name is possible outside.
+    names = [f"c{k}" for k in range(len(docs.columns))]
     schema = StructType(
-        [StructField(c, t, True) for c, t in types.items()]
-        + [StructField(c, t, True) for c, t in fields.items()]
+        [StructField(c, f.dataType) for c, f in zip(names, docs.schema, strict=True)]
+        + [StructField(c, t) for c, t in fields.items()]
+    )
+    order = docs.select(
+        quoted(text).alias("value"),
+        *[quoted(c).alias(n) for c, n in zip(docs.columns, names, strict=True)],
     )
-    order = docs.select(quoted(text).alias(value), *[quoted(c) for c in names])
 
     def run(batches):
         encoder = _encoder(key, ranks, pattern)
@@ -291,12 +300,10 @@ def _run(docs: DataFrame, text: str, path: str, pattern: str, fields: dict, make
                 [*batch.columns[1:], *columns], names=[*names, *fields]
             )
 
-    return order.mapInArrow(run, schema)
+    return order.mapInArrow(run, schema).toDF(*docs.columns, *fields)
 
 
 def _arrow(kind):
-    from pyspark.sql.types import ArrayType, LongType, StringType
-
     return {StringType(): pa.string(), LongType(): pa.int64()}.get(kind) or (
         pa.list_(pa.int32()) if isinstance(kind, ArrayType) else pa.binary()
     )
@@ -306,8 +313,6 @@ def encode(
     docs: DataFrame, path: str, pattern: str, text: str = "text", into: str = "tokens"
 ) -> DataFrame:
     """The rows with their token ids as array<int> in the column ``into``."""
-    from pyspark.sql.types import ArrayType, IntegerType
-
     kept = docs.select(*[quoted(c) for c in docs.columns if c != into])
     fields = {into: ArrayType(IntegerType())}
     return _run(kept, text, path, pattern, fields, lambda _, ids: (ids.astype("i4"),))
@@ -339,7 +344,6 @@ def _digests(encoder: Encoder, ids: np.ndarray):
 def op6_byte_bpe(spark, sf_dir):
     """Encodes and decodes in one pass and returns digests of both."""
     import public_tokenizers
-    from pyspark.sql.types import LongType, StringType
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fields = {"n_tokens": LongType(), "ids_sha256": StringType(), "decoded_sha256": StringType()}

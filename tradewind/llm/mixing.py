@@ -176,9 +176,9 @@ def plan(units: DataFrame, mix: Mix) -> DataFrame:
 
 def mix_sources(
     docs: DataFrame, mix: Mix, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-    source: str = "source",
+    source: str = "source", into: str = "mix",
 ) -> DataFrame:
-    """The input's rows, once for each epoch that takes them, and a struct column ``mix``."""
+    """The input's rows, once for each epoch that takes them, and a struct column ``into``."""
     scratch = Scratch(docs.sparkSession)
     domain = _case(quoted(source), mix.domains, mix.other_domain)
     units = docs.select(
@@ -208,12 +208,12 @@ def mix_sources(
         F.explode(F.filter(F.sequence(F.lit(0).cast("bigint"), epochs), lambda x: x > 0)),
     )
     return step.select(
-        *[quoted(c) for c in docs.columns if c != "mix"],
+        *[quoted(c) for c in docs.columns if c != into],
         F.struct(
             F.col(at["domain"]).alias("domain"),
             F.col(at["epoch"]).alias("epoch"),
             F.col(at["tokens"]).alias("n_tokens"),
-        ).alias("mix"),
+        ).alias(into),
     )
 
 
@@ -225,7 +225,8 @@ def op7_mixing(spark, sf_dir):
 
 def stage(spark, docs, sf_dir):
     """Documents in the target mix; one that two epochs take stands there twice."""
-    return mix_sources(docs, PRODUCTION).select(*[quoted(c) for c in docs.columns])
+    out = mix_sources(docs, PRODUCTION, into=fresh("mix"))
+    return out.select(*[quoted(c) for c in docs.columns])
 
 
 def _sql_case(column: str, cases: dict, other) -> str:

@@ -220,8 +220,9 @@ def _stream(make, names: list[str]):
                 for first, last in np.frombuffer(runs, "<i8").reshape(-1, 2).tolist():
                     passages.append(words[begin + first : begin + last])
             sequences = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            out = []
+            ids, out = texts.column("doc").to_pylist(), []
             for k, marks in enumerate(locate(sequences, passages)):
+                marks &= ids[k] is not None
                 kept = [
                     scan.data[begins[i] : ends[i]].tobytes()
                     for i in bounds[k] + np.flatnonzero(~marks)

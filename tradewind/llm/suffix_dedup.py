@@ -32,13 +32,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.anchors import Anchors
-from tradewind.llm.common import Scratch, quoted, table
+from tradewind.llm.common import Scratch, fresh, quoted, table
 from tradewind.llm.textscan import Scan, mix, parts
 
 SIZE = 50
@@ -331,20 +332,17 @@ def remove_covered(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
     A cut may fall inside a character; the bytes that are left of it are dropped.
     """
-    runs = covered_runs(docs, id_col, text).withColumnRenamed("doc", "__doc")
+    doc, runs = fresh("doc"), fresh("runs")
+    found = covered_runs(docs, id_col, text).toDF(doc, runs)
 
     @F.pandas_udf("string")
-    def without(texts, packed):
-        out = [
-            None if t is None else cut(t.encode(), r)[0].decode("utf-8", "ignore")
-            for t, r in zip(texts, packed, strict=True)
-        ]
-        import pandas as pd
+    def without(texts: pd.Series, packed: pd.Series) -> pd.Series:
+        pairs = zip(texts, packed, strict=True)
+        return pd.Series([cut(t.encode(), r)[0].decode("utf-8", "ignore") for t, r in pairs])
 
-        return pd.Series(out, dtype=object)
-
-    joined = docs.join(runs, quoted(id_col).cast("bigint") == F.col("__doc"), "left")
-    fewer = F.when(F.col("runs").isNull(), quoted(text)).otherwise(without(quoted(text), "runs"))
+    joined = docs.join(found, quoted(id_col).cast("bigint") == F.col(doc), "left")
+    texts = F.coalesce(quoted(text), F.lit(""))
+    fewer = F.when(F.col(runs).isNull(), quoted(text)).otherwise(without(texts, F.col(runs)))
     return joined.select(*[(fewer.alias(c) if c == text else quoted(c)) for c in docs.columns])
 
 
