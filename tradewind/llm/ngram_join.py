@@ -360,7 +360,8 @@ def jaccard_join(
         F.count("*").alias("size"), F.sum("n").alias("weight")
     )
     members = members.join(sizes, "cluster")
-    texts = members.join(given, members["node"] == given["id"]).select(
+    # Sorted and merged at every size, so that the cost grows evenly with the input.
+    texts = given.hint("merge").join(members, given["id"] == members["node"]).select(
         "text", "digest", "cluster", "node", "copies", "size", "weight"
     )
     shingled = texts.mapInArrow(
