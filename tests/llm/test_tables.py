@@ -1,0 +1,248 @@
+"""URL filter, mixing, the pipeline, and every query against its SQL."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from messy import documents, empty, rows
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tradewind.llm import byte_bpe, mixing, url_filter
+from tradewind.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+
+
+def canonical(names, records):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(str(r[i]) for i in order) for r in records)
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for t in TABLES:
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    df = QUERIES[name](spark, SF)
+    answer = duck.execute(ORACLES[name])
+    names = [c[0] for c in answer.description]
+    assert canonical(df.columns, df.collect()) == canonical(names, answer.fetchall())
+
+
+# --- URLs -------------------------------------------------------------------------
+
+
+def split_url(url):
+    _, found, rest = (url or "").partition("://")
+    if not found:
+        return "", ""
+    end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host, rest = rest[:end], rest[end:]
+    path = rest[: min((rest.find(c) for c in "?#" if c in rest), default=len(rest))]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), path
+
+
+def rule_of(host, path):
+    best = None
+    for verdict, rule in url_filter.RULES:
+        name, slash, start = rule.partition("/")
+        if (host == name or host.endswith("." + name)) and path.startswith(slash + start):
+            if best is None or len(rule) > len(best[1]):
+                best = (verdict, rule)
+    return best or (None, None)
+
+
+def log_ratio(sequences, accepted, rejected):
+    """Witten-Bell by hand: the mean difference of the log-probabilities of a sequence."""
+    order = url_filter.ORDER
+
+    def grams(s):
+        whole = url_filter.BEFORE * (order - 1) + s + url_filter.AFTER
+        return [whole[k : k + order] for k in range(len(whole) - order + 1)]
+
+    def model(texts):
+        counts = defaultdict(Counter)
+        for s in texts:
+            for g in grams(s):
+                for size in range(order):
+                    counts[g[order - 1 - size : -1]][g[-1]] += 1
+
+        def probability(gram):
+            p = 1 / url_filter.ALPHABET
+            for size in range(order):
+                seen = counts.get(gram[order - 1 - size : -1], {})
+                if seen:
+                    p = (seen[gram[-1]] + len(seen) * p) / (sum(seen.values()) + len(seen))
+            return p
+
+        return probability
+
+    good, bad = model(accepted), model(rejected)
+    return {
+        s: sum(math.log(good(g)) - math.log(bad(g)) for g in grams(s)) / len(grams(s))
+        for s in sequences
+    }
+
+
+ODD_URLS = [
+    None, "", "no scheme", "://", "http://", "HTTP://WWW.Example.COM/en/x", "http://com", "http://com/",
+    "http://xcom/a", "http://a.net/es/", "http://a.net/es", "http://net?/es/", "http://É.NET/fr/?q",
+    "x://y://z/", "http://a.org/de/1\n2#x", "http://a.org/de/1\n2#x", "http://example.com/en/", "https://h.org",
+]
+
+
+def test_urls(spark):
+    rng = random.Random(2)
+    urls = list(ODD_URLS)
+    for _ in range(250):
+        host = rng.choice(["a", "shop", "blog.b"]) + rng.choice([".com", ".net", ".org", ".example.com"])
+        urls.append(f"http://{host}/{rng.choice(['en', 'es', 'fr', 'de'])}/{rng.randrange(99)}")
+    df = spark.createDataFrame(
+        [(k, u, k, "x") for k, u in enumerate(urls)], "page_id int, url string, gram int, host string"
+    ).repartition(3)
+    got = {r.page_id: r for r in url_filter.judge(df).collect()}
+    assert len(got) == len(urls)
+    parts = {k: split_url(u) for k, u in enumerate(urls)}
+    ruled = {k: rule_of(*p) for k, p in parts.items()}
+    of = lambda verdict: ["".join(p) for k, p in parts.items() if ruled[k][0] == verdict]
+    ratios = log_ratio({"".join(p) for p in parts.values()}, of("allow"), of("block"))
+    verdicts = defaultdict(list)
+    for k, r in got.items():
+        assert (r.host, r.path) == parts[k] and r.rule == ruled[k][1]
+        if r.rule:
+            assert r.verdict == ruled[k][0] and r.score is None
+        else:
+            assert r.score == pytest.approx(ratios["".join(parts[k])], abs=1e-6)
+            verdicts[r.verdict].append(r.score)
+    assert min(verdicts["allow"]) >= max(verdicts["block"], default=-99)
+
+
+def test_urls_without_both_kinds(spark):
+    df = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://a.com/x")], "page_id int, url string")
+    assert {r.verdict for r in url_filter.judge(df).collect()} == {"allow"}
+    assert url_filter.judge(df.limit(0)).count() == 0
+
+
+# --- mixing -----------------------------------------------------------------------
+
+
+def brute_shares(budget, nodes):
+    """{name: (weight, most)} -> {name: given}, by filling the ones that cannot take their share."""
+    given, rest = {}, dict(nodes)
+    while rest:
+        total = sum(w for w, _ in rest.values())
+        left = budget - sum(given.values())
+        full = {n: m for n, (w, m) in rest.items() if m * total <= w * left}
+        if not full:
+            return given | {n: max(0, w * left // total) for n, (w, _) in rest.items()}
+        given |= full
+        rest = {n: x for n, x in rest.items() if n not in full}
+    return given
+
+
+@pytest.mark.parametrize("budget", [10, 60, 130, 200, 400])
+def test_budgets(spark, budget):
+    rng = random.Random(budget)
+    mix = mixing.Mix(weights={"domain": {"d0": 5}, "lang": {"l1": 3}, "source": {"s0": 0, "s2": 4}}, budget_percent=budget)
+    leaves = [
+        (d, l, s, rng.randrange(1, 3000)) for d in ("d0", "d1") for l in ("l0", "l1", None) for s in ("s0", "s1", "s2", None)
+    ]
+    df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens bigint")
+    got = {tuple(r[:3]): r.quota for r in mixing.budgets(df, mix).select(*mixing.LEVELS, "quota").collect()}
+    weigh = lambda level, n: mix.weights[level].get(n, 1)
+    most = {x[:3]: 2 * x[3] for x in leaves if x[2] != "s0"}
+
+    def total(*prefix):
+        return sum(m for k, m in most.items() if k[: len(prefix)] == prefix)
+
+    root = sum(x[3] for x in leaves) * budget // 100
+    expected = {}
+    domains = brute_shares(root, {d: (weigh("domain", d), total(d)) for d in ("d0", "d1")})
+    for d, b in domains.items():
+        langs = brute_shares(b, {l: (weigh("lang", l), total(d, l)) for l in ("l0", "l1", None)})
+        for l, c in langs.items():
+            named = {s: (weigh("source", s), most[d, l, s]) for s in ("s1", "s2", None)}
+            expected |= {(d, l, s): q for s, q in brute_shares(c, named).items()}
+    assert got == expected
+
+
+@pytest.mark.parametrize("digits", [4, 1, 0])
+def test_prefixes(spark, monkeypatch, digits):
+    monkeypatch.setattr(mixing, "SLICE_DIGITS", digits)
+    import hashlib
+
+    mix = mixing.Mix(domains={"src0": "a"}, weights={"domain": {"a": 4}}, budget_percent=70, seed=3)
+    given = rows()
+    out = mixing.mix_sources(documents(spark, given), mix, into="how")
+    got = Counter((r.doc_id, r.how.epoch) for r in out.collect())
+    tokens = {i: len([w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", t or "")]) for i, t, *_ in given}
+    units = [(i, mix.domains.get(s, "other"), l, s, tokens[i]) for i, t, l, s in given if tokens[i]]
+    leaves = Counter()
+    for _, d, l, s, n in units:
+        leaves[d, l, s] += n
+    df = spark.createDataFrame([(*k, n) for k, n in leaves.items()], "domain string, lang string, source string, tokens bigint")
+    quotas = {tuple(r[:3]): r.quota for r in mixing.budgets(df, mix).select(*mixing.LEVELS, "quota").collect()}
+    expected = Counter()
+    for leaf, quota in quotas.items():
+        whole, rest = divmod(quota, leaves[leaf])
+        members = [u for u in units if u[1:4] == leaf]
+        for u in members:
+            for epoch in range(1, whole + 1):
+                expected[u[0], epoch] += 1
+        key = lambda i: hashlib.md5(f"3/{whole + 1}/{i}".encode()).hexdigest()  # noqa: B023, E731
+        for i in sorted({u[0] for u in members}, key=key):
+            same = [u for u in members if u[0] == i]
+            rest -= sum(u[4] for u in same)
+            if rest < 0:
+                break
+            expected[i, whole + 1] += len(same)
+    assert got == expected
+    for k, n in leaves.items():
+        assert sum(tokens[i] * c for (i, _), c in got.items() if any(u[0] == i and u[1:4] == k for u in units)) <= quotas[k] <= 2 * n
+
+
+def test_mixing_nothing(spark):
+    assert mixing.stage(spark, empty(spark), None).count() == 0
+    docs = documents(spark)
+    assert mixing.stage(spark, docs, None).columns == docs.columns
+
+
+# --- pipeline -------------------------------------------------------------------------
+
+
+def test_pipeline(spark, tmp_path):
+    """Each stage's rows go into the next; documents come out encoded."""
+    docs = documents(spark, extra=False)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    step = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        if k < len(corpus_pipeline.STAGES) - 1:
+            before, step = step, stage(spark, step, str(tmp_path))
+            assert step.schema == before.schema
+            ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+            assert ids(step) <= ids(before)
+            path = str(tmp_path / f"stage{k}")
+            step.write.parquet(path)
+            step = spark.read.parquet(path)
+    ranks = byte_bpe.read_ranks(__import__("public_tokenizers").path("byte_bpe_50k.tiktoken"))
+    tokens = {rank: token for token, rank in ranks.items()}
+    texts = Counter((r.doc_id, r.text) for r in step.collect())
+    decoded = Counter((r.doc_id, b"".join(map(tokens.get, r.tokens)).decode()) for r in out.collect())
+    assert texts == decoded and len(texts) > 5
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    empty(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_native_operators_have_no_python(spark):
+    for name in ("op7_mixing", "op10_quality_rules"):
+        text = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not any(w in text for w in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+    assert F is not None
