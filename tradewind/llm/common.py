@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -66,7 +65,14 @@ class Scratch:
         self.root = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
+        """Write a table and return a scan of it; the shuffle files of the step go at once."""
+        conf, key = self.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = conf.get(key, "false")
+        conf.set(key, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(f"{self.root}/{name}")
+        finally:
+            conf.set(key, before)
         return self.get(name, df)
 
     def get(self, name: str, like: DataFrame) -> DataFrame:
@@ -75,9 +81,3 @@ class Scratch:
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def release(self) -> None:
-        """Let Spark delete the shuffle files of finished steps, which it does when their
-        driver objects are collected."""
-        gc.collect()
-        self.spark._jvm.System.gc()

@@ -5,18 +5,17 @@ Removed is each byte covered by a 50-byte string that also starts in a document
 Ranks are names of classes of equal strings, taken from hashes. Instead of all suffixes, those at anchors
 are ranked (see ``anchors``): every 50-byte string names one, so equal strings are always compared.
 
-1. Spark sorts the anchors' (rank of 25 bytes, rank of the strings around it, document). A rank that
+1. Spark sorts the anchors' (rank of 20 bytes, rank of the strings around it, document). A rank that
    only one document has is unique and goes no further. Anchors that agree in both ranks have the
    same strings around them: all but the smallest document's are covered.
-2. Where the 25 bytes agree but what is around differs, ranks are doubled: each string of 50 bytes gets
+2. Where the 20 bytes agree but what is around differs, ranks are doubled: each string of 50 bytes gets
    the pair of the ranks of its halves, at offsets 0 and 25. Spark sorts these by the pair and
    document; past the threshold, all but the smallest document of each pair are covered.
 3. The covered spans are joined to their documents, merged and cut out.
 
-Whole copies of a text are found first, by its digest, and are not sorted at all. Within a map task
-equal anchors are combined before the shuffle, so that a passage which many documents share is sent
-once per task. Groups of any size are streamed in sorted order; nothing is held but
-a batch and what one document has.
+Within a map task equal rows are combined before either shuffle, so that a passage which many documents
+share, or a text with many copies, is sent once per scan. Groups of any size are streamed in sorted
+order; nothing is held but a batch and what one document has.
 
 Strings are told apart by hashes: two of 64 bits for step 1, two others of 64 bits for step 2.
 
@@ -44,10 +43,15 @@ from tradewind.llm.textscan import Scan, mix, parts
 
 SIZE = 50
 HALF = SIZE // 2
+#: Bytes of an anchor. Longer ones are more, and fewer of them agree by chance.
+GRAM = 20
 #: Text whose anchors are combined before the shuffle.
-COMBINED_BYTES = 3 << 20
-ANCHOR_SCHEMA = "key bigint, context bigint, doc bigint, first bigint, last bigint"
-NAMES = ["key", "context", "doc", "first", "last"]
+COMBINED_BYTES = 3 << 19
+#: An anchor's first string and how many follow, in one number.
+FOLLOW_BITS = 6
+ANCHOR_SCHEMA = "key bigint, context bigint, doc bigint, place bigint"
+NAMES = ["key", "context", "doc", "place"]
+PAIR_NAMES = ["a", "b", "doc", "at"]
 
 
 def _batch(names: list[str], columns) -> pa.RecordBatch:
@@ -55,39 +59,38 @@ def _batch(names: list[str], columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]):
-    """Anchors (first and last are where their strings begin); covered spans have no context.
+def _combined(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray):
+    """Rows in order of keys and document, and which are covered by a smaller document here."""
+    order = np.lexsort((doc, *reversed(keys)))
+    keys, doc, place = [k[order] for k in keys], doc[order], place[order]
+    new = _changes(*keys)
+    return keys, doc, place, doc > doc[new][np.cumsum(new) - 1]
+
+
+def _sent(names: list[str], keys: list[np.ndarray], doc, place, covered) -> pa.RecordBatch:
+    """Rows for the shuffle. Covered ones have no second key, and a first one that spreads them."""
+    first = np.where(covered, mix(doc.astype(np.uint64)), keys[0])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(first.view(np.int64)),
+            pa.array(keys[1].view(np.int64), mask=covered),
+            pa.array(doc),
+            pa.array(place),
+        ],
+        names=names,
+    )
 
-    Of anchors that agree, those of all but the smallest document here are covered: a span from ``first``
-    to ``last``, with a key that spreads them.
-    """
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch]):
+    """Anchors with both ranks; those covered by a smaller document of the same scan are marked."""
     for part in parts(batches, 1, COMBINED_BYTES):
         scan = Scan(part.column(1))
-        found = Anchors(len(scan.data), scan.offsets, scan.hashes, SIZE, HALF)
-        if not len(found.key):
-            continue
-        doc = part.column(0).to_numpy()[found.text]
-        begin = scan.offsets[found.text]
-        first, last = found.first - begin, found.last - begin
-        order = np.lexsort((doc, found.context, found.key))
-        key, context, doc, first, last = (
-            x[order] for x in (found.key, found.context, doc, first, last)
-        )
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (context[1:] != context[:-1])
-        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        covered = doc > least
-        end = np.where(covered, last + SIZE, last)
-        key = np.where(covered, mix(doc.astype(np.uint64)), key)
-        rows = pa.RecordBatch.from_arrays(
-            [
-                pa.array(key.view(np.int64)),
-                pa.array(context.view(np.int64), mask=covered),
-                pa.array(doc), pa.array(first), pa.array(end),
-            ],
-            names=NAMES,
-        )
-        yield rows
+        found = Anchors(len(scan.data), scan.offsets, scan.hashes, SIZE, GRAM)
+        if len(found.key):
+            doc = part.column(0).to_numpy()[found.text]
+            first = found.first - scan.offsets[found.text]
+            place = (first << FOLLOW_BITS) + (found.last - found.first)
+            yield _sent(NAMES, *_combined([found.key, found.context], doc, place))
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -127,14 +130,20 @@ def _spans(is_open: bool, doc, first, last) -> pa.RecordBatch:
 
 def _settle(batches: Iterator[pa.RecordBatch]):
     """Covered spans, and open ranges: the begins of strings whose ranks are neither unique nor settled."""
+
+    def spans(is_open: bool, doc, place):
+        first = place >> FOLLOW_BITS
+        last = first + (place & ((1 << FOLLOW_BITS) - 1))
+        return _spans(is_open, doc, first, last + (1 if is_open else SIZE))
+
     least_of = _Least()
     known, context_of, several_of, waiting = None, None, False, []
     for batch in batches:
         is_span = pc.is_null(batch.column(1))
-        _, _, doc, first, last = _columns(batch.filter(is_span))
+        _, _, doc, place = _columns(batch.filter(is_span))
         if len(doc):
-            yield _spans(False, doc, first, last)
-        key, context, doc, first, last = _columns(batch.filter(pc.invert(is_span)))
+            yield spans(False, doc, place)
+        key, context, doc, place = _columns(batch.filter(pc.invert(is_span)))
         if not len(key):
             continue
         covered = doc > least_of(doc, key, context)
@@ -153,17 +162,17 @@ def _settle(batches: Iterator[pa.RecordBatch]):
             waiting = []
         elif several[0]:
             for w in waiting:
-                yield _spans(True, *w)
+                yield spans(True, *w)
             waiting = []
         elif group[-1] > 0:
             waiting = []
         if not several[-1]:
             rest = (group == group[-1]) & ~covered
-            waiting.append((doc[rest], first[rest], last[rest] + 1))
+            waiting.append((doc[rest], place[rest]))
         known, context_of, several_of = key[-1], one[-1], several[-1]
-        yield _spans(False, doc[covered], first[covered], last[covered] + SIZE)
+        yield spans(False, doc[covered], place[covered])
         still = several[group] & ~covered
-        yield _spans(True, doc[still], first[still], last[still] + 1)
+        yield spans(True, doc[still], place[still])
 
 
 def _merge(batches: Iterator[pa.RecordBatch]):
@@ -228,19 +237,22 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]):
             docs.append(np.full(len(at), ids[k]))
         begin = np.concatenate(begins)
         middle = begin + HALF
-        columns = [scan.hashes(begin, middle), scan.hashes(middle, begin + SIZE)]
-        columns += [np.concatenate(docs), np.concatenate(places)]
-        for start in range(0, len(begin), 100_000):
-            piece = [mix(c[start : start + 100_000]) for c in columns[:2]]
-            piece += [c[start : start + 100_000] for c in columns[2:]]
-            yield _batch(["a", "b", "doc", "at"], piece)
+        ranks = [mix(scan.hashes(begin, middle)), mix(scan.hashes(middle, begin + SIZE))]
+        ranks, doc, at, covered = _combined(ranks, np.concatenate(docs), np.concatenate(places))
+        for start in range(0, len(doc), 100_000):
+            s = slice(start, start + 100_000)
+            yield _sent(PAIR_NAMES, [r[s] for r in ranks], doc[s], at[s], covered[s])
 
 
 def _cover(batches: Iterator[pa.RecordBatch]):
     least_of = _Least()
     for batch in batches:
-        if batch.num_rows:
-            a, b, doc, at = _columns(batch)
+        is_span = pc.is_null(batch.column(1))
+        _, _, doc, at = _columns(batch.filter(is_span))
+        if len(doc):
+            yield _spans(False, doc, at, at + SIZE)
+        a, b, doc, at = _columns(batch.filter(pc.invert(is_span)))
+        if len(doc):
             covered = doc > least_of(doc, a, b)
             yield _spans(False, doc[covered], at[covered], at[covered] + SIZE)
 
@@ -250,37 +262,20 @@ def covered_runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     given = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(text).alias("text"))
     given = given.where("doc is not null and text is not null")
-    long_enough = given.where(F.octet_length("text") >= SIZE)
-    digests = long_enough.select(
-        "doc", F.octet_length("text").cast("bigint").alias("size"), F.sha2("text", 256).alias("digest")
-    )
-    first_doc = digests.groupBy("digest").agg(F.min("doc").alias("least"))
-    copies = scratch.put(
-        "copies", digests.join(first_doc, "digest").where("doc > least").select("doc", "size")
-    )
-    single = long_enough.join(copies.select("doc").distinct(), "doc", "left_anti")
-    anchors = single.mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
+    anchors = given.mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
     by_rank = anchors.repartition("key").sortWithinPartitions("key", "context", "doc")
     settled = scratch.put("settled", by_rank.mapInArrow(_settle, SPAN_SCHEMA))
-    scratch.release()
     open_ranges = runs_by_doc(settled.where("open"))
-    pairs = single.join(open_ranges, "doc").select("doc", "text", "runs")
+    # Merged at every size, so that the cost grows evenly with the input.
+    pairs = given.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
     by_pair = (
         pairs.mapInArrow(_pair_rows, "a bigint, b bigint, doc bigint, at bigint")
         .repartition("a", "b")
         .sortWithinPartitions("a", "b", "doc")
     )
     doubled = scratch.put("doubled", by_pair.mapInArrow(_cover, SPAN_SCHEMA))
-    scratch.release()
-    whole = copies.select("doc", F.lit(0).cast("bigint").alias("first"), F.col("size").alias("last"))
-    spans = (
-        settled.where("not open").select("doc", "first", "last")
-        .unionAll(doubled.select("doc", "first", "last"))
-        .unionAll(whole)
-    )
-    runs = scratch.put("runs", runs_by_doc(spans))
-    scratch.release()
-    return runs
+    spans = settled.where("not open").unionAll(doubled)
+    return scratch.put("runs", runs_by_doc(spans))
 
 
 def cut(data: bytes, runs: bytes | None) -> tuple[bytes, int, int]:
@@ -320,7 +315,8 @@ def _digest(batches: Iterator[pa.RecordBatch]):
 def op9_suffix_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     runs = covered_runs(docs, "doc_id", "text")
-    joined = docs.join(runs, docs["doc_id"] == runs["doc"], "left").select("doc_id", "text", "runs")
+    joined = docs.hint("merge").join(runs, docs["doc_id"] == runs["doc"], "left")
+    joined = joined.select("doc_id", "text", "runs")
     return joined.mapInArrow(
         _digest,
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
@@ -340,7 +336,7 @@ def remove_covered(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
         pairs = zip(texts, packed, strict=True)
         return pd.Series([cut(t.encode(), r)[0].decode("utf-8", "ignore") for t, r in pairs])
 
-    joined = docs.join(found, quoted(id_col).cast("bigint") == F.col(doc), "left")
+    joined = docs.hint("merge").join(found, quoted(id_col).cast("bigint") == F.col(doc), "left")
     texts = F.coalesce(quoted(text), F.lit(""))
     fewer = F.when(F.col(runs).isNull(), quoted(text)).otherwise(without(texts, F.col(runs)))
     return joined.select(*[(fewer.alias(c) if c == text else quoted(c)) for c in docs.columns])
