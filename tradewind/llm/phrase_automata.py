@@ -262,16 +262,15 @@ def located(docs: DataFrame, id_col: str, text: str, make, schema: str) -> DataF
     anchors = usable.select("doc", "shard", "text").mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
     by_key = anchors.repartition("key").sortWithinPartitions("key", "context", "shard")
     confirmed = scratch.put("confirmed", by_key.mapInArrow(_confirm, PASSAGE_SCHEMA))
-    scratch.release()
     open_ranges = runs_by_doc(confirmed.where("open"))
-    pairs = usable.join(open_ranges, "doc").select("doc", "text", "runs")
+    # Merged at every size, so that the cost grows evenly with the input.
+    pairs = usable.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
     by_pair = (
         pairs.mapInArrow(_pair_rows, "a bigint, b bigint, doc bigint, at bigint")
         .repartition("a", "b")
         .sortWithinPartitions("a", "b")
     )
     windows = scratch.put("windows", by_pair.mapInArrow(_recurring, PASSAGE_SCHEMA))
-    scratch.release()
     passages = confirmed.where("not open").unionAll(windows).select("doc", "first", "last")
     packed = (
         passages.repartition("doc")

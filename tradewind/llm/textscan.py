@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are scanned at once; a longer text is a scan of its own.
-SCAN_BYTES = 1 << 21
+SCAN_BYTES = 1 << 20
 
 _rng = np.random.default_rng(20240601)
 BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
