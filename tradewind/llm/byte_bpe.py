@@ -41,10 +41,10 @@ from tradewind.llm.common import quoted, table
 
 INFINITE = 1 << 62
 #: Pieces whose encodings a Python worker keeps, and as many that were used before them.
-CACHED_PIECES = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_PIECES = 150_000
+CACHED_PAIRS = 250_000
 #: Rows that are handed over at once.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
