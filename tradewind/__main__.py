@@ -6,29 +6,24 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tradewind import schemas
 from tradewind.functions import utc_now
 from tradewind.operators import orders, reports
-from tradewind.operators.items import DEFAULT_LIMIT
+from tradewind.operators.items import with_seller
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
+from tradewind.plans.staging import staging
 from tradewind.plans.tables import TableStore
 from tradewind.session import build_session, shuffle_partitions
 from tradewind.sources.landing import ARRIVAL, read_landing, with_arrival
 from tradewind.streaming.orders_stream import run_orders_stream
 
-SINGLE_SELLER_LIMIT = 100
-
-
 def _items(spark: SparkSession, args: argparse.Namespace) -> int:
     landed = with_arrival(read_landing(spark, args.landing, schemas.RAW_ITEM, args.format))
-    limit = args.limit
-    if limit is None:
-        limit = SINGLE_SELLER_LIMIT if args.seller and len(args.seller) == 1 else DEFAULT_LIMIT
     outcomes = run_items(
-        TableStore(spark, args.root), landed, args.run_id, utc_now(), ARRIVAL, limit,
+        TableStore(spark, args.root), landed, args.run_id, utc_now(), ARRIVAL, args.limit,
         sellers=args.seller,
     )
     summary = reports.run_summary(outcomes).first()
@@ -58,18 +53,32 @@ def _stats(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def _last_orders(spark: SparkSession, args: argparse.Namespace) -> int:
-    landed = read_landing(spark, args.landing, schemas.RAW_ORDER, args.format)
-    newest = reports.last_order_documents(orders.for_sellers(landed, [args.seller]), args.n)
+    landed = with_arrival(read_landing(spark, args.landing, schemas.RAW_ORDER, args.format))
+    with staging(spark) as stage:
+        # Row numbers of a file scan must not change between two reads.
+        own = stage.put("own", orders.for_sellers(landed, [args.seller]))
+        return _print_newest(reports.last_order_documents(own, ARRIVAL, args.n))
+
+
+def _print_newest(newest: DataFrame) -> int:
     found = sorted(newest.collect(), key=lambda r: (r.date_created, r.id), reverse=True)
     print(json.dumps({"orders": [json.loads(r.document) for r in found]}, indent=2))
     return 0
 
 
 def _sellers(spark: SparkSession, args: argparse.Namespace) -> int:
-    listings = read_landing(spark, args.landing, schemas.RAW_ITEM, args.format)
-    users = read_landing(spark, args.users, schemas.RAW_USER, args.format)
+    listings = with_arrival(read_landing(spark, args.landing, schemas.RAW_ITEM, args.format))
+    users = with_arrival(read_landing(spark, args.users, schemas.RAW_USER, args.format))
     choose = reports.category_sellers if args.out else reports.quick_sellers
-    named = reports.with_nicknames(choose(listings, args.category), users)
+    with staging(spark) as stage:
+        listings = with_seller(listings).select("id", "seller_id", "category_id", ARRIVAL)
+        listings = stage.put("listings", listings)
+        users = stage.put("users", users.select("id", "nickname", ARRIVAL))
+        found = choose(listings, ARRIVAL, args.category)
+        return _print_sellers(spark, args, reports.with_nicknames(found, users, ARRIVAL))
+
+
+def _print_sellers(spark: SparkSession, args: argparse.Namespace, named: DataFrame) -> int:
     if args.out:
         named.write.csv(args.out, header=True)
         print(json.dumps({"sellers": spark.read.csv(args.out, header=True).count()}))
@@ -108,7 +117,7 @@ def _parser() -> argparse.ArgumentParser:
     command("init", _init, "create the tables", landing=False)
     sub = command("items", _items, "load listings")
     run_options(sub)
-    sub.add_argument("--limit", type=int, help="listings per seller")
+    sub.add_argument("--limit", type=int, help="listings per seller; default all")
     sub = command("orders", _orders, "load orders")
     run_options(sub)
     sub.add_argument("--start-date", help="ISO date or time, inclusive")

@@ -93,11 +93,14 @@ def competitor_ranks(items: DataFrame) -> DataFrame:
 
 
 def market_shares(orders: DataFrame) -> DataFrame:
-    """Each seller's share of all order amounts, in percent."""
+    """Each seller's share of all order amounts, in percent; 0 if all amounts are."""
     revenue = orders.groupBy("seller_id").agg(F.sum("total_amount").alias("revenue"))
-    total = orders.agg(F.sum("total_amount").cast("double")).scalar()
-    share = F.col("revenue").cast("double") / total * 100
-    return revenue.select("seller_id", "revenue", py_round(share, 2).alias("market_share_pct"))
+    # One row per seller is summed up, not the orders again.
+    total = revenue.agg(F.sum("revenue").cast("double")).scalar()
+    share = py_round(F.col("revenue").cast("double") / F.nullif(total, F.lit(0.0)) * 100, 2)
+    return revenue.select(
+        "seller_id", "revenue", F.coalesce(share, F.lit(0.0)).alias("market_share_pct")
+    )
 
 
 def growth_rates(trends: DataFrame) -> DataFrame:
@@ -127,7 +130,8 @@ def price_changes(history: DataFrame) -> DataFrame:
     Several records of an item at one time count once, by the highest record id, so
     a group has one row per run.
     """
-    recorded = history.groupBy("item_id", "recorded_at").agg(F.max_by("price", "id").alias("price"))
+    narrow = history.select("item_id", "recorded_at", "id", "price")
+    recorded = narrow.groupBy("item_id", "recorded_at").agg(F.max_by("price", "id").alias("price"))
     by_time = Window.partitionBy("item_id").orderBy("recorded_at")
     return (
         recorded.withColumn("previous_price", F.lag("price").over(by_time))
@@ -155,8 +159,11 @@ def variant_performance(items: DataFrame) -> DataFrame:
 
 
 def category_segments(items: DataFrame) -> DataFrame:
-    """Listings, average price, sales, views and conversion per category."""
-    price = F.sum(F.col("current_price").cast("decimal(18,2)")).cast("double")
+    """Listings, average price, sales, views and conversion per category.
+
+    Prices are summed exactly, with all the digits that a price has.
+    """
+    price = F.sum(F.col("current_price").cast("decimal(28,10)")).cast("double")
     return _with_conversion(
         items.groupBy("category_id").agg(
             *_sums(), safe_divide(price, F.count("current_price"), 2).alias("avg_price")

@@ -16,65 +16,84 @@ from tradewind.functions import (
     safe_divide,
     to_double,
 )
+from tradewind.operators.current import current, one_per_key
 from tradewind.operators.lookup import lookup
 from tradewind.operators.topk import first_per_key, page
+from tradewind.sources.landing import CORRUPT
 
-DEFAULT_LIMIT = 50
-QUESTION_LIMIT = 10
 NOT_AVAILABLE = "N/A"
 
 
+def with_seller(listings: DataFrame) -> DataFrame:
+    """Listings whose seller may stand in a nested object, as in search results."""
+    if "seller" not in listings.columns:
+        return listings
+    seller = F.coalesce("seller_id", "seller.id")
+    return listings.withColumn("seller_id", seller).drop("seller")
+
+
 def listings_of(
-    listings: DataFrame, status: str = "active", sellers: list[int] | None = None
+    listings: DataFrame, ord: str, status: str = "active", sellers: list[int] | None = None
 ) -> DataFrame:
-    """Listings with a status, of some sellers or of all (``None``)."""
-    chosen = listings.filter(F.col("status") == status)
-    if sellers is None:
-        return chosen
-    return chosen.filter(F.col("seller_id").isin(sellers)) if sellers else chosen.limit(0)
+    """Current copies of the listings with a status, of some sellers or of all (``None``)."""
+    if sellers is not None:
+        listings = (
+            listings.filter(F.col("seller_id").isin(sellers)) if sellers else listings.limit(0)
+        )
+    # The last copy decides: an older one may have another status.
+    return current(listings, "id", ord).filter(F.col("status") == status)
 
 
 def seller_listings(
     listings: DataFrame,
     ord: str,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Each seller's first ``limit`` listings with a status, in the order of ``ord``."""
-    return first_per_key(listings_of(listings, status, sellers), "seller_id", [ord], limit)
+    """Listings with a status, all or each seller's first ``limit`` in the order of ``ord``."""
+    found = listings_of(listings, ord, status, sellers)
+    return first_per_key(found, "seller_id", [ord], limit, keep_unkeyed=True)
 
 
-def with_details(found: DataFrame, listings: DataFrame) -> DataFrame:
-    """Full documents of the listing ids found by a search."""
-    return found.select("id").join(listings, "id")
+def with_details(found: DataFrame, listings: DataFrame, ord: str) -> DataFrame:
+    """Full current documents of the listing ids found by a search."""
+    return found.select("id").join(current(listings, "id", ord), "id")
 
 
 def search(
     listings: DataFrame,
+    ord: str,
     query: str | None = None,
     seller_id: int | None = None,
     category: str | None = None,
-    limit: int = DEFAULT_LIMIT,
+    limit: int | None = None,
     offset: int = 0,
 ) -> DataFrame:
-    """One page of listings, by id, that meet all given conditions.
+    """Current listings that meet all given conditions; with ``limit`` one page of them, by id.
 
     The text condition is ours: the title contains the query, case ignored.
     """
-    found = listings
+    found = current(listings, "id", ord)
     if query:
         found = found.filter(F.contains(F.lower("title"), F.lit(query.lower())))
     if seller_id:
         found = found.filter(F.col("seller_id") == seller_id)
     if category:
         found = found.filter(F.col("category_id") == category)
-    return page(found, [F.col("id")], limit, offset)
+    return found if limit is None else page(found, [F.col("id")], limit, offset)
 
 
-def attach_descriptions(listings: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Add ``description``: 'N/A' if there is none, null for a listing without id."""
-    text = descriptions.select("item_id", F.col("plain_text").alias("description"))
+def attach_descriptions(
+    listings: DataFrame, descriptions: DataFrame, ord: str | None = None
+) -> DataFrame:
+    """Add ``description``: 'N/A' if there is none, null for a listing without id.
+
+    Of several descriptions of an item the last one in the order of ``ord`` counts.
+    """
+    order = [ord] if ord else []
+    text = descriptions.select("item_id", F.col("plain_text").alias("description"), *order)
+    text = one_per_key(text, "item_id", ord)
     joined = lookup(listings, text, "id", "item_id")
     return joined.withColumn(
         "description",
@@ -82,9 +101,13 @@ def attach_descriptions(listings: DataFrame, descriptions: DataFrame) -> DataFra
     )
 
 
-def attach_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Add ``rating_average`` and ``total_reviews``, 0 without reviews."""
-    rated = reviews.select("item_id", "rating_average", "total_reviews")
+def attach_reviews(
+    listings: DataFrame, reviews: DataFrame, ord: str | None = None
+) -> DataFrame:
+    """Add ``rating_average`` and ``total_reviews``, 0 without reviews; the last copy counts."""
+    order = [ord] if ord else []
+    rated = reviews.select("item_id", "rating_average", "total_reviews", *order)
+    rated = one_per_key(rated, "item_id", ord)
     joined = lookup(listings, rated, "id", "item_id")
     return joined.withColumns(
         {
@@ -97,13 +120,13 @@ def attach_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
 def extract(
     listings: DataFrame,
     ord: str,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     descriptions: DataFrame | None = None,
     reviews: DataFrame | None = None,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Each seller's first listings, with descriptions and reviews where given."""
+    """Listings, all or each seller's first, with descriptions and reviews where given."""
     found = seller_listings(listings, ord, limit, status, sellers)
     if descriptions is not None:
         found = attach_descriptions(found, descriptions)
@@ -115,9 +138,9 @@ def _has_id() -> Column:
 
 
 def item_questions(
-    questions: DataFrame, ord: str = "question_id", limit: int = QUESTION_LIMIT
+    questions: DataFrame, ord: str = "question_id", limit: int | None = None
 ) -> DataFrame:
-    """The first questions of each item, with the item's ``total`` of questions."""
+    """The questions of each item, all or the first, with the item's ``total`` of them."""
     totals = questions.groupBy("item_id").agg(F.count("*").alias("total"))
     return first_per_key(questions, "item_id", [ord], limit).join(totals, "item_id")
 
@@ -129,19 +152,26 @@ def trends(landed: DataFrame, site: str, category: str | None = None) -> DataFra
 
 
 def drop_empty(listings: DataFrame) -> DataFrame:
-    """Drop documents without any value (null or ``{}`` elements of a list)."""
+    """Drop documents without any value (null or ``{}`` elements of a list).
+
+    Done once where documents are loaded; what works on loaded ones reads fewer columns.
+    """
     fields = [f.name for f in listings.schema if not f.name.startswith("_")]
     return listings.filter(F.greatest(*[F.col(c).isNotNull() for c in fields]))
 
 
-def unreadable_price() -> Column:
-    """True for a listing whose price is a text but no number."""
-    return not_a_number(F.col("price")) | not_a_number(F.col("original_price"))
+def unreadable_price(column: str) -> Column:
+    """True for a price that is a text but no finite number."""
+    value = to_double(F.col(column))
+    infinite = value.isNotNull() & (F.isnan(value) | (F.abs(value) == float("inf")))
+    return not_a_number(F.col(column)) | infinite
 
 
 def split_by_price(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Listings with readable prices, and the ones to quarantine."""
-    bad = unreadable_price()
+    """Listings that can be read, and the ones to quarantine."""
+    bad = unreadable_price("price") | unreadable_price("original_price")
+    if CORRUPT in listings.columns:
+        bad = bad | F.col(CORRUPT).isNotNull()
     return listings.filter(~bad), listings.filter(bad)
 
 
@@ -155,7 +185,7 @@ def enrich(
     """
     now = as_of_literal(as_of)
     attributes = F.col("attributes")
-    priced = drop_empty(listings).withColumns(
+    priced = listings.withColumns(
         {
             "current_price": _price(F.col("price")),
             "sold_quantity": or_zero(F.col("sold_quantity")),

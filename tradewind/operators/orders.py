@@ -16,6 +16,7 @@ from tradewind.functions import (
     wall_clock,
 )
 from tradewind.operators.lookup import match_salted
+from tradewind.sources.landing import CORRUPT
 
 # What a document must carry to be loaded.
 REQUIRED_MONEY = ("total_amount", "paid_amount")
@@ -65,7 +66,9 @@ def with_reject_reason(raw: DataFrame) -> DataFrame:
     An order with an unloadable line or payment is rejected as a whole, so a
     loaded order always has all its children.
     """
+    unreadable = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
     checks = [
+        (unreadable, "unreadable document"),
         (F.col("id").isNull(), "no order id"),
         (F.col("seller.id").isNull(), "no seller id"),
         (F.col("status").isNull(), "no status"),
@@ -86,8 +89,10 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """Quarantine records of the rejected orders."""
+    """Quarantine records of the rejected orders, with the document as it came if unreadable."""
     document = F.to_json(F.struct(*[c for c in checked.columns if c[0] != "_" and c != REASON]))
+    if CORRUPT in checked.columns:
+        document = F.coalesce(CORRUPT, document)
     return checked.filter(F.col(REASON).isNotNull()).select(
         F.lit("orders").alias("source"),
         F.col("id").alias("record_id"),
@@ -121,10 +126,12 @@ def for_sellers(raw: DataFrame, sellers: list[int] | None) -> DataFrame:
 def unseen(raw: DataFrame, seen_ids: DataFrame) -> DataFrame:
     """Order documents whose id is not in ``seen_ids`` (column ``id``).
 
-    Either side may repeat an id any number of times.
+    Either side may repeat an id any number of times.  Copies are spread by what they say,
+    so that a task that runs again sends them to the same place.
     """
     known = seen_ids.select("id").distinct()
-    return match_salted(raw, known, ["id"], F.monotonically_increasing_id(), "left_anti")
+    says = F.struct("status", "date_created", "paid_amount", "total_amount")
+    return match_salted(raw, known, ["id"], says, "left_anti")
 
 
 def flatten_orders(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -161,7 +168,7 @@ def flatten_order_items(raw: DataFrame) -> DataFrame:
     lines = raw.select(F.col("id").alias("order_id"), F.posexplode("order_items"))
     line, item = F.col("col"), F.col("col.item")
     return lines.select(
-        F.xxhash64("order_id", "pos").alias("id"),
+        F.concat_ws("/", "order_id", F.col("pos").cast("string")).alias("id"),
         "order_id",
         line["element_id"].alias("element_id"),
         item["id"].alias("item_id"),

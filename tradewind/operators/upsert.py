@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import as_of_literal
+from tradewind.operators.current import current
 from tradewind.operators.lookup import match_salted
 
 # Listing fields that an update overwrites, apart from updated_at.
@@ -32,10 +33,8 @@ SELLER_FIELDS = {
 
 
 def latest_per_key(batch: DataFrame, key: str, ord: str) -> DataFrame:
-    """The last record of each key, without ``ord``."""
-    fields = [c for c in batch.columns if c not in (key, ord)]
-    last = F.max_by(F.struct(*fields), ord).alias("_last")
-    return batch.groupBy(key).agg(last).select(key, "_last.*")
+    """The last record of each key, without ``ord``, which is unique."""
+    return current(batch.filter(F.col(key).isNotNull()), key, ord).drop(ord)
 
 
 def with_item_id(records: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def price_records(batch: DataFrame, ord: str, as_of: str | dt.datetime, run_id:
         return value.cast(kind).alias(name)
 
     return with_item_id(batch).select(
-        F.xxhash64(F.lit(run_id), "item_id", ord).alias("id"),
+        F.sha2(F.concat_ws("/", F.lit(run_id), "item_id", F.to_json(F.struct(ord))), 256).alias("id"),
         "item_id",
         F.col("current_price").alias("price"),
         optional("discount_percentage", "double"),

@@ -64,8 +64,14 @@ def _enriched(run: int | None, as_of: str, source: str | None = None) -> str:
 ITEM_COLUMNS = """title, category_id, current_price, original_price, available_quantity,
   sold_quantity, condition, brand, size, color, gender, views, conversion_rate, seller_id"""
 
-ACTIVE = """SELECT * FROM ({items}) WHERE status = 'active'
-  QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY k) <= 5"""
+# A fifth of the listings came again later, with another price and status.
+DELIVERED = f"""SELECT * REPLACE (
+    CASE WHEN k % 5 = 0 THEN price * 2 ELSE price END AS price,
+    CASE WHEN k % 5 <> 0 THEN status WHEN k % 2 = 0 THEN 'paused' ELSE 'active' END AS status),
+    CASE WHEN k % 5 = 0 THEN k + 1000000000000 ELSE k END AS arrival
+  FROM ({_items()})"""
+ACTIVE = "SELECT * FROM ({items}) WHERE status = 'active'"
+CURRENT = ACTIVE.format(items=DELIVERED)
 
 
 def _last(source: str, key: str) -> str:
@@ -97,13 +103,13 @@ def _extras(run: int, as_of: str) -> str:
     FROM ({_items(run)}) WHERE seller_id <> 0"""
 
 
-ORDER_LINES = f"""
-    SELECT l_orderkey, CAST(min(l_linenumber) AS INTEGER) AS element_id,
-      CAST(sum(CAST(l_quantity AS INTEGER)) AS INTEGER) AS quantity,
-      CAST(max(l_extendedprice) AS DECIMAL(10,2)) AS unit_price, max(l_partkey) AS partkey,
-      CASE WHEN max(l_linestatus) = 'O' THEN nullif(CAST(max(l_suppkey) AS VARCHAR), '0')
+ORDER_LINES = """
+    SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS element_id,
+      CAST(l_quantity AS INTEGER) AS quantity,
+      CAST(l_extendedprice AS DECIMAL(10,2)) AS unit_price, l_partkey AS partkey,
+      CASE WHEN l_linestatus = 'O' THEN nullif(CAST(l_suppkey AS VARCHAR), '0')
       END AS variation_id, l_returnflag
-    FROM lineitem GROUP BY l_orderkey, l_returnflag"""
+    FROM lineitem"""
 
 
 def _orders(run: int | None = None) -> str:
@@ -145,11 +151,12 @@ LINE_COLUMNS = f"""element_id, {_item_id('partkey')} AS item_id, p_name AS title
   CAST(NULL AS VARCHAR) AS variation_attributes"""
 
 
-def _lines(orders: str) -> str:
-    """Flat lines of some orders (columns id, k)."""
+def _lines(orders: str, most: int | None = None) -> str:
+    """Flat lines of some orders (columns id, k), all or those with the lowest numbers."""
+    few = f"WHERE element_id <= {most}" if most else ""
     return f"""SELECT o.id AS order_id, {LINE_COLUMNS}
     FROM ({orders}) o JOIN ({ORDER_LINES}) l ON l.l_orderkey = o.k
-    JOIN part ON p_partkey = l.partkey"""
+    JOIN part ON p_partkey = l.partkey {few}"""
 
 
 def _payments(orders: str, prefix: str = "", key: str = "k") -> str:
@@ -192,7 +199,7 @@ def _span(column: str, fn: str) -> str:
 OUTCOMES = f"""
     SELECT s_suppkey AS seller_id, coalesce(n, 0) AS n_loaded, n IS NOT NULL AS success
     FROM supplier LEFT JOIN (
-      SELECT seller_id, count(*) AS n FROM ({ACTIVE.format(items=_items())}) GROUP BY 1
+      SELECT seller_id, count(*) AS n FROM ({CURRENT}) GROUP BY 1
     ) ON seller_id = s_suppkey"""
 
 NICKNAME = "coalesce(CASE WHEN s_acctbal >= 0 THEN s_name END, 'N/A') AS nickname"
@@ -208,7 +215,7 @@ def _totals(by: str, more: str = "") -> str:
 
 
 AVG_PRICE = f""", {_fixed(
-    "CAST(sum(CAST(current_price AS DECIMAL(18,2))) AS DOUBLE) / count(current_price)", 2
+    "CAST(sum(CAST(current_price AS DECIMAL(28,10))) AS DOUBLE) / count(current_price)", 2
 )} AS avg_price"""
 
 ORACLES = {
@@ -216,12 +223,14 @@ ORACLES = {
         SELECT id, brand, size, color, CAST(NULL AS VARCHAR) AS gender FROM ({_items()})""",
     "enrich_items": f"SELECT * EXCLUDE (k) FROM ({_enriched(None, RUN_1)})",
     "items_active_limit": f"""
-        SELECT id, seller_id, title, status, CAST(price AS VARCHAR) AS price
-        FROM ({ACTIVE.format(items=_items())})""",
+        SELECT id, seller_id, title, status, CAST(price AS VARCHAR) AS price FROM ({CURRENT})
+        QUALIFY row_number() OVER (PARTITION BY seller_id ORDER BY arrival) <= 5""",
+    "items_active": f"""
+        SELECT id, seller_id, title, status, CAST(price AS VARCHAR) AS price FROM ({CURRENT})""",
     "item_details": f"""
         SELECT id, seller_id, title, category_id, available_quantity, condition,
           CASE WHEN brand IS NOT NULL THEN 4 END AS n_attributes
-        FROM ({ACTIVE.format(items=_items())})""",
+        FROM ({CURRENT})""",
     "item_lookup": f"""
         SELECT id, title, category_id, seller_id FROM ({_items()})
         WHERE id = 'MLB000000000042'""",
@@ -239,7 +248,7 @@ ORACLES = {
         SELECT id, seller_id, title, coalesce(text, 'N/A') AS description,
           CAST(coalesce(quality, 0) AS DOUBLE) AS rating_average,
           CAST(coalesce(toxic, 0) AS BIGINT) AS total_reviews
-        FROM ({ACTIVE.format(items=_items())}) LEFT JOIN documents ON documents.doc_id = k
+        FROM ({CURRENT}) LEFT JOIN documents ON documents.doc_id = k
         LEFT JOIN labels ON labels.doc_id = k""",
     "item_questions": f"""
         SELECT {_item_id('conv_id')} AS item_id, turn AS question_id, text,
@@ -356,7 +365,7 @@ ORACLES = {
     "orders_upsert": f"""
         SELECT {ORDER_COLUMNS} FROM ({FIRST_LEFT})
         UNION ALL SELECT {ORDER_COLUMNS} FROM ({SECOND})""",
-    "order_items_replace": f"{_lines(FIRST_LEFT)} UNION ALL {_lines(SECOND)}",
+    "order_items_replace": f"{_lines(FIRST_LEFT)} UNION ALL {_lines(SECOND, 2)}",
     "payments_replace": f"{_payments(FIRST_LEFT, '1-')} UNION ALL {_payments(SECOND, '2-')}",
     "etl_state_upsert": f"""
         SELECT coalesce(a.seller_id, b.seller_id) AS seller_id,
@@ -410,13 +419,22 @@ ORACLES = {
     "variant_performance": _totals("brand, size, color"),
     "category_segments": _totals("category_id", AVG_PRICE),
     "items_run": _items_after(
-        _enriched(1, RUN_1, ACTIVE.format(items=_items(1))),
-        _enriched(2, RUN_2, ACTIVE.format(items=_items(2))),
+        _enriched(1, RUN_1, ACTIVE.format(items=_last(_items(1), "id"))),
+        _enriched(2, RUN_2, ACTIVE.format(items=_last(_items(2), "id"))),
     ),
     "orders_run": f"""
-        WITH a AS ({_last(f"SELECT * FROM ({_orders(1)}) WHERE date_created >= TIMESTAMP '1996-01-01'", "id")}),
-             b AS ({_last(f"SELECT * FROM ({_orders(2)}) WHERE date_created >= TIMESTAMP '1996-01-01'", "id")})
-        SELECT {ORDER_COLUMNS} FROM a WHERE id NOT IN (SELECT id FROM b)
-        UNION ALL SELECT {ORDER_COLUMNS} FROM b""",
-    "orders_stream": _lines(_orders()),
+        SELECT {ORDER_COLUMNS} FROM ({FIRST_LEFT})
+        UNION ALL SELECT {ORDER_COLUMNS} FROM ({SECOND})""",
+    "orders_stream": f"""
+        SELECT l.*, status FROM ({_lines(_orders())}) l
+        JOIN ({_orders()}) o ON o.id = l.order_id""",
+    "last_order_documents": f"""
+        SELECT seller_id, id, date_created, CASE WHEN k % 7 = 0 THEN 'again' ELSE status END AS status
+        FROM ({_orders()})
+        QUALIFY row_number() OVER (
+          PARTITION BY seller_id ORDER BY date_created DESC, id DESC) <= 2""",
+    "orders_unreadable": f"""
+        SELECT 'orders' AS source, 'unreadable document' AS reason,
+          '{{"id": "' || id || '", "seller": {{"id": 5' AS raw_json
+        FROM ({_orders()}) WHERE k % 23 = 0""",
 }

@@ -1,8 +1,4 @@
-"""The listing run: select, enrich, and load items, sellers and price history.
-
-Descriptions and reviews are not joined here.  They belong to the extract
-(``operators.items.attach_*``) and no target table stores them.
-"""
+"""The listing run: select, enrich, and load items, sellers and price history."""
 
 from __future__ import annotations
 
@@ -11,19 +7,24 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.items import DEFAULT_LIMIT, enrich, listings_of, split_by_price
+from tradewind.operators.items import (
+    drop_empty,
+    enrich,
+    listings_of,
+    split_by_price,
+    with_seller,
+)
 from tradewind.operators.reports import seller_outcomes
-from tradewind.operators.topk import cutoffs, first_per_key, up_to_cutoff
+from tradewind.operators.topk import cutoffs, up_to_cutoff
 from tradewind.operators.upsert import (
     price_records,
-    seller_records,
     upsert_items,
     upsert_sellers,
     with_item_id,
 )
 from tradewind.plans.staging import Stage, staging
 from tradewind.plans.tables import TableStore
-from tradewind.sources.landing import ARRIVAL
+from tradewind.sources.landing import ARRIVAL, CORRUPT
 
 
 def run_items(
@@ -32,25 +33,33 @@ def run_items(
     run_id: str,
     as_of: str | dt.datetime,
     ord: str,
-    limit: int | None = DEFAULT_LIMIT,
+    limit: int | None = None,
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Load each seller's first ``limit`` listings; returns the outcome per seller.
+    """Load the current listings with a status; returns the outcome per seller.
 
-    ``ord`` is the column of arrival order.  All sellers run as one job; a run id
-    that was loaded before changes nothing.
+    ``ord`` is the column of arrival order.  All sellers run as one job; with ``limit``
+    each has only its first listings loaded.  A run id that was loaded before changes
+    nothing.
     """
     spark = store.spark
     store.refresh()
-    if not store.has_batch(run_id):
+    if not store.has_run(run_id):
         with staging(spark) as stage:
+            listings = drop_empty(with_seller(listings))
+            if sellers is not None:
+                wanted = F.col("seller_id").isin(sellers) if sellers else F.lit(False)
+                if CORRUPT in listings.columns:
+                    wanted = wanted | F.col(CORRUPT).isNotNull()
+                listings = listings.filter(wanted)
             if ord == ARRIVAL:
                 # Parsed once, and row numbers must not change between two reads.
                 listings = stage.put("landed", listings)
-            chosen = _chosen(stage, listings_of(listings, status, sellers), ord, limit)
-            readable, unreadable = split_by_price(stage.put("listings", chosen))
-            records = stage.put("records", enrich(readable, as_of, keep=(ord,)))
+            readable, unreadable = split_by_price(listings)
+            found = listings_of(readable, ord, status, sellers)
+            chosen = stage.put("listings", _chosen(stage, found, ord, limit))
+            records = stage.put("records", enrich(chosen, as_of, keep=(ord,)))
             if sellers is None:
                 requested = listings.select("seller_id").filter("seller_id IS NOT NULL")
             else:
@@ -61,42 +70,40 @@ def run_items(
                 requested, with_item_id(records)
             ).withColumn("run_id", F.lit(run_id))
             store.commit(run_id, changes)
-        store.compact_if_due("items", "sellers")
     return store.read("run_outcomes", run_id).drop("run_id")
 
 
 def _chosen(stage: Stage, listings: DataFrame, ord: str, limit: int | None) -> DataFrame:
-    """As ``first_per_key``, with the few cutoffs staged: known small, they are broadcast."""
-    if limit is None or limit <= 0:
-        return first_per_key(listings, "seller_id", [ord], limit)
-    cuts = stage.put("cutoffs", cutoffs(listings, "seller_id", [ord], limit))
-    listings = listings.filter(F.col("seller_id").isNotNull())
+    """Each seller's first listings; the few cutoffs are staged: known small, they are broadcast."""
+    if limit is None:
+        return listings
+    if limit <= 0:
+        return listings.limit(0)
+    known = listings.filter(F.col("seller_id").isNotNull())
+    cuts = stage.put("cutoffs", cutoffs(known, "seller_id", [ord], limit))
     return up_to_cutoff(listings, cuts, "seller_id", [ord])
 
 
 def load_records(
     store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str
 ) -> dict[str, DataFrame]:
-    """Changed rows of items, sellers and price history for enriched records.
-
-    Only the stored rows of touched keys are read into the upserts.
-    """
-    item_ids = with_item_id(records).select("item_id").distinct()
-    seller_ids = seller_records(records, ord).select("seller_id").distinct()
-    items = store.read("items").join(item_ids, "item_id", "left_semi")
-    sellers = store.read("sellers").join(seller_ids, "seller_id", "left_semi")
+    """New items and sellers tables and added price records for enriched records."""
     return {
-        "items": upsert_items(items, records, ord, as_of),
-        "sellers": upsert_sellers(sellers, records, ord),
+        "items": upsert_items(store.read("items"), records, ord, as_of),
+        "sellers": upsert_sellers(store.read("sellers"), records, ord),
         "price_history": price_records(records, ord, as_of, run_id),
     }
 
 
 def _quarantined(listings: DataFrame) -> DataFrame:
+    """The listings that cannot be read, as they came."""
     document = F.to_json(F.struct(*[c for c in listings.columns if not c.startswith("_")]))
+    corrupt = F.col(CORRUPT) if CORRUPT in listings.columns else F.lit(None).cast("string")
     return listings.select(
         F.lit("items").alias("source"),
         F.col("id").alias("record_id"),
-        F.lit("price is not a number").alias("reason"),
-        document.alias("raw_json"),
+        F.when(corrupt.isNotNull(), "unreadable document")
+        .otherwise("price is not a number")
+        .alias("reason"),
+        F.coalesce(corrupt, document).alias("raw_json"),
     )

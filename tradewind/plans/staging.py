@@ -14,6 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.session import shared_folder
+from tradewind.sources.files import Folder
 
 
 class Stage:
@@ -30,10 +31,7 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        Folder(self.spark, self.root).delete()
 
 
 @contextmanager

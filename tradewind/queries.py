@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 from tradewind import schemas
 from tradewind.functions import get_attr
 from tradewind.operators import insights, items, orders, reports, upsert
+from tradewind.operators.current import one_per_key
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
 from tradewind.session import shared_folder
 from tradewind.sources import testdata as td
+from tradewind.sources.files import Folder
 from tradewind.sources.landing import empty, point_lookup, read_landing
 from tradewind.streaming.orders_stream import run_orders_stream
 
 ORD = "ingest_ordinal"
 RUN_1, RUN_2 = "2024-06-01 12:00:00", "2024-06-02 12:00:00"
+# The limit of the one query that has a limit per seller.
 LIMIT = 5
 ITEM_ID = "MLB000000000042"
 USER_ID = 7
@@ -50,20 +53,23 @@ def attr_extract(spark, sf):
 
 
 def enrich_items(spark, sf):
-    return items.enrich(td.raw_items(spark, sf), RUN_1)
+    return items.enrich(items.drop_empty(td.raw_items(spark, sf)), RUN_1)
 
 
 def items_active_limit(spark, sf):
-    found = items.seller_listings(td.raw_items(spark, sf), ORD, LIMIT)
+    found = items.seller_listings(td.delivered_items(spark, sf), ORD, LIMIT)
+    return found.select("id", "seller_id", "title", "status", "price")
+
+
+def items_active(spark, sf):
+    found = items.seller_listings(td.delivered_items(spark, sf), ORD)
     return found.select("id", "seller_id", "title", "status", "price")
 
 
 def item_details(spark, sf):
-    listings = td.raw_items(spark, sf)
-    found = items.seller_listings(
-        listings.select("id", "seller_id", "status", ORD), ORD, LIMIT
-    )
-    details = items.with_details(found, listings)
+    listings = td.delivered_items(spark, sf)
+    found = items.seller_listings(listings.select("id", "seller_id", "status", ORD), ORD)
+    details = items.with_details(found, listings, ORD)
     return details.select(
         "id", "seller_id", "title", "category_id", "available_quantity", "condition",
         F.array_size("attributes").alias("n_attributes"),
@@ -77,13 +83,13 @@ def item_lookup(spark, sf):
 
 
 def item_search_page(spark, sf):
-    found = items.search(td.raw_items(spark, sf), **SEARCH)
+    found = items.search(td.delivered_items(spark, sf), ORD, **SEARCH)
     return found.select("id", "title", "category_id", "seller_id")
 
 
 def items_with_descriptions(spark, sf):
     listings = td.raw_items(spark, sf).select("id", "title")
-    return items.attach_descriptions(listings, td.raw_descriptions(spark, sf))
+    return items.attach_descriptions(listings, td.raw_descriptions(spark, sf), ORD)
 
 
 def items_with_reviews(spark, sf):
@@ -92,10 +98,9 @@ def items_with_reviews(spark, sf):
 
 
 def items_extract(spark, sf):
-    found = items.extract(
-        td.raw_items(spark, sf), ORD, LIMIT,
-        td.raw_descriptions(spark, sf), td.raw_reviews(spark, sf),
-    )
+    listings = items.seller_listings(td.delivered_items(spark, sf), ORD)
+    found = items.attach_descriptions(listings, td.raw_descriptions(spark, sf), ORD)
+    found = items.attach_reviews(found, td.raw_reviews(spark, sf))
     return found.select(
         "id", "seller_id", "title", "description", "rating_average", "total_reviews"
     )
@@ -106,7 +111,8 @@ def item_questions(spark, sf):
 
 
 def user_lookup(spark, sf):
-    return point_lookup(td.raw_users(spark, sf), "id", USER_ID, ["id", "nickname"])
+    users = one_per_key(td.raw_users(spark, sf), "id", ORD)
+    return point_lookup(users, "id", USER_ID, ["id", "nickname"])
 
 
 def category_trends(spark, sf):
@@ -134,26 +140,26 @@ def price_quarantine(spark, sf):
 
 
 def sellers_of_category(spark, sf):
-    found = reports.category_sellers(td.raw_items(spark, sf), CATEGORY)
-    return reports.with_nicknames(found, td.raw_users(spark, sf))
+    found = reports.category_sellers(td.delivered_items(spark, sf), ORD, CATEGORY)
+    return reports.with_nicknames(found, td.raw_users(spark, sf), ORD)
 
 
 def sellers_quick10(spark, sf):
-    found = reports.quick_sellers(td.raw_items(spark, sf), CATEGORY)
-    return reports.with_nicknames(found, td.raw_users(spark, sf))
+    found = reports.quick_sellers(td.delivered_items(spark, sf), ORD, CATEGORY)
+    return reports.with_nicknames(found, td.raw_users(spark, sf), ORD)
 
 
 def category_seller_counts(spark, sf):
-    return reports.count_sellers(td.raw_items(spark, sf))
+    return reports.count_sellers(td.delivered_items(spark, sf), ORD)
 
 
 def _loaded_items(spark, sf):
-    chosen = items.seller_listings(td.raw_items(spark, sf), ORD, LIMIT)
+    chosen = items.seller_listings(td.delivered_items(spark, sf), ORD)
     return upsert.with_item_id(items.enrich(chosen, RUN_1))
 
 
 def seller_outcomes(spark, sf):
-    users = td.raw_users(spark, sf).select(F.col("id").alias("seller_id"))
+    users = td.raw_users(spark, sf).select(F.col("id").alias("seller_id")).distinct()
     return reports.seller_outcomes(users, _loaded_items(spark, sf))
 
 
@@ -197,6 +203,14 @@ def orders_quarantine(spark, sf):
     return orders.rejected(checked).select("source", "record_id", "reason")
 
 
+def orders_unreadable(spark, sf):
+    """The quarantine of a landing with broken lines, with their original text."""
+    folder = _new_folder(spark)
+    td.order_texts(spark, sf).write.text(folder)
+    checked = orders.with_reject_reason(read_landing(spark, folder, schemas.RAW_ORDER))
+    return orders.rejected(checked).select("source", "reason", "raw_json")
+
+
 def orders_accepted(spark, sf):
     checked = orders.with_reject_reason(td.raw_orders(spark, sf, defects=True))
     return orders.flatten_orders(orders.accepted(checked)).select("id", "paid_amount", "currency_id")
@@ -215,6 +229,14 @@ def last_two_orders(spark, sf):
     return found.select("seller_id", "id", "date_created", "total_amount")
 
 
+def last_order_documents(spark, sf):
+    found = reports.last_order_documents(td.delivered_orders(spark, sf), ORD)
+    return found.select(
+        "seller_id", "id", "date_created",
+        F.get_json_object("document", "$.status").alias("status"),
+    )
+
+
 def orders_by_status(spark, sf):
     return reports.orders_by_status(orders_flat(spark, sf))
 
@@ -357,8 +379,8 @@ def trend_growth(spark, sf):
 def price_changes(spark, sf):
     runs = []
     for run, as_of in ((1, RUN_1), (2, RUN_2)):
-        records = upsert.latest_per_key(_item_run(spark, sf, run, as_of), "item_id", ORD)
-        records = records.withColumn(ORD, F.lit(0))
+        records = _item_run(spark, sf, run, as_of).select("item_id", "current_price", ORD)
+        records = upsert.latest_per_key(records, "item_id", ORD).withColumn(ORD, F.lit(0))
         runs.append(upsert.price_records(records, ORD, as_of, f"run-{run}"))
     return insights.price_changes(runs[0].unionByName(runs[1]))
 
@@ -380,13 +402,25 @@ def category_segments(spark, sf):
 
 
 def _new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/tradewind-{uuid.uuid4().hex}"
+    """A folder that goes when the session does: the caller still reads what is in it."""
+    path = f"{shared_folder(spark)}/tradewind-{uuid.uuid4().hex}"
+    Folder(spark, path).delete_at_exit()
+    return path
 
 
 def items_run(spark, sf):
+    """Two runs over whole deliveries; some documents are empty, some have no id."""
     store = TableStore(spark, f"{_new_folder(spark)}/tables")
-    run_items(store, td.raw_items(spark, sf, run=1), "run-1", RUN_1, ORD, LIMIT)
-    run_items(store, td.raw_items(spark, sf, run=2), "run-2", RUN_2, ORD, LIMIT)
+    for run, as_of in ((1, RUN_1), (2, RUN_2)):
+        listings, number = td.raw_items(spark, sf, run=run), F.col(ORD)
+        without_id = listings.filter(number % 40 == 0).withColumns(
+            {"id": F.lit("").cast("string"), ORD: number + td.LATER}
+        )
+        nothing = listings.filter(number % 60 == 0).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in listings.schema]
+        )
+        landed = listings.unionByName(without_id).unionByName(nothing)
+        run_items(store, landed, f"run-{run}", as_of, ORD)
     return store.read("items")
 
 
@@ -398,37 +432,45 @@ def orders_run(spark, sf):
         landing = f"{folder}/landing-{run}"
         td.raw_orders(spark, sf, run=run).write.parquet(landing)
         landed = read_landing(spark, landing, f"{ORD} BIGINT, {schemas.RAW_ORDER}", "parquet")
-        run_orders(store, landed, f"run-{run}", as_of, ORD, START)
+        run_orders(store, landed, f"run-{run}", as_of, ORD)
+        Folder(spark, landing).delete()
     return store.read("orders")
 
 
 def orders_stream(spark, sf):
-    """Streaming form, from a JSON landing; returns the loaded lines.
+    """Streaming form, from a JSON landing in several micro-batches; returns the loaded lines.
 
-    The second delivery has the same orders, some of them defective: those are
-    quarantined and keep their stored version, the others replace themselves.
+    The second delivery has the same orders, each first in another status and with some
+    defects, then as it was: the last copy counts, wherever the batches were cut.
     """
     folder = _new_folder(spark)
     store = TableStore(spark, f"{folder}/tables")
     landing = f"{folder}/landing"
     for defects, as_of in ((False, RUN_1), (True, RUN_2)):
-        td.raw_orders(spark, sf, defects=defects).drop(ORD).write.mode("append").json(landing)
-        run_orders_stream(store, landing, f"{folder}/checkpoint", f"run {as_of}", as_of)
-    return store.read("order_items").drop("id")
+        given = td.raw_orders(spark, sf, defects=defects).drop(ORD)
+        for status in (F.lit("early"), F.col("status")):
+            copies = given.withColumn("status", status).coalesce(2)
+            copies.write.mode("append").json(landing)
+        run_orders_stream(
+            store, landing, f"{folder}/checkpoint", f"run {as_of}", as_of, files_per_batch=1
+        )
+    lines = store.read("order_items").drop("id")
+    status = store.read("orders").select(F.col("id").alias("order_id"), "status")
+    return lines.join(status, "order_id")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        attr_extract, enrich_items, items_active_limit, item_details, item_lookup,
+        attr_extract, enrich_items, items_active_limit, items_active, item_details, item_lookup,
         item_search_page, items_with_descriptions, items_with_reviews, items_extract,
         item_questions,
         user_lookup, category_trends, price_quarantine,
         sellers_of_category, sellers_quick10, category_seller_counts, seller_outcomes,
         seller_run_summary,
         orders_flat, order_items_flat, payments_flat, orders_date_range, orders_of_seller,
-        orders_new_only, orders_quarantine, orders_accepted, payment_conflicts,
-        last_two_orders, orders_by_status, orders_date_span, seller_stats,
+        orders_new_only, orders_quarantine, orders_unreadable, orders_accepted, payment_conflicts,
+        last_two_orders, last_order_documents, orders_by_status, orders_date_span, seller_stats,
         seller_stats_json, order_details, order_lines,
         items_upsert, sellers_upsert, price_history_append, orders_upsert,
         order_items_replace, payments_replace, etl_state_upsert,

@@ -10,7 +10,7 @@ All times are wall-clock ``TIMESTAMP_NTZ``; load times are UTC wall clock.
 RAW_ITEM = """
     id STRING, title STRING, category_id STRING, price STRING, original_price STRING,
     available_quantity INT, sold_quantity BIGINT, condition STRING, views BIGINT,
-    seller_id BIGINT, status STRING,
+    seller_id BIGINT, seller STRUCT<id: BIGINT>, status STRING,
     attributes ARRAY<STRUCT<id: STRING, value_name: STRING, value_id: STRING>>
 """
 
@@ -60,7 +60,7 @@ ITEMS = """
 """
 
 PRICE_HISTORY = """
-    id BIGINT, item_id STRING, price DOUBLE, discount_percentage DOUBLE,
+    id STRING, item_id STRING, price DOUBLE, discount_percentage DOUBLE,
     competitor_rank INT, price_position STRING, recorded_at TIMESTAMP_NTZ,
     recorded_date DATE
 """
@@ -86,7 +86,7 @@ ORDERS = """
 """
 
 ORDER_ITEMS = """
-    id BIGINT, order_id STRING, element_id INT, item_id STRING, title STRING,
+    id STRING, order_id STRING, element_id INT, item_id STRING, title STRING,
     category_id STRING, variation_id STRING, seller_sku STRING, quantity INT,
     unit_price DECIMAL(10,2), full_unit_price DECIMAL(10,2), sale_fee DECIMAL(10,2),
     listing_type_id STRING, condition STRING, warranty STRING,

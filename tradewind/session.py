@@ -46,11 +46,14 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see, as the cluster names it in spark.checkpoint.dir.
 
-    Only a session without any such folder (a local test) gets a temporary one.
+    Only a local session without one gets a temporary folder; on a cluster that would be
+    one machine's, so there it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

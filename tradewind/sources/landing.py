@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARRIVAL = "_arrival"
+ARRIVAL_SCHEMA = "STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>"
+#: The text of a document that does not parse, or not with the types it should have.
+CORRUPT = "_corrupt"
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -23,11 +26,20 @@ def _fmt(fmt: str) -> str:
     return fmt
 
 
+def _typed(reader, schema: str, fmt: str):
+    """A reader of documents that keeps the text of those it cannot read."""
+    reader = reader.format(_fmt(fmt)).schema(f"{schema}, {CORRUPT} STRING")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT) if fmt == "json" else reader
+
+
 def read_landing(
     spark: SparkSession, path: str, schema: str, fmt: str = "json", where: Column | None = None
 ) -> DataFrame:
-    """Scan a landing folder; an absent key reads as null."""
-    df = spark.read.format(_fmt(fmt)).schema(schema).load(path)
+    """Scan a landing folder; an absent key reads as null.
+
+    ``_corrupt`` has the whole text of an unreadable document, whose fields are null.
+    """
+    df = _typed(spark.read, schema, fmt).load(path)
     return df if where is None else df.filter(where)
 
 
@@ -36,8 +48,7 @@ def stream_landing(
 ) -> DataFrame:
     """The same scan as a stream of newly landed files, with their ``_metadata``."""
     return (
-        spark.readStream.format(_fmt(fmt))
-        .schema(schema)
+        _typed(spark.readStream, schema, fmt)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
         .select("*", "_metadata")

@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 BIG_SELLER = 1
 PARTS_PER_SELLER = 18
 CUSTOMERS_PER_SELLER = 15
-RETURN_FLAGS = ("A", "N", "R")
 SITE = "MLB"
+# Line numbers per order document: what is beyond goes into further documents of the order.
+LINE_NUMBERS = 64
+# A later delivery's orders of arrival are that much higher.
+LATER = 10**12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,10 +122,30 @@ def seller_extras(records: DataFrame) -> DataFrame:
     )
 
 
+def delivered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All listings, a fifth of them delivered again later with another price and status."""
+    first, key = raw_items(spark, sf_dir), F.col("ingest_ordinal")
+    again = first.filter(key % 5 == 0).withColumns(
+        {
+            "price": (F.col("price").cast("double") * 2).cast("string"),
+            "status": F.when(key % 2 == 0, "paused").otherwise("active"),
+            "ingest_ordinal": key + LATER,
+        }
+    )
+    return first.unionByName(again)
+
+
 def raw_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
-        listing_id(F.col("doc_id")).alias("item_id"), F.col("text").alias("plain_text")
+    """Descriptions, of which a third was delivered in an older version before."""
+    text = table(spark, sf_dir, "documents").select(
+        listing_id(F.col("doc_id")).alias("item_id"),
+        F.col("text").alias("plain_text"),
+        F.col("doc_id").alias("ingest_ordinal"),
+    )
+    stale = text.filter(F.col("ingest_ordinal") % 3 == 0).withColumns(
+        {"plain_text": F.lit("stale"), "ingest_ordinal": F.col("ingest_ordinal") - LATER}
     )
+    return stale.unionByName(text)
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,12 +157,17 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One user per supplier; accounts in debt show no nickname."""
-    return table(spark, sf_dir, "supplier").select(
+    """One user per supplier; accounts in debt show no nickname, and some changed theirs."""
+    users = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("id"),
         F.when(F.col("s_acctbal") >= 0, F.col("s_name")).alias("nickname"),
         F.lit(SITE).alias("site_id"),
+        F.col("s_suppkey").alias("ingest_ordinal"),
     )
+    older = users.filter(F.col("id") % 2 == 0).withColumns(
+        {"nickname": F.lit("former"), "ingest_ordinal": F.col("ingest_ordinal") - LATER}
+    )
+    return older.unionByName(users)
 
 
 def raw_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,37 +210,36 @@ def _shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order an array with a line per return flag.
+def _order_lines(
+    spark: SparkSession, sf_dir: str, run: int | None, further: bool
+) -> DataFrame:
+    """The lines of each order, as arrays for a bounded range of line numbers each.
 
-    The array has one fixed slot per flag, so no order grows without bound and a
-    huge order is combined map-side.
+    The first range has a row per order, ``further`` ones one for each more that it fills.
+    Run 2 delivers fewer lines than run 1.
     """
     part = table(spark, sf_dir, "part")
-    per_flag = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", "l_returnflag")
-        .agg(
-            F.min("l_linenumber").alias("number"),
-            F.sum(F.col("l_quantity").cast("int")).cast("int").alias("quantity"),
-            F.max("l_extendedprice").alias("price"),
-            F.max("l_partkey").alias("partkey"),
-            F.max("l_suppkey").alias("suppkey"),
-            F.bool_or(F.col("l_linestatus") == "O").alias("is_open"),
-        )
-    )
+    lines = table(spark, sf_dir, "lineitem")
+    number = F.col("l_linenumber")
+    lines = lines.filter(number > LINE_NUMBERS if further else number <= LINE_NUMBERS)
+    if run == 2:
+        lines = lines.filter(F.col("l_linenumber") <= 2)
+
+    def money(column: str) -> Column:
+        return F.col(column).cast("decimal(12,2)").cast("string")
+
     line = F.struct(
-        F.col("number").alias("element_id"),
-        "quantity",
-        F.col("price").cast("decimal(12,2)").cast("string").alias("unit_price"),
-        F.col("p_retailprice").cast("decimal(12,2)").cast("string").alias("full_unit_price"),
+        F.col("l_linenumber").cast("int").alias("element_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        money("l_extendedprice").alias("unit_price"),
+        money("p_retailprice").alias("full_unit_price"),
         F.lit(None).cast("string").alias("sale_fee"),
         F.col("l_returnflag").alias("listing_type_id"),
         F.struct(
-            listing_id(F.col("partkey")).alias("id"),
+            listing_id(F.col("l_partkey")).alias("id"),
             F.col("p_name").alias("title"),
             F.col("p_type").alias("category_id"),
-            F.when(F.col("is_open"), F.col("suppkey"))
+            F.when(F.col("l_linestatus") == "O", F.col("l_suppkey"))
             .cast("string")
             .alias("variation_id"),
             F.col("p_brand").alias("seller_sku"),
@@ -221,18 +248,29 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("variation_attributes"),
         ).alias("item"),
     )
-    slots = [F.max(F.when(F.col("l_returnflag") == flag, line)) for flag in RETURN_FLAGS]
+    range_of = F.floor((number - 1) / LINE_NUMBERS).cast("int").alias("part_number")
     return (
-        per_flag.join(part, F.col("partkey") == part["p_partkey"])
-        .groupBy("l_orderkey")
-        .agg(F.array_compact(F.array(*slots)).alias("order_items"))
+        lines.join(part, F.col("l_partkey") == part["p_partkey"])
+        .groupBy("l_orderkey", *([range_of] if further else []))
+        .agg(F.sort_array(F.collect_list(line)).alias("order_items"))
     )
 
 
 def raw_orders(
     spark: SparkSession, sf_dir: str, run: int | None = None, defects: bool = False
 ) -> DataFrame:
-    """Order documents.  With ``defects`` some cannot be loaded, for varied reasons."""
+    """Order documents.  With ``defects`` some cannot be loaded, for varied reasons.
+
+    An order with very many lines has them in several documents; of the test tables none
+    has, and the scan for those skips all row groups by their statistics.
+    """
+    first, further = (_documents(spark, sf_dir, run, defects, x) for x in (False, True))
+    return first.unionByName(further)
+
+
+def _documents(
+    spark: SparkSession, sf_dir: str, run: int | None, defects: bool, further: bool
+) -> DataFrame:
     key, total = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     seller = _seller(key, F.col("o_custkey"), CUSTOMERS_PER_SELLER)
     order_id = delivered_key(key, run).cast("string")
@@ -265,10 +303,14 @@ def raw_orders(
     orders = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    # One row per order on the right: a join whose columns go unused is not run.
+    # One row per order on the right: a left join whose columns go unused is not run.
     built = orders.join(_shipped(spark, sf_dir), key == F.col("shipped_order"), "left").join(
-        _order_lines(spark, sf_dir), key == F.col("l_orderkey"), "left"
+        _order_lines(spark, sf_dir, run, further),
+        key == F.col("l_orderkey"),
+        "inner" if further else "left",
     )
+    if further:
+        order_id = F.concat_ws("-", order_id, F.col("part_number").cast("string"))
     return built.select(
         key.alias("ingest_ordinal"),
         order_id.alias("id"),
@@ -300,6 +342,24 @@ def raw_orders(
     )
 
 
+def delivered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All order documents, a seventh of them delivered again later in another status."""
+    first, key = raw_orders(spark, sf_dir), F.col("ingest_ordinal")
+    again = first.filter(key % 7 == 0).withColumns(
+        {"status": F.lit("again"), "ingest_ordinal": key + LATER}
+    )
+    return first.unionByName(again)
+
+
+def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents as lines of JSON, of which some are cut off."""
+    orders = raw_orders(spark, sf_dir)
+    key = F.col("ingest_ordinal")
+    text = F.to_json(F.struct(*[c for c in orders.columns if c != "ingest_ordinal"]))
+    broken = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "seller": {"id": 5'))
+    return orders.select(F.when(key % 23 == 0, broken).otherwise(text).alias("value"))
+
+
 def _payment(number: Column, kind: str, seller: Column, amount: Column, day: Column) -> Column:
     null_text = F.lit(None).cast("string")
     return F.struct(
