@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 from tradewind.llm.anchors import Anchors, stretch_hashes
 from tradewind.llm.common import Scratch, quoted, table
 from tradewind.llm.suffix_dedup import _batch, _changes, _columns, runs_by_doc
-from tradewind.llm.textscan import Scan, mix, parts
+from tradewind.llm.textscan import SPACE, Scan, mix, parts
 
 SIZE = 35
 HALF = SIZE // 2
 #: Text of a shard.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+#: Bytes of a word's hash that the automaton reads.
+LETTERS = 3
 
 ANCHOR_SCHEMA = (
     "key bigint, context bigint, shard bigint, doc bigint, first bigint, last bigint, n bigint"
@@ -165,23 +167,50 @@ def _recurring(batches: Iterator[pa.RecordBatch]):
         single = (doc[-1:], at[-1:], at[-1:] + SIZE) if total == 1 else None
 
 
-def locate(sequences: list[np.ndarray], passages: list[np.ndarray]) -> list[np.ndarray]:
-    """Which items of each sequence are covered by an occurrence of any of the passages."""
-    covered = [np.zeros(len(s), bool) for s in sequences]
-    if not passages:
-        return covered
-    ids = np.unique(np.concatenate(sequences), return_inverse=True)
-    names = dict(zip(ids[0].tolist(), range(1, len(ids[0]) + 1), strict=True))
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for passage in passages:
-        automaton.add_word(tuple(names[x] for x in passage.tolist()), len(passage))
-    automaton.make_automaton()
-    bounds = np.cumsum([0, *map(len, sequences)])
-    for k, marks in enumerate(covered):
-        line = tuple((ids[1][bounds[k] : bounds[k + 1]] + 1).tolist())
-        for end, length in automaton.iter(line):
-            marks[end + 1 - length : end + 1] = True
-    return covered
+def locate(words: np.ndarray, bounds: np.ndarray, begins: np.ndarray, ends: np.ndarray):
+    """Which words are covered by an occurrence of any passage.
+
+    Text ``k`` is ``words[bounds[k]:bounds[k + 1]]`` (hashes), passage ``p`` is
+    ``words[begins[p]:ends[p]]``. The automaton reads three bytes of each word's hash, which keeps its
+    nodes small; what it finds is compared by hashes of the whole stretch.
+    """
+    edges = np.zeros(len(words) + 1, np.int64)
+    if len(begins):
+        letters = words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LETTERS]
+        line = letters.tobytes().decode("latin-1")
+        hashes = stretch_hashes(words)
+        wanted = hashes(begins, ends)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for p, (begin, end) in enumerate(zip(begins.tolist(), ends.tolist(), strict=True)):
+            automaton.add_word(line[begin * LETTERS : end * LETTERS], p)
+        automaton.make_automaton()
+        found = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            text = line[a * LETTERS : b * LETTERS]
+            found += [(a + (i + 1) // LETTERS, p) for i, p in automaton.iter(text) if (i + 1) % LETTERS == 0]
+        if found:
+            end, passage = np.array(found, np.int64).T
+            begin = end - (ends - begins)[passage]
+            right = hashes(begin, end) == wanted[passage]
+            np.add.at(edges, begin[right], 1)
+            np.add.at(edges, end[right], -1)
+    return np.cumsum(edges[:-1]) > 0
+
+
+def kept_texts(scan: Scan, begins, ends, bounds, kept: np.ndarray) -> list[bytes]:
+    """Each text's kept words, joined by one space."""
+    begins, ends = begins[kept], ends[kept]
+    text = np.searchsorted(scan.offsets, begins, "right") - 1
+    more = np.zeros(len(begins), bool)
+    more[:-1] = text[1:] == text[:-1]
+    # A word and the one byte after it, if another word follows in the text.
+    edges = np.zeros(len(scan.data) + 2, np.int8)
+    edges[begins] += 1
+    edges[ends + more] -= 1
+    mask = np.cumsum(edges[: len(scan.data)], dtype=np.int8) > 0
+    line = np.where(SPACE[scan.data], np.uint8(0x20), scan.data)[mask]
+    cuts = np.concatenate([[0], np.cumsum(mask)])[scan.offsets]
+    return [line[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _shards(batches: Iterator[pa.RecordBatch]):
@@ -211,23 +240,21 @@ def _stream(make, names: list[str]):
             scan = Scan(texts.column("text").combine_chunks())
             begins, ends, bounds = scan.words()
             words = mix(scan.hashes(begins, ends))
-            place = {d: k for k, d in enumerate(texts.column("doc").to_pylist())}
-            passages = []
-            for doc, runs in zip(
-                sent.column("doc").to_pylist(), sent.column("runs").to_pylist(), strict=True
-            ):
-                begin = bounds[place[doc]]
-                for first, last in np.frombuffer(runs, "<i8").reshape(-1, 2).tolist():
-                    passages.append(words[begin + first : begin + last])
-            sequences = [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            ids, out = texts.column("doc").to_pylist(), []
-            for k, marks in enumerate(locate(sequences, passages)):
-                marks &= ids[k] is not None
-                kept = [
-                    scan.data[begins[i] : ends[i]].tobytes()
-                    for i in bounds[k] + np.flatnonzero(~marks)
-                ]
-                out.append(make(texts.column("text")[k], kept, marks))
+            ids = texts.column("doc").to_pylist()
+            place = {d: k for k, d in enumerate(ids)}
+            runs = [np.frombuffer(r, "<i8").reshape(-1, 2) for r in sent.column("runs").to_pylist()]
+            start = [bounds[place[d]] for d in sent.column("doc").to_pylist()]
+            spans = [r + x for r, x in zip(runs, start, strict=True)] or [np.empty((0, 2), np.int64)]
+            gone = locate(words, bounds, *np.concatenate(spans).T)
+            gone &= np.repeat([d is not None for d in ids], np.diff(bounds))
+            left = kept_texts(scan, begins, ends, bounds, ~gone)
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[bounds])
+            out = [
+                make(texts.column("text")[k], kept, int(n), int(r))
+                for k, (kept, n, r) in enumerate(
+                    zip(left, np.diff(bounds), removed, strict=True)
+                )
+            ]
             yield pa.RecordBatch.from_arrays(
                 [texts.column("doc").combine_chunks(), *(pa.array(c) for c in zip(*out, strict=True))]
                 if out
@@ -252,7 +279,8 @@ def _pack(batches: Iterator[pa.RecordBatch]):
 
 
 def located(docs: DataFrame, id_col: str, text: str, make, schema: str) -> DataFrame:
-    """A row (doc, and what ``make`` returns of text, kept words and marks) for each document."""
+    """A row for each document: doc, and what ``make`` returns of its text, the kept words joined by
+    one space, and the numbers of words and of removed words."""
     scratch = Scratch(docs.sparkSession)
     given = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(text).alias("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -287,15 +315,15 @@ def located(docs: DataFrame, id_col: str, text: str, make, schema: str) -> DataF
     return dealt.mapInArrow(_stream(make, names), schema)
 
 
-def _digest(text, kept: list[bytes], marks: np.ndarray):
-    return len(marks), int(marks.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()
+def _digest(text, kept: bytes, n_words: int, n_removed: int):
+    return n_words, n_removed, hashlib.sha256(kept).hexdigest()
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id and text of every row, the words that are left joined by one space where any have gone."""
 
-    def make(value, kept, marks):
-        return (b" ".join(kept).decode() if marks.any() else value.as_py(),)
+    def make(value, kept, n_words, n_removed):
+        return (kept.decode() if n_removed else value.as_py(),)
 
     out = located(docs, id_col, text, make, "doc bigint, text string")
     return out.toDF(id_col, text)
