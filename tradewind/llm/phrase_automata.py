@@ -17,8 +17,8 @@ size are streamed in sorted order. A shard's texts and automaton are what a task
 Words are told apart by hashes of 64 bits, windows by two of them.
 
 Defined results: a null text has no words; texts under 35 words lose nothing; rows without an id lose nothing
-and are not compared; rows of equal id are taken to repeat one document, so that all its windows recur. An
-empty table gives no rows. Only id and text are read, so other columns cannot clash.
+and are not compared; rows of equal id are taken to repeat one document, so that all its windows recur (if
+their texts differ, each may lose words for any of them). An empty table gives no rows. Only id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -242,9 +242,10 @@ def _stream(make, names: list[str]):
             words = mix(scan.hashes(begins, ends))
             ids = texts.column("doc").to_pylist()
             place = {d: k for k, d in enumerate(ids)}
-            runs = [np.frombuffer(r, "<i8").reshape(-1, 2) for r in sent.column("runs").to_pylist()]
-            start = [bounds[place[d]] for d in sent.column("doc").to_pylist()]
-            spans = [r + x for r, x in zip(runs, start, strict=True)] or [np.empty((0, 2), np.int64)]
+            spans = [np.empty((0, 2), np.int64)]
+            for doc, runs in zip(*(sent.column(c).to_pylist() for c in ("doc", "runs")), strict=True):
+                runs, k = np.frombuffer(runs, "<i8").reshape(-1, 2), place[doc]
+                spans.append(runs[runs[:, 1] <= bounds[k + 1] - bounds[k]] + bounds[k])
             gone = locate(words, bounds, *np.concatenate(spans).T)
             gone &= np.repeat([d is not None for d in ids], np.diff(bounds))
             left = kept_texts(scan, begins, ends, bounds, ~gone)

@@ -221,19 +221,34 @@ def runs_by_doc(spans: DataFrame) -> DataFrame:
     return sorted_spans.mapInArrow(_merge, "doc bigint, runs binary")
 
 
+def _open_bytes(batches: Iterator[pa.RecordBatch]):
+    """(doc, runs, bytes): of each text only the strings that begin in its ranges, range by range."""
+    for batch in batches:
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        ranges, cut_out = [], []
+        for text, runs in zip(texts, batch.column(2).to_pylist(), strict=True):
+            pairs = np.minimum(np.frombuffer(runs, "<i8").reshape(-1, 2), len(text) - SIZE + 1)
+            pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+            ranges.append(pairs.tobytes())
+            cut_out.append(b"".join(text[a : b + SIZE - 1] for a, b in pairs.tolist()))
+        columns = [batch.column(0), *(pa.array(c, pa.binary()) for c in (ranges, cut_out))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "runs", "bytes"])
+
+
 def _pair_rows(batches: Iterator[pa.RecordBatch]):
     """(a, b, doc, at): the ranks of both halves of every string that begins in a document's ranges."""
-    for part in parts(batches, 1):
-        scan = Scan(part.column(1))
+    for part in parts(batches, 2):
+        scan = Scan(part.column(2))
         begins, docs, places = [], [], []
         ids = part.column(0).to_numpy()
-        for k, runs in enumerate(part.column(2).to_pylist()):
+        for k, runs in enumerate(part.column(1).to_pylist()):
             first, last = np.frombuffer(runs, "<i8").reshape(-1, 2).T
-            last = np.minimum(last, scan.offsets[k + 1] - scan.offsets[k] - SIZE + 1)
-            sizes = np.maximum(last - first, 0)
+            sizes = last - first
             at = np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+            # Where the ranges lie among the bytes that were cut out.
+            shift = np.cumsum(sizes + SIZE - 1) - (sizes + SIZE - 1) - first
             places.append(at)
-            begins.append(at + scan.offsets[k])
+            begins.append(at + np.repeat(shift, sizes) + scan.offsets[k])
             docs.append(np.full(len(at), ids[k]))
         begin = np.concatenate(begins)
         middle = begin + HALF
@@ -266,14 +281,19 @@ def covered_runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     by_rank = anchors.repartition("key").sortWithinPartitions("key", "context", "doc")
     settled = scratch.put("settled", by_rank.mapInArrow(_settle, SPAN_SCHEMA))
     open_ranges = runs_by_doc(settled.where("open"))
-    # Merged at every size, so that the cost grows evenly with the input.
-    pairs = given.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
+    # Merged at every size, so that the cost grows evenly with the input. What is cut out of the
+    # texts is written, so that their shuffle files are gone before the pairs make theirs.
+    texts = given.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
+    pairs = scratch.put(
+        "open", texts.mapInArrow(_open_bytes, "doc bigint, runs binary, bytes binary")
+    )
     by_pair = (
         pairs.mapInArrow(_pair_rows, "a bigint, b bigint, doc bigint, at bigint")
         .repartition("a", "b")
         .sortWithinPartitions("a", "b", "doc")
     )
     doubled = scratch.put("doubled", by_pair.mapInArrow(_cover, SPAN_SCHEMA))
+    scratch.drop("open")
     spans = settled.where("not open").unionAll(doubled)
     return scratch.put("runs", runs_by_doc(spans))
 
