@@ -68,3 +68,17 @@ def test_price_changes(spark):
     assert rows(insights.price_changes(df), "item_id", "previous_price", "price") == [
         ("a", 5.0, 6.0), ("a", 6.0, 5.0)
     ]
+
+
+def test_average_price_is_rounded_once(spark):
+    df = spark.createDataFrame(
+        [("c", p, 1, 2) for p in (1.004, 1.004, 1.008)],
+        "category_id STRING, current_price DOUBLE, sold_quantity BIGINT, views BIGINT",
+    )
+    assert insights.category_segments(df).first().avg_price == 1.01
+
+
+def test_shares_of_nothing(spark):
+    df = spark.createDataFrame([(1, "0.00"), (2, "0.00")], "seller_id BIGINT, t STRING")
+    df = df.selectExpr("seller_id", "CAST(t AS DECIMAL(10,2)) AS total_amount")
+    assert rows(insights.market_shares(df), "seller_id", "market_share_pct") == [(1, 0.0), (2, 0.0)]

@@ -53,14 +53,16 @@ def test_prices(raw, price, original, expected):
 
 def test_empty_elements_are_dropped(spark, tmp_path):
     df = land(spark, tmp_path / "l", [listing("a"), {}, listing("b")], schemas.RAW_ITEM)
-    assert rows(items.enrich(df, AS_OF), "item_id") == [("a",), ("b",)]
+    assert rows(items.enrich(items.drop_empty(df), AS_OF), "item_id") == [("a",), ("b",)]
 
 
 def test_unreadable_prices_are_split_off(raw):
     good, bad = items.split_by_price(
-        raw(listing("a", price="x"), listing("b", original_price="?"), listing("c", price=""))
+        raw(listing("a", price="x"), listing("b", original_price="?"), listing("c", price=""),
+            listing("d", price="NaN"), listing("e", original_price="-Infinity"))
     )
-    assert rows(good, "id") == [("c",)] and rows(bad, "id") == [("a",), ("b",)]
+    assert rows(good, "id") == [("c",)]
+    assert rows(bad, "id") == [("a",), ("b",), ("d",), ("e",)]
 
 
 def test_descriptions_and_reviews(spark, tmp_path, raw):
@@ -99,7 +101,34 @@ def test_seller_listings(raw):
     for limit, sellers in ((0, None), (-1, None), (5, [])):
         assert items.seller_listings(df, order, limit, sellers=sellers).isEmpty()
     found = items.seller_listings(df.select("id", "seller_id", "status", "ord"), order, 1)
-    assert rows(items.with_details(found, df), "id", "title") == [("a0", "Thing"), ("b", "Thing")]
+    assert rows(items.with_details(found, df, "ord"), "id", "title") == [("a0", "Thing"), ("b", "Thing")]
+
+
+def test_only_current_copies_count(spark, raw):
+    df = raw(
+        listing("a", price=10), listing("b", price=10), listing("c"), listing("n", seller_id=None),
+        listing("a", price=99), listing("b", status="paused"), listing("c", title="Ring", category_id="R"),
+    )
+    assert rows(items.seller_listings(df, "ord", 2), "id", "price") == [("a", "99"), ("c", None), ("n", None)]
+    assert rows(items.seller_listings(df, "ord"), "id") == [("a",), ("c",), ("n",)]
+    assert rows(items.with_details(df.select("id").distinct(), df, "ord"), "id", "price") == sorted(
+        [("a", "99"), ("b", None), ("c", None), ("n", None)], key=repr
+    )
+    assert rows(items.search(df, "ord", "ring"), "id") == [("c",)]
+    assert rows(reports.category_sellers(df, "ord", "R")) == [(5,)]
+    texts = spark.createDataFrame(
+        [("a", "old", 1), ("a", "new", 2), ("c", "x", 1)], "item_id STRING, plain_text STRING, o INT"
+    )
+    got = items.attach_descriptions(df.filter("ord < 3").select("id"), texts, "o")
+    assert rows(got) == [("a", "new"), ("b", "N/A"), ("c", "x")]
+    users = spark.createDataFrame([(5, "old", "M", 1), (5, "new", "M", 2)], "id BIGINT, nickname STRING, site STRING, o INT")
+    sellers = spark.createDataFrame([(5,)], "seller_id BIGINT")
+    assert rows(reports.with_nicknames(sellers, users, "o")) == [(5, "new")]
+
+
+def test_nested_sellers(raw):
+    df = items.with_seller(raw(listing("a", seller_id=None, seller={"id": 8}), listing("b", seller_id=3)))
+    assert rows(df, "id", "seller_id") == [("a", 8), ("b", 3)]
 
 
 def test_point_lookup(raw):
@@ -115,17 +144,18 @@ def test_search(raw):
         listing("b", title="ring 100%", category_id="Y", seller_id=1),
         listing("c", title="Hat", category_id="X", seller_id=2),
     )
-    assert rows(items.search(df, "RING"), "id") == [("a",), ("b",)]
-    assert rows(items.search(df, "0%"), "id") == [("b",)]
-    assert rows(items.search(df, category="X", seller_id=2), "id") == [("c",)]
-    assert rows(items.search(df, limit=1, offset=1), "id") == [("b",)]
-    assert rows(items.search(df, query="", seller_id=0, category=None), "id") == [("a",), ("b",), ("c",)]
-    assert items.search(df, offset=3).isEmpty() and items.search(df, limit=0).isEmpty()
+    assert rows(items.search(df, "ord", "RING"), "id") == [("a",), ("b",)]
+    assert rows(items.search(df, "ord", "0%"), "id") == [("b",)]
+    assert rows(items.search(df, "ord", category="X", seller_id=2), "id") == [("c",)]
+    assert rows(items.search(df, "ord", limit=1, offset=1), "id") == [("b",)]
+    assert rows(items.search(df, "ord", query="", seller_id=0, category=None), "id") == [("a",), ("b",), ("c",)]
+    assert items.search(df, "ord", limit=9, offset=3).isEmpty() and items.search(df, "ord", limit=0).isEmpty()
 
 
 def test_questions_and_trends(spark):
     questions = spark.createDataFrame([("i", n, "q") for n in range(12)], schemas.RAW_QUESTION)
-    got = items.item_questions(questions)
+    assert items.item_questions(questions).count() == 12
+    got = items.item_questions(questions, limit=10)
     assert rows(got, "question_id", "total") == [(n, 12) for n in range(10)]
     landed = spark.createDataFrame([("MLB", "C", "x"), ("MLB", "D", "y"), ("MLA", "C", "z")], schemas.RAW_TREND)
     assert rows(items.trends(landed, "MLB"), "keyword") == [("x",), ("y",)]
@@ -138,9 +168,9 @@ def test_category_sellers(spark, raw):
         listing("c", seller_id=0, category_id="X"), listing("d", seller_id=None, category_id="X"),
         listing("e", seller_id=2, category_id="X"), listing("f", seller_id=3, category_id="Y"),
     )
-    assert rows(reports.category_sellers(df, "X")) == [(1,), (2,)]
-    assert rows(reports.quick_sellers(df, "X", 4)) == [(1,)]
-    assert rows(reports.count_sellers(df)) == [("X", 2), ("Y", 1)]
+    assert rows(reports.category_sellers(df, "ord", "X")) == [(1,), (2,)]
+    assert rows(reports.quick_sellers(df, "ord", "X", 4)) == [(1,)]
+    assert rows(reports.count_sellers(df, "ord")) == [("X", 2), ("Y", 1)]
     users = spark.createDataFrame([(1, "shop", "MLB")], schemas.RAW_USER)
-    named = reports.with_nicknames(reports.category_sellers(df, "X"), users)
+    named = reports.with_nicknames(reports.category_sellers(df, "ord", "X"), users)
     assert rows(named) == [(1, "shop"), (2, "N/A")]

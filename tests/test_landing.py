@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind import schemas
+from tradewind.operators.orders import rejected, with_reject_reason
 from tradewind.sources.landing import read_landing
 from tradewind.streaming.orders_stream import run_orders_stream
 
@@ -13,9 +14,21 @@ def test_any_lookup_table_can_be_read(spark, tmp_path):
     schema = "id STRING, name STRING, total_items BIGINT"
     land(spark, tmp_path / "categories", [{"id": "C1", "name": "É"}, {"id": "C2", "total_items": 3}], schema)
     df = read_landing(spark, str(tmp_path / "categories"), schema)
-    assert rows(df) == [("C1", "É", None), ("C2", None, 3)]
+    assert rows(df) == [("C1", "É", None, None), ("C2", None, 3, None)]
     assert rows(read_landing(spark, str(tmp_path / "categories"), schema, where=F.col("id") == "C2")) == [
-        ("C2", None, 3)
+        ("C2", None, 3, None)
+    ]
+
+
+def test_unreadable_documents_keep_their_text(spark, tmp_path):
+    lines = ['{"id": "1", "status": "paid"}', '{"id": "2", "stat', '{"id": "3", "seller": {"id": "x"}}']
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    df = read_landing(spark, str(tmp_path), schemas.RAW_ORDER).cache()
+    got = dict(rows(df, "_corrupt", "id"))
+    assert set(got) == {None, lines[1], lines[2]} and got[None] == "1"
+    checked = with_reject_reason(df)
+    assert rows(rejected(checked).filter("reason = 'unreadable document'"), "raw_json") == [
+        (lines[1],), (lines[2],)
     ]
 
 

@@ -1,10 +1,12 @@
 from types import SimpleNamespace
 
+import pytest
+
 from tradewind.session import shared_folder, shuffle_partitions
 
 
 class Context:
-    folder = None
+    folder, master = None, "local[2]"
 
     def getCheckpointDir(self):
         return self.folder
@@ -13,9 +15,9 @@ class Context:
         self.folder = folder
 
 
-def session(setting=None, folder=None):
+def session(setting=None, folder=None, master="local[2]"):
     context = Context()
-    context.folder = folder
+    context.folder, context.master = folder, master
     return SimpleNamespace(sparkContext=context, conf={"spark.checkpoint.dir": setting})
 
 
@@ -29,6 +31,12 @@ def test_a_local_session_gets_one_folder():
     assert shared_folder(spark) == shared_folder(spark) and "tradewind-" in shared_folder(spark)
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_an_error(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session(master=master))
+
+
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
     assert shuffle_partitions(1 << 40) == 8192

@@ -156,7 +156,7 @@ def drop_empty(listings: DataFrame) -> DataFrame:
 
     Done once where documents are loaded; what works on loaded ones reads fewer columns.
     """
-    fields = [f.name for f in listings.schema if not f.name.startswith("_")]
+    fields = [c for c in listings.columns if not c.startswith("_") or c == CORRUPT]
     return listings.filter(F.greatest(*[F.col(c).isNotNull() for c in fields]))
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tradewind.functions import (
     as_of_literal,
@@ -130,8 +131,9 @@ def unseen(raw: DataFrame, seen_ids: DataFrame) -> DataFrame:
     so that a task that runs again sends them to the same place.
     """
     known = seen_ids.select("id").distinct()
-    says = F.struct("status", "date_created", "paid_amount", "total_amount")
-    return match_salted(raw, known, ["id"], says, "left_anti")
+    nested = (ArrayType, MapType, StructType)
+    says = [f.name for f in raw.schema if f.name != "id" and not isinstance(f.dataType, nested)]
+    return match_salted(raw, known, ["id"], F.struct(*says), "left_anti")
 
 
 def flatten_orders(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
