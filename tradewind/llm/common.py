@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.session import shared_folder
+from tradewind.sources.files import Folder
+
 #: A word is a run of anything but these six white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -38,21 +40,6 @@ def fresh(name: str) -> str:
     return f"__{name}_{uuid.uuid4().hex[:8]}"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
-
-    A local session without one gets a temporary folder; on a cluster that would be lost
-    with its machine, so there it is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradewind-llm-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
-
-
 class Scratch:
     """Intermediate Parquet tables in the shared folder.
 
@@ -62,7 +49,10 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+        self.folder = Folder(spark, self.root)
+        # Results are read lazily, so the tables stay as long as the session.
+        self.folder.delete_at_exit()
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table and return a scan of it; the shuffle files of the step go at once."""
@@ -79,5 +69,4 @@ class Scratch:
         return self.spark.read.schema(like.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.folder.delete(name)
