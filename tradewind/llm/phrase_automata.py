@@ -41,7 +41,7 @@ from tradewind.llm.textscan import SPACE, Scan, mix, parts
 SIZE = 35
 HALF = SIZE // 2
 #: Text of a shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Bytes of a word's hash that the automaton reads.
 LETTERS = 3
 
