@@ -5,6 +5,7 @@ import pytest
 from tradewind import schemas
 from tradewind.__main__ import main
 
+from conftest import rows
 from documents import land, listing, order
 
 
@@ -29,6 +30,15 @@ def test_items(folders, capsys):
     assert json.loads(capsys.readouterr().out) == {"successful": 1, "total": 2}
 
 
+def test_extract(spark, folders, tmp_path):
+    land(spark, tmp_path / "d", [{"item_id": "a", "plain_text": "é"}], schemas.RAW_DESCRIPTION)
+    base = ["extract", "--landing", folders["items"], "--out", folders["out"]]
+    assert main([*base, "--descriptions", str(tmp_path / "d")]) == 0
+    got = spark.read.json(folders["out"])
+    assert rows(got, "id", "description") == [("a", "é"), ("b", "N/A")]
+    assert "total_reviews" not in got.columns and "_arrival" not in got.columns
+
+
 @pytest.mark.parametrize("stream", [False, True])
 def test_orders_and_stats(folders, capsys, stream):
     base = ["orders", "--root", folders["root"], "--landing", folders["orders"], "--seller", "5"]

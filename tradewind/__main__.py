@@ -11,13 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewind import schemas
 from tradewind.functions import utc_now
 from tradewind.operators import orders, reports
-from tradewind.operators.items import with_seller
+from tradewind.operators.items import (
+    attach_descriptions,
+    attach_reviews,
+    drop_empty,
+    seller_listings,
+    with_seller,
+)
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.staging import staging
 from tradewind.plans.tables import TableStore
 from tradewind.session import build_session, shuffle_partitions
-from tradewind.sources.landing import ARRIVAL, read_landing, with_arrival
+from tradewind.sources.landing import ARRIVAL, CORRUPT, read_landing, with_arrival
 from tradewind.streaming.orders_stream import run_orders_stream
 
 def _items(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -31,6 +37,24 @@ def _items(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if summary.successful == summary.total > 0 else 1
 
 
+def _extract(spark: SparkSession, args: argparse.Namespace) -> int:
+    def staged(name: str, path: str, schema: str) -> DataFrame:
+        # Row numbers of a file scan must not change between two reads.
+        return stage.put(name, with_arrival(read_landing(spark, path, schema, args.format)))
+
+    with staging(spark) as stage:
+        listings = drop_empty(with_seller(staged("listings", args.landing, schemas.RAW_ITEM)))
+        found = seller_listings(listings, ARRIVAL, args.limit, sellers=args.seller)
+        if args.descriptions:
+            texts = staged("descriptions", args.descriptions, schemas.RAW_DESCRIPTION)
+            found = attach_descriptions(found, texts, ARRIVAL)
+        if args.reviews:
+            reviews = staged("reviews", args.reviews, schemas.RAW_REVIEW)
+            found = attach_reviews(found, reviews, ARRIVAL)
+        found.drop(ARRIVAL, CORRUPT).write.format(args.format).save(args.out)
+    return 0
+
+
 def _orders(spark: SparkSession, args: argparse.Namespace) -> int:
     store = TableStore(spark, args.root)
     bounds = {"start": args.start_date, "end": args.end_date, "sellers": args.seller}
@@ -118,6 +142,12 @@ def _parser() -> argparse.ArgumentParser:
     sub = command("items", _items, "load listings")
     run_options(sub)
     sub.add_argument("--limit", type=int, help="listings per seller; default all")
+    sub = command("extract", _extract, "write active listings as they are", root=False)
+    sub.add_argument("--seller", type=int, action="append", help="repeatable; default all")
+    sub.add_argument("--limit", type=int, help="listings per seller; default all")
+    sub.add_argument("--descriptions", help="folder of landed descriptions to attach")
+    sub.add_argument("--reviews", help="folder of landed reviews to attach")
+    sub.add_argument("--out", required=True, help="folder to write")
     sub = command("orders", _orders, "load orders")
     run_options(sub)
     sub.add_argument("--start-date", help="ISO date or time, inclusive")
