@@ -168,8 +168,11 @@ def op10_quality_rules(spark, sf_dir):
 
 def stage(spark, docs, sf_dir):
     """Rejected documents go; the others keep the lines that passed."""
-    name = fresh("quality")
-    out = clean(docs, into=name).where(F.col(name)["kept"])
+    name, judged = fresh("quality"), fresh("judged")
+    out = clean(docs, into=judged)
+    # As a generator, so that the optimizer does not work out the rules once more for a filter.
+    kept = F.filter(F.array(F.col(judged)), lambda x: x["kept"])
+    out = out.select("*", F.explode(kept).alias(name)).drop(judged)
     replaced = {"text": F.col(name)["text"], "n_chars": F.length(F.col(name)["text"])}
     return out.select(
         *[
