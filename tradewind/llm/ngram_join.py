@@ -43,7 +43,7 @@ HASHES = BANDS * ROWS
 #: Values compared before each look at the posterior.
 STEP = 16
 #: Classes of a bucket or cluster, and their shingles, that one task has as one block.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 
 _rng = np.random.default_rng(77)
 MULTIPLIERS = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2)) + np.uint32(1)
