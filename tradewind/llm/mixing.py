@@ -27,7 +27,7 @@ from tradewind.llm.common import WORD_PATTERN, Scratch, fresh, quoted, table
 
 LEVELS = ("domain", "lang", "source")
 #: Hexadecimal digits of the seeded order that name a slice of it.
-SLICE_DIGITS = 4
+SLICE_DIGITS = 3
 
 
 @dataclass(frozen=True)
