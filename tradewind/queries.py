@@ -449,10 +449,10 @@ def orders_stream(spark, sf):
     for defects, as_of in ((False, RUN_1), (True, RUN_2)):
         given = td.raw_orders(spark, sf, defects=defects).drop(ORD)
         for status in (F.lit("early"), F.col("status")):
-            copies = given.withColumn("status", status).coalesce(2)
+            copies = given.withColumn("status", status).repartition(8)
             copies.write.mode("append").json(landing)
         run_orders_stream(
-            store, landing, f"{folder}/checkpoint", f"run {as_of}", as_of, files_per_batch=1
+            store, landing, f"{folder}/checkpoint", f"run {as_of}", as_of, files_per_batch=4
         )
     lines = store.read("order_items").drop("id")
     status = store.read("orders").select(F.col("id").alias("order_id"), "status")
