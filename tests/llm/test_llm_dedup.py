@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from messy import documents, empty, prose, rows
 
-from tradewind.llm import embedding_dups, ngram_join, phrase_automata, suffix_dedup
+from tradewind.llm import embedding_dups, ngram_join, phrase_automata, suffix_dedup, textscan
 from tradewind.llm.common import Scratch
 from tradewind.llm.components import components
 
@@ -157,6 +157,47 @@ def test_jaccard_join_odd_ids(spark):
     assert ngram_join.jaccard_join(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("remembered", [1 << 16, 0])
+def test_jaccard_join_repeated_rows_with_a_near_copy(spark, monkeypatch, remembered):
+    monkeypatch.setattr(textscan, "REMEMBERED", remembered)
+    words = prose(random.Random(8), 120).split(" ")
+    near = " ".join([*words[:60], "other", *words[61:]])
+    given = [(5, " ".join(words), "en", "s")] * 2 + [(7, near, "en", "s")]
+    given += [(9, near + " end", "en", "s")] * 30
+    for few in (given[:3], given):
+        got = ngram_join.jaccard_join(documents(spark, few)).collect()
+        assert sorted(map(tuple, got)) == brute_jaccard(few)
+
+
+def test_repeats_are_verified_once():
+    """One row of a class is left of a task's repeats, and one of several tasks' rows."""
+    import pyarrow as pa
+
+    words = prose(random.Random(8), 60).split(" ")
+    texts = [" ".join(words), " ".join([*words[:59], "other"])]
+    shingled = [ngram_join.shingle_sets(pa.array([t]))[0] for t in texts]
+    digests = [ngram_join.digest(s) for s in shingled]
+    names = ["text", "digest", "cluster", "node", "copies"]
+    rows = [(texts[0], digests[0], 1, 1, 40)] * 40 + [(texts[1], digests[1], 1, 2, 1)]
+    batch = pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows, strict=True))), names=names)
+    left = pa.Table.from_batches(list(ngram_join._shingle([batch, batch.slice(40)])))
+    assert left.column("node").to_pylist() == [1, 2]
+    both = pa.concat_tables([left, left.slice(0, 1)]).combine_chunks()
+    for name in ("low", "high", "block"):
+        both = both.append_column(name, pa.array([0] * 3))
+    (out,) = ngram_join._verify(0.8)(both.to_batches())
+    assert sorted(zip(*out.to_pydict().values(), strict=True)) == [(1, 1, 1), (2, 40, 1)]
+
+
+def test_combined_repeats():
+    import pyarrow as pa
+
+    ids = pa.array([1, 1, 2, 1])
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(["a", "a", "b", "a"])], names=["h", "i", "t"])
+    got = [tuple(r.values()) for b in textscan.combine_repeats([batch, batch]) for r in b.to_pylist()]
+    assert got == [(1, 1, "a", 3), (2, 2, "b", 1), (1, None, None, 3), (2, None, None, 1)]
+
+
 def test_jaccard_stage_keeps_one_of_each_group(spark):
     given = rows()
     docs = documents(spark, given)

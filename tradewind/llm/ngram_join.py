@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import Scratch, quoted, table
 from tradewind.llm.components import components
-from tradewind.llm.textscan import Scan, mix, parts, word_windows
+from tradewind.llm.textscan import (
+    REMEMBERED, REPEATS_SCHEMA, Scan, combine_repeats, mix, parts, word_windows,
+)
 
 WORDS = 5
 MIN_JACCARD = 0.8
@@ -235,10 +237,21 @@ def _pairs(a, b):
 
 
 def _shingle(batches: Iterator[pa.RecordBatch]):
-    """Rows of members with their shingles, where the text is the class's own."""
+    """Rows of members with their shingles, where the text is the class's own.
+
+    Rows come sorted by node; what repeats one is left out.
+    """
+    last, seen = None, set()
     for part in parts(batches, 0):
         sets = shingle_sets(part.column(0))
         right = [digest(s) == d for s, d in zip(sets, part.column(1).to_pylist(), strict=True)]
+        nodes = part.column(part.schema.get_field_index("node")).to_pylist()
+        for k, (node, d) in enumerate(zip(nodes, part.column(1).to_pylist(), strict=True)):
+            if node != last or len(seen) > REMEMBERED:
+                last, seen = node, set()
+            if right[k]:
+                right[k] = d not in seen
+                seen.add(d)
         at = pa.array(np.flatnonzero(right))
         columns = [part.column(i).take(at) for i in range(2, part.num_columns)]
         packed = [s.tobytes() for s, x in zip(sets, right, strict=True) if x]
@@ -274,6 +287,13 @@ def _verify(min_jaccard: float):
 
     def run(batches: Iterator[pa.RecordBatch]):
         for unit in _units(batches, ("cluster", "low", "high")):
+            # A class that several tasks have sent.
+            first = {}
+            names = ("node", "shingles")
+            for k, x in enumerate(zip(*(unit.column(c).to_pylist() for c in names), strict=True)):
+                first.setdefault(x, k)
+            if len(first) < unit.num_rows:
+                unit = unit.take(pa.array(list(first.values())))
             node, copies, block = (
                 unit.column(c).to_numpy() for c in ("node", "copies", "block")
             )
@@ -360,8 +380,14 @@ def jaccard_join(
         F.count("*").alias("size"), F.sum("n").alias("weight")
     )
     members = members.join(sizes, "cluster")
+    # A class stands for its repeated rows, so few of them are moved and one is verified.
+    once = given.where("id is not null and text is not null").select(
+        F.xxhash64("id", "text").alias("hash"), "id", "text"
+    )
+    once = once.mapInArrow(combine_repeats, REPEATS_SCHEMA).where("text is not null")
+    once = once.select("id", "text")
     # Sorted and merged at every size, so that the cost grows evenly with the input.
-    texts = given.hint("merge").join(members, given["id"] == members["node"]).select(
+    texts = once.hint("merge").join(members, once["id"] == members["node"]).select(
         "text", "digest", "cluster", "node", "copies", "size", "weight"
     )
     shingled = texts.mapInArrow(

@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are scanned at once; a longer text is a scan of its own.
 SCAN_BYTES = 1 << 20
+#: Rows whose repeats a task knows.
+REMEMBERED = 1 << 16
 
 _rng = np.random.default_rng(20240601)
 BYTE_VALUES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -115,3 +117,42 @@ def parts(batches: Iterator[pa.RecordBatch], column: int, size: int = SCAN_BYTES
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+
+
+REPEATS_SCHEMA = "hash bigint, id bigint, text string, copies bigint"
+
+
+def combine_repeats(batches: Iterator[pa.RecordBatch]):
+    """Rows (hash, id, text) with a number of copies, combined inside a task before a shuffle.
+
+    Of repeated rows one is passed on with its text; what comes after it is counted and sent as rows
+    of hash and copies alone. Only the last ``REMEMBERED`` hashes are known, so a row can still come
+    several times, but not as often as it is repeated.
+    """
+    names = [c.split()[0] for c in REPEATS_SCHEMA.split(", ")]
+    known: dict[int, int] = {}
+
+    def counted():
+        left = [(h, n) for h, n in known.items() if n]
+        hashes, copies = zip(*left, strict=True) if left else ((), ())
+        nothing = [pa.nulls(len(left), t) for t in (pa.int64(), pa.string())]
+        columns = [pa.array(hashes, pa.int64()), *nothing, pa.array(copies, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    for batch in batches:
+        values, at, counts = np.unique(
+            batch.column(0).to_numpy(), return_index=True, return_counts=True
+        )
+        new = np.array([h not in known for h in values.tolist()], bool)
+        for h, n in zip(values[~new].tolist(), counts[~new].tolist(), strict=True):
+            known[h] += n
+        order = np.sort(at[new])
+        copies = np.zeros(batch.num_rows, np.int64)
+        copies[at] = counts
+        rows = batch.take(pa.array(order))
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(copies[order])], names=names)
+        known |= dict.fromkeys(values[new].tolist(), 0)
+        if len(known) > REMEMBERED:
+            yield counted()
+            known.clear()
+    yield counted()
