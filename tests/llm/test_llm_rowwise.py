@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -64,6 +65,43 @@ def test_line_rules(spark, line, fails):
     assert df.select(quality_rules.line_fails(F.col("line"))).first()[0] == fails
 
 
+WRAPPED = """\
+The old mill stood at the end of a narrow lane that nobody had walked
+for years and the wheel which once had turned all day long was covered
+with moss and ivy. When the new owner came the first thing to be done
+was to clear the stream, for without water there was no use in having a
+mill at all."""
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        WRAPPED,
+        textwrap.fill(WRAPPED.replace("the first", "as our privacy policy says the first"), 70) + "\n\nNo more.",
+        # One line that names a phrase once.
+        WRAPPED.replace("\n", " ") + " It is told that the mill was licensed under the crown.",
+        "यह एक पुराना गाँव है जहाँ लोग खेती करते हैं और शाम को मिलते हैं।\nसब लोग आज सुबह बाज़ार गए थे और घर लौटे।",
+        "یہ ایک پرانا گاؤں ہے جہاں لوگ کھیتی کرتے ہیں اور شام کو سب مل کر بیٹھتے ہیں بچے باہر کھیلتے ہیں۔",
+        "ይህ አሮጌ መንደር ነው እና ሰዎች ሁሉ በማለዳ ወደ ገበያ ይሄዳሉ ከዚያም በኋላ ወደ ቤት ይመለሳሉ ልጆችም ሁሉ በውጭ ይጫወታሉ ሌሊትም ይተኛሉ።",
+        "Սա հին գյուղ է որտեղ մարդիկ ապրում են և աշխատում ամեն օր իսկ երեկոյան բոլորը հավաքվում են միասին և երգում են ու պարում։",
+        "นี่คือ หมู่บ้าน เก่า ที่ ผู้คน อาศัย อยู่ และ ทำงาน ทุก วัน ใน ตอนเย็น ทุกคน จะ มา รวมตัว กัน และ ร้องเพลง ด้วยกัน",
+    ],
+)
+def test_quality_stage_keeps_clean_documents(spark, text):
+    (out,) = quality_rules.stage(spark, documents(spark, [(1, text, "en", "s")]), None).collect()
+    assert out.text == text
+
+
+def test_quality_stage_still_removes_lines_beside_wrapped_ones(spark):
+    junk = "a line of many words without any sentence mark"
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    menu = "Home | News | Sport | Contact | About us | Imprint | Jobs | Press"
+    odd = "\f\n\f\n\n \n"
+    text = f"{junk}\n\n{menu}\n{WRAPPED}\n{notice}\n{odd}{junk}"
+    (out,) = quality_rules.stage(spark, documents(spark, [(1, text, "en", "s")]), None).collect()
+    assert out.text == f"\n{WRAPPED}\n{odd[:-1]}"
+
+
 def test_quality_stage_removes_lines_and_documents(spark):
     good = "A sentence of eight words stands on this. " * 1 + prose(random.Random(1), 60)
     given = [

@@ -4,6 +4,10 @@ Each line of a text is held against three kinds of rules: punctuation, navigatio
 boilerplate. Lines that fail go, and a document that loses too much of its text, or fails the
 base rules (too few words, too many repeated words), is rejected.
 
+Lines that a hard wrap has broken inside a sentence are one paragraph, and the sentence marks and
+phrases are looked for in all of it. Scripts that have no sentence marks need none, and a phrase fails a
+paragraph only if phrases make up an eighth of it.
+
 Defined results: a null text has no words and no lines, is rejected, and its cleaned text is
 null; an empty text is rejected and stays empty. Repeated rows are judged one by one, and an empty
 table gives an empty result. ``clean`` returns every input column unchanged (extra ones with any
@@ -42,25 +46,125 @@ BOILERPLATE = (
 )
 BOILERPLATE_PATTERN = f"({'|'.join(BOILERPLATE)})"
 SENTENCE_MARK = "[.!?:;…。！？]"
+#: Marks of other scripts (Unicode's Sentence_Terminal, and those that stand for colons and semicolons).
+OTHER_MARKS = (
+    "‥‼⁇⁈⁉．｡：；।॥։՜՞؟؛۔؝؞܀܁܂߹။၊።፡፣፤፥፦፧፨។៕៖᙮᠃᠉᥄᥅᪨᪩᪪᪫᭚᭛᭞᭟᰻᰼᱾᱿꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫།༎༏༐༑"
+)
+OTHER_MARK = f"[{OTHER_MARKS}]"
+#: Letters of scripts that are written without sentence marks.
+UNMARKED_LETTER = r"[\p{L}&&[\p{IsThai}\p{IsLao}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{IsTai_Viet}]]"
+#: A paragraph fails if phrases make up a share of one in so many of its characters, or more.
+BOILERPLATE_SHARE = 8
+#: Lengths of lines that a hard wrap makes.
+LEAST_WRAPPED, MOST_WRAPPED = 40, 120
+ENDS = rf"[{SENTENCE_MARK[1:-1]}{OTHER_MARKS}][\"'”’»)\]]*\s*$"
+#: Between paragraphs; no line that is part of a longer one is blank.
+APART = "\n\f\n"
 
 
 def _count(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line breaks a rule; a blank line breaks none."""
-    n_words = F.regexp_count(line, F.lit(WORD_PATTERN))
+def _is_junk(line: Column, n_words: Column) -> Column:
+    """Whether a line is navigation or symbols."""
     marks, symbols = _count(line, NAVIGATION_MARKS), _count(line, SYMBOLS)
     shouts = _count(line, "!")
     navigation = (marks >= 2) & (marks * 4 >= n_words)
-    punctuation = (
-        ((symbols >= 5) & (symbols * 2 >= n_words))
+    return (
+        navigation
+        | ((symbols >= 5) & (symbols * 2 >= n_words))
         | ((shouts >= 5) & (shouts * 2 >= n_words))
-        | ((n_words >= 5) & ~line.rlike(SENTENCE_MARK))
     )
-    boilerplate = F.lower(line).rlike(BOILERPLATE_PATTERN)
-    return navigation | punctuation | boilerplate
+
+
+def _is_unmarked(text: Column) -> Column:
+    """Whether a text lacks the sentence marks that its script has; most have one of the first few."""
+    without = F.regexp_count(text, F.lit(UNMARKED_LETTER))
+    return ~text.rlike(SENTENCE_MARK) & ~text.rlike(OTHER_MARK) & (without * 2 <= F.regexp_count(text, F.lit(r"\p{L}")))
+
+
+def _is_boilerplate(text: Column) -> Column:
+    lowered = F.lower(text)
+    phrases = F.length(lowered) - F.length(F.regexp_replace(lowered, BOILERPLATE_PATTERN, ""))
+    return lowered.rlike(BOILERPLATE_PATTERN) & (phrases * BOILERPLATE_SHARE >= F.length(lowered))
+
+
+def _n_words(line: Column) -> Column:
+    return F.regexp_count(line, F.lit(WORD_PATTERN))
+
+
+def line_fails(line: Column) -> Column:
+    """Whether a line that is a paragraph of its own breaks a rule; a blank line breaks none."""
+    n_words = _n_words(line)
+    return (
+        _is_junk(line, n_words)
+        | (~line.rlike(SENTENCE_MARK) & (n_words >= 5) & _is_unmarked(line))
+        | _is_boilerplate(line)
+    )
+
+
+def paragraphs(lines: Column) -> Column:
+    """The lines, those of a sentence that a hard wrap has broken in one string.
+
+    A line is broken if it does not end a sentence and the next line's first word would not have fitted
+    into the width of the lines around. Navigation, symbols and lines that mostly repeat their words are
+    not taken for parts of a sentence.
+    """
+
+    def is_prose(line: Column) -> Column:
+        n = _n_words(line)
+        return ~_is_junk(line, n) & (F.size(F.array_distinct(words_of(line))) * 2 >= n)
+
+    def length(line: Column) -> Column:
+        return F.length(F.rtrim(line))
+
+    def is_wrapped(line: Column, i: Column) -> Column:
+        after, before = F.get(lines, i + 1), F.get(lines, i - 1)
+        first = F.length(F.regexp_extract(after, WORD_PATTERN, 0))
+        width = F.greatest(
+            length(line), length(after), F.when(length(before) <= MOST_WRAPPED, length(before))
+        )
+        return F.coalesce(
+            length(line).between(LEAST_WRAPPED, MOST_WRAPPED)
+            & (length(after) <= MOST_WRAPPED)
+            & (first > 0)
+            & (length(line) + 1 + first > width)
+            & ~line.rlike(ENDS)
+            & is_prose(line)
+            & is_prose(after),
+            F.lit(False),
+        )
+
+    def ended(line: Column, i: Column) -> Column:
+        end = F.when(i + 1 == F.size(lines), "").when(is_wrapped(line, i), "\n").otherwise(APART)
+        return F.concat(line, end)
+
+    return F.split(F.array_join(F.transform(lines, ended), ""), APART, -1)
+
+
+def clean_lines(lines: Column) -> Column:
+    """The lines that break no rule."""
+
+    def passing(paragraph: Column) -> Column:
+        verdict = F.struct(
+            _is_unmarked(paragraph).alias("unmarked"), _is_boilerplate(paragraph).alias("boilerplate")
+        )
+
+        def left(v: Column) -> Column:
+            return F.filter(
+                F.split(paragraph, "\n", -1),
+                lambda x: ~(
+                    _is_junk(x, _n_words(x)) | ((_n_words(x) >= 5) & v["unmarked"]) | v["boilerplate"]
+                ),
+            )
+
+        return let(verdict, left)
+
+    # Where all lines pass by themselves, so do their paragraphs.
+    return F.when(
+        F.exists(lines, line_fails), F.flatten(F.transform(paragraphs(lines), passing))
+    ).otherwise(lines)
 
 
 def repeated_words(words: Column) -> Column:
@@ -115,9 +219,7 @@ def clean(docs: DataFrame, text: str = "text", into: str = "quality") -> DataFra
     step = docs.withColumn(words, words_of(value))
     step = step.withColumn(repeated, repeated_words(F.col(words)))
     step = step.withColumn(lines, F.split(value, "\n", -1))
-    step = step.withColumn(
-        cleaned, F.array_join(F.filter(lines, lambda x: ~line_fails(x)), "\n")
-    )
+    step = step.withColumn(cleaned, F.array_join(clean_lines(F.col(lines)), "\n"))
     repeated_lines = let(
         F.filter(lines, lambda x: x.rlike(WORD_PATTERN)),
         lambda full: F.size(full) - F.size(F.array_distinct(full)),
