@@ -245,6 +245,33 @@ def test_automata(spark, monkeypatch, shard):
     assert sorted(map(tuple, got.collect()), key=str) == brute_words(given)
 
 
+@pytest.mark.parametrize("remembered", [1 << 16, 0])
+def test_automata_with_repeated_and_missing_ids(spark, monkeypatch, remembered):
+    monkeypatch.setattr(textscan, "REMEMBERED", remembered)
+    monkeypatch.setattr(phrase_automata, "MOST_COPIES", 4)
+    monkeypatch.setattr(phrase_automata, "SHARD_BYTES", 3000)
+    rng = random.Random(12)
+    passage = prose(rng, 40, 5000)
+    given = [(1, passage + " " + prose(rng, 60), "en", "s"), (2, prose(rng, 9) + " " + passage, "en", "s")]
+    given += [(1, prose(rng, 90), "en", "s") for _ in range(9)]
+    given += [(3, prose(rng, 50), "en", "s")] * 9 + [(None, passage, "en", "s")] * 5 + [(3, None, "en", "s")]
+    got = phrase_automata.located(
+        documents(spark, given), "doc_id", "text", phrase_automata._digest, WORD_DIGEST
+    )
+    assert sorted(map(tuple, got.collect()), key=str) == brute_words(given)
+
+
+def test_automata_hold_a_repeated_text_once():
+    import pyarrow as pa
+
+    names = ["shard", "doc", "id", "text", "copies", "runs"]
+    columns = [[0] * 6, [7, 7, 7, 8, 7, 8], [1, 1, None, 2, None, None], ["a", "a", None, "b", None, None]]
+    columns += [[2, 3, 40, 1, None, None], [None] * 4 + [b"r", b"s"]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+    ((rows, number),) = phrase_automata._shards([batch, batch.slice(0, 3)])
+    assert rows.column("text").to_pylist() == ["a", "b", None, None] and number == {7: 90, 8: 1}
+
+
 def test_automata_keep_texts_without_passages(spark):
     given = [(1, "only  here\n", "en", "s"), (2, "p " * 50, "en", "s"), (None, "p " * 50, "en", "s"), (3, None, "en", "s")]
     got = phrase_automata.remove_passages(documents(spark, given))

@@ -17,8 +17,12 @@ size are streamed in sorted order. A shard's texts and automaton are what a task
 Words are told apart by hashes of 64 bits, windows by two of them.
 
 Defined results: a null text has no words; texts under 35 words lose nothing; rows without an id lose nothing
-and are not compared; rows of equal id are taken to repeat one document, so that all its windows recur (if
-their texts differ, each may lose words for any of them). An empty table gives no rows. Only id and text are read, so other columns cannot clash.
+and are not compared; rows of equal id and text repeat one document, so that all its windows recur; those of equal
+id and other text are other documents. An empty table gives no rows. Only id and text are read, so other columns
+cannot clash.
+
+Rows without id or text never meet. Repeated rows are combined before the shuffle and in their shard, where one of
+them is held; the shard's task writes the result of each. Documents are told apart by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.anchors import Anchors, stretch_hashes
 from tradewind.llm.common import Scratch, quoted, table
 from tradewind.llm.suffix_dedup import _batch, _changes, _columns, runs_by_doc
-from tradewind.llm.textscan import SPACE, Scan, mix, parts
+from tradewind.llm.textscan import REPEATS_SCHEMA, SPACE, Scan, combine_repeats, mix, parts
 
 SIZE = 35
 HALF = SIZE // 2
@@ -44,6 +48,8 @@ HALF = SIZE // 2
 SHARD_BYTES = 2 << 20
 #: Bytes of a word's hash that the automaton reads.
 LETTERS = 3
+#: Equal rows of the result that are made of one.
+MOST_COPIES = 1024
 
 ANCHOR_SCHEMA = (
     "key bigint, context bigint, shard bigint, doc bigint, first bigint, last bigint, n bigint"
@@ -214,54 +220,86 @@ def kept_texts(scan: Scan, begins, ends, bounds, kept: np.ndarray) -> list[bytes
 
 
 def _shards(batches: Iterator[pa.RecordBatch]):
-    """The rows of one shard after the other; columns shard, doc, text, runs."""
-    held = []
+    """The rows of one shard after the other, each text once, with the numbers of copies by document;
+    columns shard, doc, id, text, copies, runs."""
+    held, number, known, current = [], {}, set(), None
     for batch in batches:
         if not batch.num_rows:
             continue
         shards = batch.column(0).to_numpy()
         cuts = np.append(np.flatnonzero(_changes(shards)), len(shards))
         for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            if held and held[-1].column(0)[0].as_py() != shards[begin]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(begin, end - begin))
+            if held and current != shards[begin]:
+                yield pa.Table.from_batches(held), number
+                held, number, known = [], {}, set()
+            current = shards[begin]
+            part = batch.slice(begin, end - begin)
+            needed = part.column("runs").is_valid().to_numpy(zero_copy_only=False).copy()
+            is_text = part.column("text").is_valid().to_pylist()
+            docs, copies = (part.column(c).to_pylist() for c in ("doc", "copies"))
+            for k in np.flatnonzero(~needed).tolist():
+                number[docs[k]] = number.get(docs[k], 0) + copies[k]
+                if is_text[k] and docs[k] not in known:
+                    known.add(docs[k])
+                    needed[k] = True
+            held.append(part.filter(pa.array(needed)))
     if held:
-        yield pa.Table.from_batches(held)
+        yield pa.Table.from_batches(held), number
+
+
+def _result(names: list[str], ids, texts, make, left, n_words, removed, copies) -> pa.RecordBatch:
+    """A row for each text, or several that stand for its copies."""
+    out = [
+        make(texts[k], kept, int(n), int(r))
+        for k, (kept, n, r) in enumerate(zip(left, n_words, removed, strict=True))
+    ]
+    if not out:
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * len(names), names=names)
+    several = -(-copies // MOST_COPIES)
+    at = np.repeat(np.arange(len(out)), several)
+    number = np.full(len(at), MOST_COPIES)
+    number[np.cumsum(several) - 1] = copies - (several - 1) * MOST_COPIES
+    columns = [ids, *(pa.array(c) for c in zip(*out, strict=True))]
+    at = pa.array(at)
+    return pa.RecordBatch.from_arrays([*(c.take(at) for c in columns), pa.array(number)], names=names)
 
 
 def _stream(make, names: list[str]):
     """Compiles each shard's automaton, streams its documents and makes a row of each."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for rows in _shards(batches):
+        for rows, number in _shards(batches):
             is_text = pc.is_null(rows.column("runs"))
             texts, sent = rows.filter(is_text), rows.filter(pc.invert(is_text))
             scan = Scan(texts.column("text").combine_chunks())
             begins, ends, bounds = scan.words()
             words = mix(scan.hashes(begins, ends))
-            ids = texts.column("doc").to_pylist()
-            place = {d: k for k, d in enumerate(ids)}
+            docs = texts.column("doc").to_pylist()
+            place = {d: k for k, d in enumerate(docs)}
             spans = [np.empty((0, 2), np.int64)]
             for doc, runs in zip(*(sent.column(c).to_pylist() for c in ("doc", "runs")), strict=True):
                 runs, k = np.frombuffer(runs, "<i8").reshape(-1, 2), place[doc]
                 spans.append(runs[runs[:, 1] <= bounds[k + 1] - bounds[k]] + bounds[k])
             gone = locate(words, bounds, *np.concatenate(spans).T)
-            gone &= np.repeat([d is not None for d in ids], np.diff(bounds))
             left = kept_texts(scan, begins, ends, bounds, ~gone)
             removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[bounds])
-            out = [
-                make(texts.column("text")[k], kept, int(n), int(r))
-                for k, (kept, n, r) in enumerate(
-                    zip(left, np.diff(bounds), removed, strict=True)
-                )
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [texts.column("doc").combine_chunks(), *(pa.array(c) for c in zip(*out, strict=True))]
-                if out
-                else [pa.array([], pa.int64())] * len(names),
-                names=names,
-            )
+            copies = np.array([number[d] for d in docs], np.int64)
+            ids = texts.column("id").combine_chunks()
+            yield _result(names, ids, texts.column("text"), make, left, np.diff(bounds), removed, copies)
+
+    return run
+
+
+def _whole(make, names: list[str]):
+    """A row for each document that loses nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for part in parts(batches, 1):
+            scan = Scan(part.column(1))
+            begins, ends, bounds = scan.words()
+            left = kept_texts(scan, begins, ends, bounds, np.ones(len(begins), bool))
+            none, one = np.zeros(part.num_rows, np.int64), np.ones(part.num_rows, np.int64)
+            yield _result(names, part.column(0), part.column(1), make, left, np.diff(bounds), none, one)
 
     return run
 
@@ -286,14 +324,20 @@ def located(docs: DataFrame, id_col: str, text: str, make, schema: str) -> DataF
     given = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(text).alias("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shard = F.pmod(F.xxhash64("doc"), F.lit(max(1, -(-size // SHARD_BYTES))))
-    given = given.withColumn("shard", shard)
-    usable = given.where("doc is not null and text is not null")
+    usable = given.where("doc is not null and text is not null").select(
+        F.xxhash64("doc", "text").alias("hash"), "doc", "text"
+    )
+    rest = given.where("doc is null or text is null")
+    combined = usable.mapInArrow(combine_repeats, REPEATS_SCHEMA)
+    combined = combined.withColumnRenamed("hash", "doc").withColumn("shard", shard)
+    usable = usable.select(F.col("hash").alias("doc"), "text").withColumn("shard", shard)
     anchors = usable.select("doc", "shard", "text").mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
     by_key = anchors.repartition("key").sortWithinPartitions("key", "context", "shard")
     confirmed = scratch.put("confirmed", by_key.mapInArrow(_confirm, PASSAGE_SCHEMA))
     open_ranges = runs_by_doc(confirmed.where("open"))
     # Merged at every size, so that the cost grows evenly with the input.
-    pairs = usable.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
+    once = combined.where("text is not null").select("doc", "text")
+    pairs = once.hint("merge").join(open_ranges, "doc").select("doc", "text", "runs")
     by_pair = (
         pairs.mapInArrow(_pair_rows, "a bigint, b bigint, doc bigint, at bigint")
         .repartition("a", "b")
@@ -307,13 +351,17 @@ def located(docs: DataFrame, id_col: str, text: str, make, schema: str) -> DataF
         .mapInArrow(_pack, "doc bigint, runs binary")
         .withColumn("shard", shard)
     )
-    nothing = F.lit(None)
-    rows = given.select("shard", "doc", "text", nothing.cast("binary").alias("runs")).unionAll(
-        packed.select("shard", "doc", nothing.cast("string").alias("text"), "runs")
+    columns = "shard", "doc", "id", "text", "copies"
+    rows = combined.select(*columns, F.lit(None).cast("binary").alias("runs")).unionByName(
+        packed, allowMissingColumns=True
     )
-    names = [c.split()[0] for c in schema.split(", ")]
+    names = [*(c.split()[0] for c in schema.split(", ")), "copies"]
+    schema += ", copies bigint"
     dealt = rows.repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(_stream(make, names), schema)
+    out = dealt.mapInArrow(_stream(make, names), schema)
+    out = out.unionAll(rest.mapInArrow(_whole(make, names), schema))
+    each = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
+    return out.select("*", each.alias("copy")).drop("copies", "copy")
 
 
 def _digest(text, kept: bytes, n_words: int, n_removed: int):
