@@ -2,15 +2,18 @@
 
 from tradewind.llm import (
     byte_bpe,
+    centroid_clustering,
     chat_format,
     embedding_dups,
     language_id,
+    merkle_manifest,
     mixing,
     ngram_join,
     phrase_automata,
     quality_rules,
     suffix_dedup,
     url_filter,
+    word_bpe,
 )
 
 QUERIES = {
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_word_bpe": word_bpe.op11_word_bpe,
+    "op12_merkle_manifest": merkle_manifest.op12_merkle_manifest,
+    "op13_centroid_clustering": centroid_clustering.op13_centroid_clustering,
 }
 
 ORACLES = {
@@ -31,4 +37,6 @@ ORACLES = {
     "op5_chat_format": chat_format.ORACLE,
     "op7_mixing": mixing.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op12_merkle_manifest": merkle_manifest.ORACLE,
+    "op13_centroid_clustering": centroid_clustering.ORACLE,
 }
