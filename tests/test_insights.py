@@ -78,6 +78,14 @@ def test_average_price_is_rounded_once(spark):
     assert insights.category_segments(df).first().avg_price == 1.01
 
 
+def test_average_of_very_large_prices(spark):
+    df = spark.createDataFrame(
+        [("a", 1e19), ("a", 3e19), ("a", None), ("b", 1e18), ("b", 1.0)], "category_id STRING, current_price DOUBLE"
+    ).selectExpr("*", "1L AS sold_quantity", "2L AS views")
+    got = insights.category_segments(df)
+    assert rows(got, "category_id", "avg_price") == [("a", 2e19), ("b", 5e17)]
+
+
 def test_shares_of_nothing(spark):
     df = spark.createDataFrame([(1, "0.00"), (2, "0.00")], "seller_id BIGINT, t STRING")
     df = df.selectExpr("seller_id", "CAST(t AS DECIMAL(10,2)) AS total_amount")

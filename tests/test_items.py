@@ -67,13 +67,13 @@ def test_unreadable_prices_are_split_off(raw):
 
 def test_descriptions_and_reviews(spark, tmp_path, raw):
     df = raw(listing("a"), listing("b"), {"title": "no id"}, listing("c")).select("id", "title")
-    texts = spark.createDataFrame([("a", "text"), ("c", None)], schemas.RAW_DESCRIPTION)
-    got = items.attach_descriptions(df, texts)
+    texts = spark.createDataFrame([("a", "text", 1), ("c", None, 1)], f"{schemas.RAW_DESCRIPTION}, ord INT")
+    got = items.attach_descriptions(df, texts, "ord")
     assert rows(got, "id", "description") == sorted(
         [("a", "text"), ("b", "N/A"), ("c", "N/A"), (None, None)], key=repr
     )
-    reviews = spark.createDataFrame([("a", 4.5, 7)], schemas.RAW_REVIEW)
-    got = items.attach_reviews(df, reviews)
+    reviews = spark.createDataFrame([("a", 5.0, 9, 1), ("a", 4.5, 7, 2)], f"{schemas.RAW_REVIEW}, ord INT")
+    got = items.attach_reviews(df, reviews, "ord")
     assert rows(got, "id", "rating_average", "total_reviews") == sorted(
         [("a", 4.5, 7), ("b", 0.0, 0), ("c", 0.0, 0), (None, None, None)], key=repr
     )
@@ -81,8 +81,9 @@ def test_descriptions_and_reviews(spark, tmp_path, raw):
 
 def test_extract(spark, raw):
     df = raw(listing("a"), listing("b"), listing("c", status="paused"))
-    texts = spark.createDataFrame([("a", "text")], schemas.RAW_DESCRIPTION)
-    reviews = spark.createDataFrame([("b", 4.0, 2)], schemas.RAW_REVIEW)
+    # The last one counts, not the greatest.
+    texts = spark.createDataFrame([("a", "zold", 1), ("a", "text", 2)], f"{schemas.RAW_DESCRIPTION}, ord INT")
+    reviews = spark.createDataFrame([("b", 4.0, 2, 1)], f"{schemas.RAW_REVIEW}, ord INT")
     assert items.extract(df, "ord", 1).columns == df.columns
     assert rows(items.extract(df, "ord", 1, texts), "id", "description") == [("a", "text")]
     full = items.extract(df, "ord", 9, texts, reviews)
@@ -126,6 +127,18 @@ def test_only_current_copies_count(spark, raw):
     assert rows(reports.with_nicknames(sellers, users, "o")) == [(5, "new")]
 
 
+def test_a_listing_is_its_last_sellers(raw):
+    df = raw(
+        listing("a", seller_id=5, price=10), listing("b", seller_id=5), listing("c", seller_id=6),
+        listing("a", seller_id=6, price=99), listing("c", seller_id=5), listing(None, seller_id=5),
+    )
+    assert rows(items.seller_listings(df, "ord", sellers=[5]), "id") == [("b",), ("c",), (None,)]
+    assert rows(items.seller_listings(df, "ord", sellers=[6]), "id", "price") == [("a", "99")]
+    copies = items.copies_of_sellers(df, [6])
+    assert rows(copies, "id", "ord") == [("a", 0), ("a", 3), ("c", 2), ("c", 4)]
+    assert items.copies_of_sellers(df, [7]).isEmpty() and items.copies_of_sellers(df, []).isEmpty()
+
+
 def test_nested_sellers(raw):
     df = items.with_seller(raw(listing("a", seller_id=None, seller={"id": 8}), listing("b", seller_id=3)))
     assert rows(df, "id", "seller_id") == [("a", 8), ("b", 3)]
@@ -171,6 +184,6 @@ def test_category_sellers(spark, raw):
     assert rows(reports.category_sellers(df, "ord", "X")) == [(1,), (2,)]
     assert rows(reports.quick_sellers(df, "ord", "X", 4)) == [(1,)]
     assert rows(reports.count_sellers(df, "ord")) == [("X", 2), ("Y", 1)]
-    users = spark.createDataFrame([(1, "shop", "MLB")], schemas.RAW_USER)
-    named = reports.with_nicknames(reports.category_sellers(df, "ord", "X"), users)
+    users = spark.createDataFrame([(1, "shop", "MLB", 1)], f"{schemas.RAW_USER}, ord INT")
+    named = reports.with_nicknames(reports.category_sellers(df, "ord", "X"), users, "ord")
     assert rows(named) == [(1, "shop"), (2, "N/A")]

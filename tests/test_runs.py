@@ -1,5 +1,6 @@
 """Whole runs through stored tables, batch and streaming."""
 
+import itertools
 import json
 import os
 import random
@@ -8,15 +9,23 @@ from decimal import Decimal
 import pytest
 
 from tradewind import schemas
+from tradewind.operators import reports, rollup
 from tradewind.operators.orders import orders_in_range
 from tradewind.plans import orders_run as order_plan
-from tradewind.plans.items_run import run_items
+from tradewind.operators.upsert import ITEM_FIELDS
+from tradewind.plans.items_run import run_items, run_records
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
-from tradewind.sources.landing import ARRIVAL, read_landing, with_arrival
+from tradewind.sources.landing import (
+    ARRIVAL,
+    PRESENT,
+    read_landing,
+    read_records,
+    with_arrival,
+)
 from tradewind.streaming.orders_stream import run_orders_stream
 
-from conftest import rows
+from conftest import plan, rows
 from documents import land, line, listing, order, ordered, payment
 
 RUN_1, RUN_2, RUN_3 = "2024-06-01 12:00:00", "2024-06-02 12:00:00", "2024-06-03 12:00:00"
@@ -56,6 +65,38 @@ def test_item_run_of_some_sellers(spark, store, tmp_path):
     assert rows(store.read("items"), "item_id") == [("a0",), ("a1",)]
 
 
+def test_item_run_of_a_seller_takes_its_listings_as_they_are_now(spark, store, tmp_path):
+    documents = [
+        listing("a", price=10, seller_id=5), listing("b", price=20, seller_id=5),
+        listing("a", price=99, seller_id=6), listing("c", price="x", seller_id=6),
+        listing("d", price="y", seller_id=5),
+    ]
+    outcome = load_items(spark, store, tmp_path, "r", RUN_1, documents, sellers=[5])
+    assert rows(outcome) == [(5, 1, True)]
+    assert rows(store.read("items"), "item_id", "current_price") == [("b", 20.0)]
+    assert rows(store.read("quarantine"), "record_id") == [("d",)]
+    load_items(spark, store, tmp_path, "r6", RUN_2, documents, sellers=[6])
+    assert rows(store.read("items"), "item_id", "current_price") == [("a", 99.0), ("b", 20.0)]
+
+
+def test_records_that_lack_fields(spark, store, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [
+        '{"item_id": "a", "title": "x", "current_price": 5, "views": 7, "seller_id": 3}',
+        '{"item_id": "a", "title": null, "updated_at": "2024-01-01 00:00:00"}', '{"item_id"', "[]",
+    ]
+    (tmp_path / "in" / "x.json").write_text("\n".join(lines))
+    raw = with_arrival(read_records(spark, str(tmp_path / "in"), schemas.RECORD, ITEM_FIELDS))
+    assert run_records(store, raw, "r", RUN_1, ARRIVAL, PRESENT)
+    assert not run_records(store, raw, "r", RUN_1, ARRIVAL, PRESENT)
+    got = store.read("items").first()
+    assert (got.item_id, got.title, got.current_price, got.views) == ("a", None, 5.0, 7)
+    assert (str(got.created_at), str(got.updated_at)) == (RUN_1, "2024-01-01 00:00:00")
+    assert rows(store.read("price_history"), "price") == [(5.0,), (None,)]
+    assert rows(store.read("sellers"), "seller_id") == [(3,)]
+    assert rows(store.read("quarantine"), "raw_json") == [("[]",), ('{"item_id"',)]
+
+
 def load_orders(spark, store, tmp_path, run, as_of, documents, **kw):
     raw = ordered(spark, tmp_path, documents, name=run)
     return run_orders(store, raw, run, as_of, "ord", **kw)
@@ -298,6 +339,188 @@ def test_failed_stream_can_be_continued(spark, store, tmp_path, monkeypatch):
     run_orders_stream(store, str(landing), checkpoint, "s3", RUN_3, sellers=[5])
     assert state(store) == {5: ("completed", 1, "3")}
     assert rows(store.read("orders"), "id") == [("1",), ("3",)]
+    # The other seller's order was left for whoever asks for it.
+    assert run_orders_stream(store, str(landing), checkpoint, "s4", RUN_3, sellers=[6])
+    assert rows(store.read("orders"), "id") == [("1",), ("2",), ("3",)]
+    assert not run_orders_stream(store, str(landing), checkpoint, "s5", RUN_3)
+
+
+BROKEN = '{"id": "x", "seller": {"id": 5'
+
+
+def land_for_runs(spark, landing):
+    """Two files with orders of three sellers, copies of some, and lines that cannot be read."""
+    first = [order(str(n), seller=n % 3 + 1, date_created=f"2024-0{n % 4 + 1}-15") for n in range(12)]
+    again = [order(str(n), seller=n % 3 + 1, status="again", date_created="2024-01-20") for n in range(0, 12, 2)]
+    odd = [order("u", seller=None), order("v", seller=2, date_created="x"), order("w", seller=1, status=None)]
+    for n, documents in enumerate((first, again + odd)):
+        land(spark, landing, documents, name=f"f{n}")
+        with open(landing / f"f{n}.json", "a") as file:
+            file.write(f"{BROKEN}{n}\n")
+        os.utime(landing / f"f{n}.json", (n + 1, n + 1))
+
+
+@pytest.mark.parametrize(
+    "asked",
+    [
+        [{"sellers": [1]}, {"sellers": [2]}, {}],
+        [{"sellers": [3], "end": "2024-02-01"}, {"start": "2024-04-01"}, {"sellers": [3, 9]}, {}],
+        [{"end": "2024-01-31"}, {"sellers": []}, {"sellers": [1, 2]}, {"sellers": [3]}, {}],
+    ],
+)
+def test_runs_for_some_lose_nothing(spark, tmp_path, asked):
+    landing = tmp_path / "in"
+    land_for_runs(spark, landing)
+    whole, parts = (TableStore(spark, str(tmp_path / k)) for k in ("whole", "parts"))
+    run_orders_stream(whole, str(landing), str(tmp_path / "cp1"), "s", RUN_1)
+    for n, bounds in enumerate(asked):
+        run_orders_stream(parts, str(landing), str(tmp_path / "cp2"), f"s{n}", RUN_1, **bounds)
+        loaded = {r.seller_id for r in parts.read("orders").select("seller_id").collect()}
+        if n == 0 and bounds.get("sellers"):
+            assert loaded == set(bounds["sellers"])
+    assert content(parts) == content(whole)
+    for name in ("quarantine", "order_arrivals", "order_days"):
+        assert rows(parts.read(name)) == rows(whole.read(name))
+    assert whole.read("quarantine").count() == 5
+    assert not run_orders_stream(parts, str(landing), str(tmp_path / "cp2"), "more", RUN_1)
+    assert parts.current()["pending"] == {}
+
+
+def test_a_run_for_a_seller_reads_its_part_only(spark, store, tmp_path, monkeypatch):
+    from tradewind.streaming import orders_stream
+
+    landing, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    land(spark, landing, [order(str(n), seller=n) for n in range(1, 41)])
+    run_orders_stream(store, str(landing), checkpoint, "s0", RUN_1, sellers=[1])
+    (folder, before), = store.current()["pending"].items()
+    assert len(before) > 10
+    read = []
+    documents = orders_stream._documents
+    monkeypatch.setattr(
+        orders_stream, "_documents", lambda *given: read.append(given[2]) or documents(*given)
+    )
+    run_orders_stream(store, str(landing), checkpoint, "s1", RUN_2, sellers=[7])
+    (taken,) = read
+    assert list(taken) == [folder] and len(taken[folder]) == 1
+    assert set(store.current()["pending"][folder]) == set(before) - set(taken[folder])
+    assert rows(store.read("orders"), "id") == [("1",), ("7",)]
+    run_orders_stream(store, str(landing), checkpoint, "s2", RUN_3)
+    assert store.read("orders").count() == 40
+    # The folders of the version before stay for its readers.
+    store.commit("x", {})
+    store.commit("y", {})
+    assert store.files.names("_pending") == []
+
+
+def test_a_failed_run_leaves_what_is_pending(spark, store, tmp_path, monkeypatch):
+    landing, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    land(spark, landing, [order("1"), order("2", seller=6)])
+    run_orders_stream(store, str(landing), checkpoint, "s0", RUN_1, sellers=[5])
+    before = store.current()["pending"]
+    with monkeypatch.context() as patch:
+        patch.setattr(order_plan, "flatten_payments", lambda df: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_orders_stream(store, str(landing), checkpoint, "s1", RUN_2)
+    assert store.current()["pending"] == before
+    # Noted for the seller that was known and for the one that the run has met.
+    assert {s: x[0] for s, x in state(store).items()} == {5: "failed", 6: "failed"}
+    assert run_orders_stream(store, str(landing), checkpoint, "s1", RUN_2)
+    assert rows(store.read("orders"), "id") == [("1",), ("2",)]
+    assert {s: x[0] for s, x in state(store).items()} == {5: "completed", 6: "completed"}
+
+
+def test_a_pause_of_a_run_over_all_sellers_is_noted(spark, store, tmp_path, monkeypatch):
+    load_orders(spark, store, tmp_path, "r1", RUN_1, [order("1"), order("2", seller=6)])
+    with monkeypatch.context() as patch:
+        def interrupt(df):
+            raise KeyboardInterrupt
+
+        patch.setattr(order_plan, "flatten_payments", interrupt)
+        with pytest.raises(KeyboardInterrupt):
+            load_orders(spark, store, tmp_path, "r2", RUN_2, [order("3", seller=7)])
+    assert state(store) == {5: ("paused", 0, "1"), 6: ("paused", 0, "2"), 7: ("paused", 0, None)}
+    changed = [order("1", status="changed"), order("3", seller=7)]
+    load_orders(spark, store, tmp_path, "r3", RUN_3, changed)
+    assert rows(store.read("orders"), "id", "status") == [("1", "paid"), ("2", "paid"), ("3", "paid")]
+    assert state(store) == {5: ("completed", 0, "1"), 6: ("completed", 0, "2"), 7: ("completed", 1, "3")}
+
+
+def test_unreadable_orders_are_quarantined_whoever_is_asked_for(spark, store, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.json").write_text(json.dumps(order("1")) + "\n" + BROKEN + "\n")
+    raw = with_arrival(read_landing(spark, str(tmp_path / "in"), schemas.RAW_ORDER))
+    run_orders(store, raw, "r", RUN_1, ARRIVAL, sellers=[5])
+    assert rows(store.read("orders"), "id") == [("1",)]
+    assert rows(store.read("quarantine"), "reason", "raw_json") == [("unreadable document", BROKEN)]
+
+
+# --- any order of deliveries ---------------------------------------------------
+
+
+@pytest.mark.parametrize("sequence", list(itertools.permutations(range(3))))
+def test_deliveries_in_any_order(spark, store, tmp_path, sequence):
+    deliveries = (
+        [order("1", order_items=[line(), line()]), order("2"), order("3", seller=6)],
+        [order("1", status="second"), order("2", status=None), order("4"), order("4", status="last")],
+        [order("1", status="third", order_items=None, payments=[payment("n")]), order("3", status="third", seller=6)],
+    )
+    for n in sequence:
+        numbered = [{**d, "ord": 100 * n + k} for k, d in enumerate(deliveries[n])]
+        raw = land(spark, tmp_path / f"in{n}", numbered, f"ord BIGINT, {schemas.RAW_ORDER}")
+        run_orders(store, raw, f"r{n}", RUN_1, "ord", across_runs=True)
+    assert rows(store.read("orders"), "id", "status") == [
+        ("1", "third"), ("2", "paid"), ("3", "third"), ("4", "last")
+    ]
+    assert rows(store.read("order_items"), "order_id") == [("2",), ("3",), ("4",)]
+    assert rows(store.read("payments"), "id") == [("n",), ("p-2",), ("p-3",), ("p-4",)]
+    assert rows(store.read("quarantine"), "record_id") == [("2",)]
+    assert rows(store.read("order_arrivals"), "order_id", "arrived.row") == [
+        ("1", 200), ("2", 1), ("3", 201), ("4", 103)
+    ]
+
+
+def test_of_runs_with_numbers_of_their_own_the_later_one_wins(spark, store, tmp_path):
+    load_orders(spark, store, tmp_path, "r2", RUN_2, [order("1", status="b"), order("2", status="b")])
+    load_orders(spark, store, tmp_path, "r1", RUN_1, [order("0"), order("0"), order("1", status="a")])
+    assert rows(store.read("orders"), "id", "status") == [("0", "paid"), ("1", "b"), ("2", "b")]
+    load_orders(spark, store, tmp_path, "r3", RUN_2, [order("1", status="c")])
+    assert rows(store.read("orders"), "id", "status") == [("0", "paid"), ("1", "c"), ("2", "b")]
+
+
+def test_late_files_lose(spark, store, tmp_path):
+    landing, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    land(spark, landing, [order("1", status="new")], name="new")
+    os.utime(landing / "new.json", (2_000_000_000, 2_000_000_000))
+    run_orders_stream(store, str(landing), checkpoint, "s1", RUN_1)
+    land(spark, landing, [order("1", status="old"), order("2")], name="old")
+    os.utime(landing / "old.json", (1_000_000_000, 1_000_000_000))
+    run_orders_stream(store, str(landing), checkpoint, "s2", RUN_2)
+    assert rows(store.read("orders"), "id", "status") == [("1", "new"), ("2", "paid")]
+
+
+# --- counts that are kept up to date --------------------------------------------
+
+
+def test_counts_per_day_equal_those_of_all_orders(spark, store, tmp_path):
+    rng = random.Random(5)
+    for run in range(4):
+        batch = [
+            order(
+                str(rng.randrange(12)), seller=rng.choice([5, 6]), status=rng.choice(["paid", "new"]),
+                date_created=f"2024-01-0{rng.randint(1, 3)}T{rng.randrange(24):02}:00:00Z", payments=None,
+            )
+            for _ in range(9)
+        ]
+        load_orders(spark, store, tmp_path, f"r{run}", RUN_1, batch)
+        orders = store.read("orders")
+        assert rows(store.read("order_days")) == rows(rollup.order_days(orders))
+        given = store.read("etl_state")
+        maintained = reports.stats_of_days(store.read("order_days"), given)
+        assert rows(reports.stats_json(maintained)) == rows(
+            reports.stats_json(reports.seller_stats(orders, given))
+        )
+        assert rows(rollup.count_by_status(store.read("order_days"))) == rows(reports.orders_by_status(orders))
+    assert "orders/v" not in plan(maintained)
 
 
 def test_arrival_order_follows_file_time_then_place(spark, tmp_path):

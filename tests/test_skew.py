@@ -53,18 +53,20 @@ def test_top_rows_are_cut_before_each_shuffle(spark, skewed):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         wide = skewed.withColumn("wide", F.sha2(F.col("id").cast("string"), 512))
-        text = plan(first_per_key(wide, "k", ["id"], 5))
+        few, text = (plan(first_per_key(wide, "k", ["id"], n)) for n in (5, 1001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert text.count("WindowGroupLimit") == 6 and text.count(", Partial") == 3
-    # The wide rows are shuffled once; three more shuffles move only key and order.
+    # The input is read once, and what is left of it is cut again before it is ranked by key.
+    assert few.count("Range (") == 1 and few.count("Exchange hashpartitioning") == 2
+    assert few.count("WindowGroupLimit") == 4 and few.count(", Partial") == 2
+    # Beyond what Spark cuts so, the wide rows are shuffled once; three more shuffles move only key and order.
     assert text.count("Exchange hashpartitioning") == 4
     assert sum("wide" in below for below in text.split("Exchange")[1:]) == 1
 
 
 @pytest.mark.parametrize("descending", [False, True])
 def test_stored_cutoffs_give_the_same_rows(skewed, descending):
-    for n in (1, 7, 5000):
+    for n in (1, 7, 100, 5000):
         cuts = cutoffs(skewed, "k", ["v", "id"], n, descending)
         got = up_to_cutoff(skewed, cuts, "k", ["v", "id"], descending)
         assert rows(got) == rows(first_per_key(skewed, "k", ["v", "id"], n, descending))

@@ -68,6 +68,33 @@ def test_of_two_writers_one_fails(spark, store):
     assert other.commit("r2", {"orders": orders(spark, ("2", "b"))})
 
 
+def test_a_half_written_version_is_passed_over(spark, store):
+    store.commit("r1", {"orders": orders(spark, ("1", "a"))})
+    versions = store.files.names("_versions")
+    for text in ("", '{"tables"'):
+        number = int(versions[-1].split(".")[0]) + 1
+        with open(f"{store.root}/_versions/{number:012}.json", "w") as file:
+            file.write(text)
+        store.refresh()
+        assert rows(store.read("orders"), "id") == [("1",)]
+        versions = store.files.names("_versions")
+    assert store.commit("r2", {"orders": orders(spark, ("2", "b"))})
+    store.refresh()
+    assert rows(store.read("orders"), "id") == [("2",)] and store.has_run("r1")
+    for n in range(3):
+        store.commit(f"s{n}", {})
+    assert len(store.files.names("_versions")) == 2
+
+
+def test_small_files_appear_whole_or_not_at_all(spark, store, monkeypatch):
+    assert store.files.create("x/a.json", "one") and not store.files.create("x/a.json", "two")
+    assert store.files.read("x/a.json") == "one"
+    monkeypatch.setattr(store.files, "_rename", lambda *given: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.files.create("x/b.json", "three")
+    assert [n for n in store.files.names("x") if n.endswith(".json")] == ["a.json"]
+
+
 def test_another_store_sees_runs_after_a_refresh(spark, store):
     reader = TableStore(spark, store.root)
     assert reader.read("orders").isEmpty()

@@ -1,9 +1,13 @@
 """Upserts against a record-by-record model, and their single rules."""
 
 import datetime as dt
+import json
 import random
 
+from pyspark.sql import functions as F
+
 from tradewind import schemas
+from tradewind.functions import is_present, presence
 from tradewind.operators import upsert
 from tradewind.sources.landing import empty
 
@@ -88,6 +92,85 @@ def test_absent_fields_are_left_alone(spark):
         assert items(spark, *runs, without=without) == model_items(runs, without)
 
 
+def lacking(rng, records):
+    """Records without some of their fields, each without others."""
+    return [{k: v for k, v in r.items() if k == "item_id" or rng.random() < 0.6} for r in records]
+
+
+def model_partial(runs):
+    """Storing records that lack fields one after the other; without the times of updates."""
+    table = {}
+    for as_of, records in runs:
+        for record in records:
+            if not record.get("item_id"):
+                continue
+            row = table.get(record["item_id"])
+            if row is None:
+                row = table[record["item_id"]] = {
+                    c: record.get(c) for c in ("item_id", *upsert.ITEM_MUTABLE, "created_at")
+                }
+                row["views"] = row["views"] or 0
+                row["created_at"] = row["created_at"] or as_of
+            else:
+                row.update({k: record[k] for k in upsert.ITEM_MUTABLE if k in record})
+    return table
+
+
+def partial(spark, records):
+    """The records as a batch with the set of fields that each has."""
+    numbered = [{**r, "ord": n} for n, r in enumerate(records)]
+    lines = spark.createDataFrame([(json.dumps(r, default=str),) for r in numbered], "value STRING")
+    given = F.from_json("value", RECORD).alias("given")
+    return lines.select(given, presence(F.col("value"), upsert.ITEM_FIELDS).alias("has")).select(
+        "given.*", "has"
+    )
+
+
+def test_partial_records_equal_the_model(spark):
+    rng = random.Random(6)
+    for _ in range(6):
+        runs = [(as_of, lacking(rng, random_records(rng, rng.randint(1, 12)))) for as_of in (RUN_1, RUN_2)]
+        table = empty(spark, schemas.ITEMS)
+        for as_of, records in runs:
+            table = upsert.upsert_items(table, partial(spark, records), "ord", as_of, "has")
+        got = {r.item_id: r.asDict() for r in table.drop("updated_at").collect()}
+        assert got == model_partial(runs)
+
+
+def test_whole_records_are_upserted_alike_with_and_without_presence(spark):
+    rng = random.Random(7)
+    whole = [dict.fromkeys(c for c in NAMES if c != "ord") | r for r in random_records(rng, 12)]
+    table, other = empty(spark, schemas.ITEMS), empty(spark, schemas.ITEMS)
+    for as_of, records in ((RUN_1, whole[:6]), (RUN_2, whole[6:])):
+        table = upsert.upsert_items(table, partial(spark, records), "ord", as_of, "has")
+        other = upsert.upsert_items(other, batch(spark, records), "ord", as_of)
+    got, expected = ({r.item_id: r.asDict() for r in x.drop("updated_at").collect()} for x in (table, other))
+    assert got == expected
+
+
+def test_times_of_updates_of_partial_records(spark):
+    early = dt.datetime(2023, 1, 1)
+    first = [{"item_id": k, "title": "x", "updated_at": early} for k in "abcd"] + [{"item_id": "e"}]
+    second = [
+        {"item_id": "a", "title": "y"}, {"item_id": "b", "title": "x"},
+        {"item_id": "c", "title": "y", "updated_at": RUN_1}, {"item_id": "d", "updated_at": None},
+    ]
+    table = empty(spark, schemas.ITEMS)
+    for as_of, records in ((RUN_1, first), (RUN_2, second)):
+        table = upsert.upsert_items(table, partial(spark, records), "ord", as_of, "has")
+    got = {r.item_id: r.updated_at for r in table.collect()}
+    assert got == {"a": RUN_2, "b": early, "c": RUN_1, "d": None, "e": RUN_1}
+
+
+def test_presence(spark):
+    texts = ['{"a": null, "c": 1}', "{}", '["a"]', "x", None, '{"a": {"b": 1}, "a": 2}']
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    bits = presence(F.col("t"), ("a", "b", "c"))
+    assert [r[0] for r in df.select(bits).collect()] == [5, 0, None, None, None, 1]
+    got = df.select(is_present(bits, ("a", "b", "c"), "c")).first()[0]
+    assert got is True
+
+
 def test_missing_update_time_is_set_when_something_changed(spark):
     first = [{"item_id": k, "title": "x", "views": 1} for k in "abc"]
     second = [{"item_id": "a", "title": "y", "views": 1}, {"item_id": "b", "title": "x", "views": 1}]

@@ -70,7 +70,7 @@ def _orders(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _stats(spark: SparkSession, args: argparse.Namespace) -> int:
     store = TableStore(spark, args.root)
-    stats = reports.seller_stats(store.read("orders"), store.read("etl_state"), args.seller)
+    stats = reports.stats_of_days(store.read("order_days"), store.read("etl_state"), args.seller)
     document = reports.stats_json(stats).first()
     print(json.dumps(json.loads(document.stats) if document else {"order_counts": {}}, indent=2))
     return 0

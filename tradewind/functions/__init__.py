@@ -10,11 +10,13 @@ from .numeric import (
     to_double,
     to_money,
 )
+from .presence import is_present, presence
 from .text import blank_to_null, get_attr, id_or_null
 from .time import as_of_literal, hours_between, iso_text, utc_now, wall_clock
 
 __all__ = [
     "as_of_literal", "blank_to_null", "discount_pct", "get_attr", "hours_between",
-    "id_or_null", "iso_text", "not_a_number", "not_money", "or_zero", "py_round",
+    "id_or_null", "is_present", "iso_text", "not_a_number", "not_money", "or_zero", "presence",
+    "py_round",
     "safe_divide", "to_double", "to_money", "utc_now", "wall_clock",
 ]

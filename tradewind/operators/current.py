@@ -24,14 +24,16 @@ def superseded(rows: DataFrame, key: str, ord: str) -> DataFrame:
 
 
 def current(rows: DataFrame, key: str, ord: str) -> DataFrame:
-    """The last copy of each key; ``ord`` is unique within one.  Rows without a key all stay."""
-    gone = superseded(rows, key, ord)
-    return rows.join(gone, [key, ord], "left_anti").select(*rows.columns)
+    """The last copy of each key; ``ord`` is unique within one.  Rows without a key all stay.
 
+    Reads its input twice: once key and order alone, for the keys that have several copies.
+    """
+    last = rows.groupBy(F.col(key).alias(key)).agg(F.max(ord).alias(LAST), F.count("*").alias("_n"))
+    repeated = last.filter((F.col("_n") > 1) & F.col(key).isNotNull()).drop("_n")
+    found = match_salted(rows, repeated, [key], F.col(ord), "left")
+    return found.filter(F.col(LAST).isNull() | (F.col(ord) == F.col(LAST))).select(*rows.columns)
 
-def one_per_key(rows: DataFrame, key: str, ord: str | None = None) -> DataFrame:
-    """One row per key: the last to arrive, or without an order the greatest."""
-    fields = [c for c in rows.columns if c not in (key, ord)]
-    if ord is not None:
-        return current(rows.filter(F.col(key).isNotNull()), key, ord).drop(ord)
-    return rows.groupBy(key).agg(F.max(F.struct(*fields)).alias(LAST)).select(key, f"{LAST}.*")
+
+def one_per_key(rows: DataFrame, key: str, ord: str) -> DataFrame:
+    """The last copy of each key to arrive, without ``ord``; rows without a key are dropped."""
+    return current(rows.filter(F.col(key).isNotNull()), key, ord).drop(ord)

@@ -161,12 +161,16 @@ def variant_performance(items: DataFrame) -> DataFrame:
 def category_segments(items: DataFrame) -> DataFrame:
     """Listings, average price, sales, views and conversion per category.
 
-    Prices are summed exactly, with all the digits that a price has.
+    Prices are summed exactly, to ten decimals.  Where a price is too large for that, as doubles.
     """
-    price = F.sum(F.col("current_price").cast("decimal(28,10)")).cast("double")
+    price = F.col("current_price")
+    exact = price.try_cast("decimal(28,10)")
+    fits = F.count_if(price.isNotNull() & exact.isNull()) == 0
+    total = F.when(fits, F.try_sum(exact).cast("double"))
+    total = F.coalesce(total, F.sum(price))
     return _with_conversion(
         items.groupBy("category_id").agg(
-            *_sums(), safe_divide(price, F.count("current_price"), 2).alias("avg_price")
+            *_sums(), safe_divide(total, F.count("current_price"), 2).alias("avg_price")
         )
     )
 

@@ -17,7 +17,7 @@ from tradewind.functions import (
     to_double,
 )
 from tradewind.operators.current import current, one_per_key
-from tradewind.operators.lookup import lookup
+from tradewind.operators.lookup import lookup, match_salted
 from tradewind.operators.topk import first_per_key, page
 from tradewind.sources.landing import CORRUPT
 
@@ -32,16 +32,37 @@ def with_seller(listings: DataFrame) -> DataFrame:
     return listings.withColumn("seller_id", seller).drop("seller")
 
 
+def of_sellers(sellers: list[int]) -> Column:
+    """Whether a listing is one of some sellers'; never null."""
+    return F.coalesce(F.col("seller_id").isin(sellers), F.lit(False)) if sellers else F.lit(False)
+
+
+def copies_of_sellers(listings: DataFrame, sellers: list[int]) -> DataFrame:
+    """All copies of the listings that were some sellers' at any time.
+
+    They are what is needed to tell whose a listing is now.  Documents that cannot be read stay too.
+    """
+    own = of_sellers(sellers)
+    ids = listings.filter(own & F.col("id").isNotNull()).select(F.col("id").alias("_id")).distinct()
+    found = match_salted(
+        listings.withColumn("_id", F.col("id")), ids.withColumn("_own", F.lit(True)), ["_id"],
+        F.struct("seller_id", "status", "price"), "left",
+    )
+    wanted = F.col("_own").isNotNull() | own
+    if CORRUPT in listings.columns:
+        wanted = wanted | F.col(CORRUPT).isNotNull()
+    return found.filter(wanted).select(*listings.columns)
+
+
 def listings_of(
     listings: DataFrame, ord: str, status: str = "active", sellers: list[int] | None = None
 ) -> DataFrame:
-    """Current copies of the listings with a status, of some sellers or of all (``None``)."""
-    if sellers is not None:
-        listings = (
-            listings.filter(F.col("seller_id").isin(sellers)) if sellers else listings.limit(0)
-        )
-    # The last copy decides: an older one may have another status.
-    return current(listings, "id", ord).filter(F.col("status") == status)
+    """Current copies of the listings with a status, of some sellers or of all (``None``).
+
+    The last copy decides: an older one may have another status, or another seller.
+    """
+    found = current(listings, "id", ord).filter(F.col("status") == status)
+    return found if sellers is None else found.filter(of_sellers(sellers))
 
 
 def seller_listings(
@@ -84,31 +105,23 @@ def search(
     return found if limit is None else page(found, [F.col("id")], limit, offset)
 
 
-def attach_descriptions(
-    listings: DataFrame, descriptions: DataFrame, ord: str | None = None
-) -> DataFrame:
+def attach_descriptions(listings: DataFrame, descriptions: DataFrame, ord: str) -> DataFrame:
     """Add ``description``: 'N/A' if there is none, null for a listing without id.
 
-    Of several descriptions of an item the last one in the order of ``ord`` counts.
+    Of several descriptions of an item the last one in the order of their ``ord`` counts.
     """
-    order = [ord] if ord else []
-    text = descriptions.select("item_id", F.col("plain_text").alias("description"), *order)
-    text = one_per_key(text, "item_id", ord)
-    joined = lookup(listings, text, "id", "item_id")
+    text = descriptions.select("item_id", F.col("plain_text").alias("description"), ord)
+    joined = lookup(listings, one_per_key(text, "item_id", ord), "id", "item_id")
     return joined.withColumn(
         "description",
         F.when(_has_id(), F.coalesce("description", F.lit(NOT_AVAILABLE))),
     )
 
 
-def attach_reviews(
-    listings: DataFrame, reviews: DataFrame, ord: str | None = None
-) -> DataFrame:
-    """Add ``rating_average`` and ``total_reviews``, 0 without reviews; the last copy counts."""
-    order = [ord] if ord else []
-    rated = reviews.select("item_id", "rating_average", "total_reviews", *order)
-    rated = one_per_key(rated, "item_id", ord)
-    joined = lookup(listings, rated, "id", "item_id")
+def attach_reviews(listings: DataFrame, reviews: DataFrame, ord: str) -> DataFrame:
+    """Add ``rating_average`` and ``total_reviews``, 0 without reviews; the last copy by ``ord`` counts."""
+    rated = reviews.select("item_id", "rating_average", "total_reviews", ord)
+    joined = lookup(listings, one_per_key(rated, "item_id", ord), "id", "item_id")
     return joined.withColumns(
         {
             "rating_average": F.when(_has_id(), F.coalesce("rating_average", F.lit(0.0))),
@@ -126,11 +139,14 @@ def extract(
     status: str = "active",
     sellers: list[int] | None = None,
 ) -> DataFrame:
-    """Listings, all or each seller's first, with descriptions and reviews where given."""
+    """Listings, all or each seller's first, with descriptions and reviews where given.
+
+    All three have their order of arrival in a column ``ord``.
+    """
     found = seller_listings(listings, ord, limit, status, sellers)
     if descriptions is not None:
-        found = attach_descriptions(found, descriptions)
-    return found if reviews is None else attach_reviews(found, reviews)
+        found = attach_descriptions(found, descriptions, ord)
+    return found if reviews is None else attach_reviews(found, reviews, ord)
 
 
 def _has_id() -> Column:

@@ -117,11 +117,28 @@ def orders_in_range(raw: DataFrame, start: str | None = None, end: str | None =
     return raw.filter(in_date_range(wall_clock(F.col("date_created")), start, end))
 
 
-def for_sellers(raw: DataFrame, sellers: list[int] | None) -> DataFrame:
-    """Order documents of some sellers; ``None`` means all."""
+def of_sellers(raw: DataFrame, sellers: list[int] | None) -> Column:
+    """Whether a document is of some sellers (``None``: all); an unreadable one might be."""
     if sellers is None:
-        return raw
-    return raw.filter(F.col("seller.id").isin(sellers)) if sellers else raw.limit(0)
+        return F.lit(True)
+    own = F.coalesce(F.col("seller.id").isin(sellers), F.lit(False)) if sellers else F.lit(False)
+    return own | F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else own
+
+
+def for_sellers(raw: DataFrame, sellers: list[int] | None) -> DataFrame:
+    """Order documents of some sellers, and unreadable ones; ``None`` means all."""
+    return raw if sellers is None else raw.filter(of_sellers(raw, sellers))
+
+
+def asked_for(
+    raw: DataFrame, sellers: list[int] | None, start: str | None, end: str | None
+) -> Column:
+    """Whether a run over some sellers and times has to load a document; never null.
+
+    A time that cannot be read is not out of range: the document is loaded, to be quarantined.
+    """
+    created = wall_clock(F.col("date_created"))
+    return of_sellers(raw, sellers) & (created.isNull() | in_date_range(created, start, end))
 
 
 def unseen(raw: DataFrame, seen_ids: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions import as_of_literal
+from tradewind.functions import as_of_literal, is_present
 from tradewind.operators.current import current
 from tradewind.operators.lookup import match_salted
 
@@ -60,16 +60,21 @@ def collapse_items(batch: DataFrame, ord: str) -> DataFrame:
 
 
 def upsert_items(
-    target: DataFrame, batch: DataFrame, ord: str, as_of: str | dt.datetime
+    target: DataFrame, batch: DataFrame, ord: str, as_of: str | dt.datetime,
+    present: str | None = None,
 ) -> DataFrame:
     """Insert or update listings by item id.
 
     A null in a record overwrites; a field the batch does not have at all is left
     alone; ``created_at`` stays as first written.  Column defaults (``views`` 0, load
-    times) apply where a key's only record is its insert.
+    times) apply where a key's only record is its insert.  ``present`` names a column that says
+    which fields each record has, see ``functions.presence``: then what a record does not have is
+    left alone by that record.
     """
+    if present is not None:
+        return _upsert_partial(target, batch, ord, as_of, present)
     now = as_of_literal(as_of)
-    present = [c for c in ITEM_MUTABLE if c in batch.columns]
+    fields = [c for c in ITEM_MUTABLE if c in batch.columns]
     joined = target.withColumn("_old", F.lit(True)).join(
         collapse_items(batch, ord), "item_id", "full_outer"
     )
@@ -77,7 +82,7 @@ def upsert_items(
     fresh_single = ~is_old & (F.col("_n") == 1)
 
     def field(name: str) -> Column:
-        if name not in present:
+        if name not in fields:
             value = F.col(name)
             insert = F.lit(0).cast("bigint") if name == "views" else F.lit(None)
             return F.when(~is_old, insert).otherwise(value)
@@ -91,7 +96,7 @@ def upsert_items(
         updated = F.when(fresh_single, F.coalesce(written, now)).otherwise(written)
     else:
         same = F.lit(True)
-        for name in present:
+        for name in fields:
             same = same & F.col(name).eqNullSafe(F.col(f"_new.{name}"))
         updated = F.when(is_old & same, F.col("updated_at")).otherwise(now)
     return joined.select(
@@ -104,6 +109,78 @@ def upsert_items(
     )
 
 
+#: The fields whose presence counts, in the order of their bits.
+ITEM_FIELDS = (*ITEM_MUTABLE, "created_at", "updated_at")
+
+
+def collapse_partial_items(batch: DataFrame, ord: str, present: str) -> DataFrame:
+    """One row per item, with the last record of each field that has it, as (at, value).
+
+    A field that no record has is null.  All of it is combined map-side.
+    """
+    at = F.col(ord).alias("at")
+
+    def has(name: str) -> Column:
+        return is_present(F.col(present), ITEM_FIELDS, name)
+
+    def last(name: str) -> Column:
+        return F.max(F.when(has(name), F.struct(at, F.col(name).alias("value")))).alias(f"_{name}")
+
+    first = F.min(F.struct(at, F.when(has("created_at"), F.col("created_at")).alias("created")))
+    return with_item_id(batch).groupBy("item_id").agg(
+        first.alias("_first"), *[last(c) for c in (*ITEM_MUTABLE, "updated_at")]
+    )
+
+
+def _upsert_partial(
+    target: DataFrame, batch: DataFrame, ord: str, as_of: str | dt.datetime, present: str
+) -> DataFrame:
+    """Each field from the last record that has it.
+
+    ``updated_at`` is the load time if what a record changed came after the last record that
+    has the field itself.
+    """
+    now, names = as_of_literal(as_of), [f.name for f in target.schema]
+    missing = [f for f in target.schema if f.name in ITEM_FIELDS and f.name not in batch.columns]
+    batch = batch.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    old = target.select("item_id", F.struct(*names[1:]).alias("_old"))
+    joined = old.join(collapse_partial_items(batch, ord, present), "item_id", "full_outer")
+    is_old, is_new = F.col("_old").isNotNull(), F.col("_first").isNotNull()
+    first_at, written = F.col("_first.at"), F.col("_updated_at")
+
+    def field(name: str) -> Column:
+        new, before = F.col(f"_{name}"), F.col(f"_old.{name}")
+        value = F.when(new.isNotNull(), new["value"]).otherwise(before)
+        if name == "views":
+            inserted = ~is_old & (new.isNull() | (new["at"] == first_at))
+            value = F.when(inserted, F.coalesce(value, F.lit(0))).otherwise(value)
+        return value
+
+    changed = F.lit(False)
+    for name in ITEM_MUTABLE:
+        new = F.col(f"_{name}")
+        other = F.when(is_old, ~new["value"].eqNullSafe(F.col(f"_old.{name}"))).otherwise(
+            new["at"] > first_at
+        )
+        after = written.isNull() | (new["at"] > written["at"])
+        changed = changed | F.coalesce(new.isNotNull() & other & after, F.lit(False))
+    inserted = ~is_old & (written["at"] == first_at)
+    updated = (
+        F.when(changed | (~is_old & written.isNull()), now)
+        .when(inserted, F.coalesce(written["value"], now))
+        .when(written.isNotNull(), written["value"])
+        .otherwise(F.col("_old.updated_at"))
+    )
+    return joined.select(
+        "item_id",
+        *[field(c).alias(c) for c in ITEM_MUTABLE],
+        F.when(is_old, F.col("_old.created_at"))
+        .otherwise(F.coalesce("_first.created", now))
+        .alias("created_at"),
+        F.when(is_new, updated).otherwise(F.col("_old.updated_at")).alias("updated_at"),
+    )
+
+
 # --- sellers and state: null does not overwrite ----------------------------
 
 

@@ -205,6 +205,36 @@ OUTCOMES = f"""
 NICKNAME = "coalesce(CASE WHEN s_acctbal >= 0 THEN s_name END, 'N/A') AS nickname"
 EARLY_END = "date_created >= TIMESTAMP '1996-01-01' AND date_created <= TIMESTAMP '1997-06-30'"
 
+def _partial() -> str:
+    """Items after two runs of records that lack fields: per field the last record that has it."""
+    def runs(run: int, as_of: str) -> str:
+        return f"""SELECT {run} AS run, (k + {run}) % 3 <> 0 AS has_title, k % 4 <> {run} AS has_current_price,
+          k % 5 >= {run} AS has_views, NOT (k % 2 = 0 AND {run} = 2) AS has_brand, *
+        FROM ({_enriched(run, as_of)})"""
+
+    fields = []
+    for c in (x.strip() for x in ITEM_COLUMNS.split(",")):
+        having = f"FILTER (WHERE has_{c})" if c in ("title", "current_price", "views", "brand") else ""
+        value = f"last({c} ORDER BY run, k) {having}"
+        if c == "views":
+            # All of them are numbers; only an item that no record has views of is left.
+            value = f"coalesce({value}, 0)"
+        fields.append(f"{value} AS {c}")
+    return f"""SELECT item_id, {', '.join(fields)}, min(created_at) AS created_at
+    FROM ({runs(1, RUN_1)} UNION ALL {runs(2, RUN_2)}) GROUP BY item_id"""
+
+
+# After the second of two runs, of which some orders have no currency.
+WHOLE = f"SELECT * FROM ({_orders(2)}) WHERE k % 31 <> 0"
+LOADED = _last(WHOLE, "id")
+LEFT = f"SELECT * FROM ({FIRST}) WHERE id NOT IN (SELECT id FROM ({LOADED}))"
+
+
+def _progress(orders: str) -> str:
+    return f"""SELECT seller_id, count(*) AS total_processed, arg_max(id, k) AS last_order_id
+    FROM ({orders}) GROUP BY seller_id"""
+
+
 def _totals(by: str, more: str = "") -> str:
     return f"""
         SELECT {by}, count(*) AS n_items, CAST(sum(sold_quantity) AS BIGINT) AS sold_quantity,
@@ -437,4 +467,51 @@ ORACLES = {
         SELECT 'orders' AS source, 'unreadable document' AS reason,
           '{{"id": "' || id || '", "seller": {{"id": 5' AS raw_json
         FROM ({_orders()}) WHERE k % 23 = 0""",
+    "items_of_sellers": f"""
+        SELECT id, seller_id, title, CAST(price AS VARCHAR) AS price FROM (
+          SELECT * REPLACE (CASE WHEN k % 5 = 0 THEN seller_id + 1 ELSE seller_id END AS seller_id)
+          FROM ({_items()}))
+        WHERE status = 'active' AND seller_id IN (1, 2, 3)""",
+    "items_partial_upsert": _partial(),
+    "orders_out_of_order": f"""
+        SELECT id, seller_id, total_amount, CASE WHEN k % 3 = 0 THEN 'third'
+            WHEN k % 2 = 0 THEN 'second' ELSE status END AS status,
+          CASE WHEN k % 3 = 0 THEN least(n, 3) WHEN k % 2 = 0 THEN least(n, 2) ELSE n END AS n_lines
+        FROM (SELECT o.*, coalesce(n, 0) AS n FROM ({_orders()}) o LEFT JOIN (
+          SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = k)""",
+    "seller_stats_maintained": f"""
+        WITH o AS ({LEFT} UNION ALL {LOADED}),
+        s AS (
+          SELECT coalesce(a.seller_id, b.seller_id) AS seller_id, 'completed' AS run_status,
+            coalesce(b.total_processed, a.total_processed) AS total_processed,
+            CASE WHEN b.seller_id IS NULL THEN '2024-06-01T12:00:00' ELSE '2024-06-02T12:00:00' END
+              AS last_run,
+            coalesce(b.last_order_id, a.last_order_id) AS last_order_id
+          FROM ({_progress(FIRST)}) a FULL JOIN ({_progress(LOADED)}) b ON a.seller_id = b.seller_id)
+        SELECT s.*, earliest, latest, status, n_orders FROM s
+        LEFT JOIN (SELECT seller_id, {_span('date_created', 'min')} AS earliest,
+            {_span('date_created', 'max')} AS latest FROM o GROUP BY 1) d
+          ON d.seller_id = s.seller_id
+        LEFT JOIN (SELECT seller_id, status, count(*) AS n_orders FROM o GROUP BY 1, 2) c
+          ON c.seller_id = s.seller_id""",
+    "orders_run_tables": f"""
+        SELECT 'payments' AS stored, id, order_id, CAST(total_paid_amount AS VARCHAR) AS value
+        FROM ({_payments(LEFT, '1-')} UNION ALL {_payments(LOADED, '2-')})
+        UNION ALL SELECT 'quarantine', NULL, id, 'no currency' FROM ({_orders(2)}) WHERE k % 31 = 0""",
+    "items_run_tables": f"""
+        WITH r AS (
+          SELECT *, 1 AS run, '2024-06-01 12:00:00' AS moment FROM ({_items(1)})
+          UNION ALL SELECT *, 2, '2024-06-02 12:00:00' FROM ({_items(2)})),
+        loaded AS (
+          SELECT * FROM (SELECT * FROM r WHERE k % 37 <> 0
+            QUALIFY row_number() OVER (PARTITION BY run, id ORDER BY k DESC) = 1)
+          WHERE status = 'active')
+        SELECT 'price_history' AS stored, id AS key, moment AS value FROM loaded
+        UNION ALL SELECT DISTINCT 'sellers', CAST(seller_id AS VARCHAR), 'false' FROM loaded
+          WHERE seller_id <> 0
+        UNION ALL SELECT 'quarantine', id, 'price is not a number' FROM r WHERE k % 37 = 0""",
+    "orders_pending": f"""
+        SELECT 'orders' AS stored, id, seller_id, status FROM ({_orders()}) WHERE k % 23 <> 0
+        UNION ALL SELECT 'quarantine', '{{"id": "' || id || '", "seller": {{"id": 5', NULL,
+          'unreadable document' FROM ({_orders()}) WHERE k % 23 = 0""",
 }

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.operators.items import (
+    copies_of_sellers,
     drop_empty,
     enrich,
     listings_of,
+    of_sellers,
     split_by_price,
     with_seller,
 )
@@ -40,7 +42,7 @@ def run_items(
     """Load the current listings with a status; returns the outcome per seller.
 
     ``ord`` is the column of arrival order.  All sellers run as one job; with ``limit``
-    each has only its first listings loaded.  A run id that was loaded before changes
+    each has only its first listings loaded.  With ``sellers`` those that are theirs now.  A run id that was loaded before changes
     nothing.
     """
     spark = store.spark
@@ -49,14 +51,14 @@ def run_items(
         with staging(spark) as stage:
             listings = drop_empty(with_seller(listings))
             if sellers is not None:
-                wanted = F.col("seller_id").isin(sellers) if sellers else F.lit(False)
-                if CORRUPT in listings.columns:
-                    wanted = wanted | F.col(CORRUPT).isNotNull()
-                listings = listings.filter(wanted)
+                listings = copies_of_sellers(listings, sellers)
             if ord == ARRIVAL:
                 # Parsed once, and row numbers must not change between two reads.
                 listings = stage.put("landed", listings)
             readable, unreadable = split_by_price(listings)
+            if sellers is not None:
+                corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in listings.columns else F.lit(False)
+                unreadable = unreadable.filter(of_sellers(sellers) | corrupt)
             found = listings_of(readable, ord, status, sellers)
             chosen = stage.put("listings", _chosen(stage, found, ord, limit))
             records = stage.put("records", enrich(chosen, as_of, keep=(ord,)))
@@ -84,12 +86,42 @@ def _chosen(stage: Stage, listings: DataFrame, ord: str, limit: int | None) -> D
     return up_to_cutoff(listings, cuts, "seller_id", [ord])
 
 
+def run_records(
+    store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str,
+    present: str | None = None,
+) -> bool:
+    """Load records that are enriched already; False if this run was loaded before.
+
+    ``present`` names the column that says which fields each record has, as ``read_records`` adds it.
+    Lines that are no record are quarantined.
+    """
+    store.refresh()
+    if store.has_run(run_id):
+        return False
+    with staging(store.spark) as stage:
+        # Parsed once, and row numbers must not change between two reads.
+        landed = stage.put("records", records)
+        changes = {}
+        if CORRUPT in landed.columns:
+            broken = landed.filter(F.col(CORRUPT).isNotNull())
+            landed = landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            changes["quarantine"] = broken.select(
+                F.lit("records").alias("source"),
+                F.lit(None).cast("string").alias("record_id"),
+                F.lit("unreadable document").alias("reason"),
+                F.col(CORRUPT).alias("raw_json"),
+            )
+        changes |= load_records(store, landed, run_id, as_of, ord, present)
+        return store.commit(run_id, changes)
+
+
 def load_records(
-    store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str
+    store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str,
+    present: str | None = None,
 ) -> dict[str, DataFrame]:
     """New items and sellers tables and added price records for enriched records."""
     return {
-        "items": upsert_items(store.read("items"), records, ord, as_of),
+        "items": upsert_items(store.read("items"), records, ord, as_of, present),
         "sellers": upsert_sellers(store.read("sellers"), records, ord),
         "price_history": price_records(records, ord, as_of, run_id),
     }

@@ -21,7 +21,13 @@ from tradewind.plans.tables import TableStore
 from tradewind.session import shared_folder
 from tradewind.sources import testdata as td
 from tradewind.sources.files import Folder
-from tradewind.sources.landing import empty, point_lookup, read_landing
+from tradewind.sources.landing import (
+    PRESENT,
+    empty,
+    point_lookup,
+    read_landing,
+    read_records,
+)
 from tradewind.streaming.orders_stream import run_orders_stream
 
 ORD = "ingest_ordinal"
@@ -61,6 +67,12 @@ def items_active_limit(spark, sf):
     return found.select("id", "seller_id", "title", "status", "price")
 
 
+def items_of_sellers(spark, sf):
+    """Listings of some sellers as they are now, after some have changed hands."""
+    found = items.seller_listings(td.moved_items(spark, sf), ORD, sellers=[td.BIG_SELLER, 2, 3])
+    return found.select("id", "seller_id", "title", "price")
+
+
 def items_active(spark, sf):
     found = items.seller_listings(td.delivered_items(spark, sf), ORD)
     return found.select("id", "seller_id", "title", "status", "price")
@@ -94,13 +106,13 @@ def items_with_descriptions(spark, sf):
 
 def items_with_reviews(spark, sf):
     listings = td.raw_items(spark, sf).select("id", "title")
-    return items.attach_reviews(listings, td.raw_reviews(spark, sf))
+    return items.attach_reviews(listings, td.raw_reviews(spark, sf), ORD)
 
 
 def items_extract(spark, sf):
     listings = items.seller_listings(td.delivered_items(spark, sf), ORD)
     found = items.attach_descriptions(listings, td.raw_descriptions(spark, sf), ORD)
-    found = items.attach_reviews(found, td.raw_reviews(spark, sf))
+    found = items.attach_reviews(found, td.raw_reviews(spark, sf), ORD)
     return found.select(
         "id", "seller_id", "title", "description", "rating_average", "total_reviews"
     )
@@ -307,6 +319,27 @@ def items_upsert(spark, sf):
     return upsert.upsert_items(first, _item_run(spark, sf, 2, RUN_2), ORD, RUN_2)
 
 
+def items_partial_upsert(spark, sf):
+    """Records from lines of JSON that lack different fields; others have them as null."""
+    number, table = F.col(ORD), empty(spark, schemas.ITEMS)
+    for run, as_of in ((1, RUN_1), (2, RUN_2)):
+        records = items.enrich(td.raw_items(spark, sf, run=run), as_of, keep=(ORD,))
+        without = {
+            "title": (number + run) % 3 == 0,
+            "current_price": number % 4 == run,
+            "views": number % 5 < run,
+            "brand": (number % 2 == 0) & (run == 2),
+            "created_at": F.lit(True),
+            "updated_at": number % 7 == run,
+        }
+        folder = _new_folder(spark)
+        td.record_texts(records, without).write.text(folder)
+        schema = f"{ORD} BIGINT, {schemas.RECORD}"
+        landed = read_records(spark, folder, schema, upsert.ITEM_FIELDS)
+        table = upsert.upsert_items(table, landed, ORD, as_of, PRESENT)
+    return table.drop("updated_at")
+
+
 def sellers_upsert(spark, sf):
     first = upsert.upsert_sellers(
         empty(spark, schemas.SELLERS), _item_run(spark, sf, 1, RUN_1), ORD
@@ -437,6 +470,107 @@ def orders_run(spark, sf):
     return store.read("orders")
 
 
+def orders_out_of_order(spark, sf):
+    """Three deliveries, the last one loaded first: the last copy of each order is what counts."""
+    store = TableStore(spark, f"{_new_folder(spark)}/tables")
+    deliveries = td.three_deliveries(spark, sf)
+    for n in (2, 0, 1):
+        run_orders(store, deliveries[n], f"run-{n}", RUN_1, ORD, across_runs=True)
+    lines = store.read("order_items").groupBy(F.col("order_id").alias("id")).agg(
+        F.count("*").alias("n_lines")
+    )
+    found = store.read("orders").select("id", "seller_id", "status", "total_amount")
+    return found.join(lines, "id", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+
+
+def _two_runs(spark, sf):
+    """Two order runs; of the second delivery some orders have no currency."""
+    store = TableStore(spark, f"{_new_folder(spark)}/tables")
+    for run, as_of in ((1, RUN_1), (2, RUN_2)):
+        landed = td.raw_orders(spark, sf, run=run)
+        if run == 2:
+            currency = F.when(F.col(ORD) % 31 != 0, F.col("currency_id"))
+            landed = landed.withColumn("currency_id", currency)
+        run_orders(store, landed, f"run-{run}", as_of, ORD)
+    return store
+
+
+def seller_stats_maintained(spark, sf):
+    """Statistics after two runs from the counts that the runs keep up to date."""
+    store = _two_runs(spark, sf)
+    stats = reports.stats_of_days(store.read("order_days"), store.read("etl_state"))
+    return stats.select(
+        "seller_id",
+        F.col("etl_state.status").alias("run_status"),
+        F.col("etl_state.total_processed").alias("total_processed"),
+        F.col("etl_state.last_run").alias("last_run"),
+        F.col("etl_state.last_order_id").alias("last_order_id"),
+        F.col("date_range.earliest").alias("earliest"),
+        F.col("date_range.latest").alias("latest"),
+        F.explode_outer("order_counts").alias("status", "n_orders"),
+    )
+
+
+def orders_run_tables(spark, sf):
+    """What two runs leave in the tables of payments and of quarantined orders."""
+    store = _two_runs(spark, sf)
+    payments = store.read("payments").select(
+        F.lit("payments").alias("stored"), "id", "order_id",
+        F.col("total_paid_amount").cast("string").alias("value"),
+    )
+    quarantine = store.read("quarantine").select(
+        F.lit("quarantine").alias("stored"), F.lit(None).cast("string").alias("id"),
+        F.col("record_id").alias("order_id"), F.col("reason").alias("value"),
+    )
+    return payments.unionByName(quarantine)
+
+
+def items_run_tables(spark, sf):
+    """What two listing runs leave in the tables of price records, sellers and quarantined listings."""
+    store = TableStore(spark, f"{_new_folder(spark)}/tables")
+    for run, as_of in ((1, RUN_1), (2, RUN_2)):
+        listings = td.raw_items(spark, sf, run=run).withColumn(
+            "price", F.when(F.col(ORD) % 37 == 0, "on request").otherwise(F.col("price"))
+        )
+        run_items(store, listings, f"run-{run}", as_of, ORD)
+
+    def named(name, key, value):
+        return store.read(name).select(
+            F.lit(name).alias("stored"), F.col(key).cast("string").alias("key"),
+            F.col(value).cast("string").alias("value"),
+        )
+
+    return (
+        named("price_history", "item_id", "recorded_at")
+        .unionByName(named("sellers", "seller_id", "is_competitor"))
+        .unionByName(named("quarantine", "record_id", "reason"))
+    )
+
+
+def orders_pending(spark, sf):
+    """Runs for one seller, for another one up to a date, and for all, over one landing with broken lines.
+
+    What a run is not asked for stays pending, so in the end everything is loaded once.
+    """
+    folder = _new_folder(spark)
+    store = TableStore(spark, f"{folder}/tables")
+    landing = f"{folder}/landing"
+    td.order_texts(spark, sf).write.text(landing)
+    for n, asked in enumerate(({"sellers": [td.BIG_SELLER]}, {"sellers": [2, 3], "end": END}, {})):
+        run_orders_stream(
+            store, landing, f"{folder}/checkpoint", f"run {n}", RUN_1, fmt="json", **asked
+        )
+    loaded = store.read("orders").select(
+        F.lit("orders").alias("stored"), "id", "seller_id", "status"
+    )
+    null = F.lit(None)
+    broken = store.read("quarantine").select(
+        F.lit("quarantine").alias("stored"), F.col("raw_json").alias("id"),
+        null.cast("bigint").alias("seller_id"), F.col("reason").alias("status"),
+    )
+    return loaded.unionByName(broken)
+
+
 def orders_stream(spark, sf):
     """Streaming form, from a JSON landing in several micro-batches; returns the loaded lines.
 
@@ -462,7 +596,8 @@ def orders_stream(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        attr_extract, enrich_items, items_active_limit, items_active, item_details, item_lookup,
+        attr_extract, enrich_items, items_active_limit, items_of_sellers, items_active, item_details,
+        item_lookup,
         item_search_page, items_with_descriptions, items_with_reviews, items_extract,
         item_questions,
         user_lookup, category_trends, price_quarantine,
@@ -472,10 +607,11 @@ QUERIES = {
         orders_new_only, orders_quarantine, orders_unreadable, orders_accepted, payment_conflicts,
         last_two_orders, last_order_documents, orders_by_status, orders_date_span, seller_stats,
         seller_stats_json, order_details, order_lines,
-        items_upsert, sellers_upsert, price_history_append, orders_upsert,
+        items_upsert, items_partial_upsert, sellers_upsert, price_history_append, orders_upsert,
         order_items_replace, payments_replace, etl_state_upsert,
         price_positions, competitor_ranks, market_shares, trend_growth, price_changes,
         sales_velocity, variant_performance, category_segments,
-        items_run, orders_run, orders_stream,
+        items_run, items_run_tables, orders_run, orders_run_tables, seller_stats_maintained,
+        orders_out_of_order, orders_pending, orders_stream,
     )
 }

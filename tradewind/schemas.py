@@ -49,6 +49,17 @@ RAW_ORDER = f"""
     order_items ARRAY<{_RAW_LINE}>, payments ARRAY<{_RAW_PAYMENT}>
 """
 
+#: An enriched record, as a loader gets it; each may lack any field.
+RECORD = """
+    item_id STRING, title STRING, category_id STRING, current_price DOUBLE,
+    original_price DOUBLE, available_quantity INT, sold_quantity BIGINT, condition STRING,
+    brand STRING, size STRING, color STRING, gender STRING, views BIGINT,
+    conversion_rate DOUBLE, seller_id BIGINT, created_at TIMESTAMP_NTZ,
+    updated_at TIMESTAMP_NTZ, discount_percentage DOUBLE, competitor_rank INT,
+    price_position STRING, seller_nickname STRING, seller_reputation DOUBLE,
+    seller_transactions BIGINT, is_competitor BOOLEAN, market_share_pct DOUBLE
+"""
+
 # --- target tables ---------------------------------------------------------
 
 ITEMS = """
@@ -104,6 +115,18 @@ PAYMENTS = """
     shipping_cost DECIMAL(10,2), taxes_amount DECIMAL(10,2), coupon_amount DECIMAL(10,2)
 """
 
+#: When the stored copy of each order arrived; see ``operators.arrivals``.
+ORDER_ARRIVALS = """
+    order_id STRING,
+    arrived STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>
+"""
+
+#: How many stored orders of a seller are in a status and of a day, and the first and last of them.
+ORDER_DAYS = """
+    seller_id BIGINT, status STRING, day DATE, n BIGINT,
+    first TIMESTAMP_NTZ, last TIMESTAMP_NTZ
+"""
+
 ETL_STATE = """
     seller_id BIGINT, last_processed_date TIMESTAMP_NTZ, last_offset BIGINT,
     total_processed BIGINT, last_run_date TIMESTAMP_NTZ, status STRING,

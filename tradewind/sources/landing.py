@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewind.functions.presence import presence
+
 ARRIVAL = "_arrival"
 ARRIVAL_SCHEMA = "STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>"
 #: The text of a document that does not parse, or not with the types it should have.
 CORRUPT = "_corrupt"
+#: A file that lands with a time so far behind the newest one's would be ignored by a stream.
+MAX_FILE_AGE = "36500d"
+#: Which fields a document has.
+PRESENT = "_present"
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -43,6 +49,23 @@ def read_landing(
     return df if where is None else df.filter(where)
 
 
+def read_records(
+    spark: SparkSession, path: str, schema: str, fields: tuple[str, ...], into: str = PRESENT
+) -> DataFrame:
+    """Scan a landing of JSON lines with, in ``into``, which of some fields each document has.
+
+    An absent key reads as null, like one that is null; only the set of fields tells them apart.
+    A line that is no object is in ``_corrupt``, without fields.
+    """
+    lines = spark.read.text(path).select("value", "_metadata")
+    given = F.from_json(
+        "value", f"{schema}, {CORRUPT} STRING", {"columnNameOfCorruptRecord": CORRUPT}
+    )
+    return lines.select(
+        given.alias("_given"), presence(F.col("value"), fields).alias(into), "_metadata"
+    ).select("_given.*", into, "_metadata")
+
+
 def stream_landing(
     spark: SparkSession, path: str, schema: str, fmt: str = "json", files_per_batch: int = 1000
 ) -> DataFrame:
@@ -50,6 +73,7 @@ def stream_landing(
     return (
         _typed(spark.readStream, schema, fmt)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", MAX_FILE_AGE)
         .load(path)
         .select("*", "_metadata")
     )

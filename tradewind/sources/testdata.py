@@ -122,6 +122,27 @@ def seller_extras(records: DataFrame) -> DataFrame:
     )
 
 
+def record_texts(records: DataFrame, without: dict[str, Column]) -> DataFrame:
+    """Records as lines of JSON; a field is absent where ``without`` says so, else null if it is."""
+    parts = []
+    for name in records.columns:
+        pair = F.to_json(F.struct(name), {"ignoreNullFields": "false"})
+        inner = F.substring(pair, F.lit(2), F.length(pair) - 2)
+        parts.append(F.when(~without[name], inner) if name in without else inner)
+    return records.select(
+        F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")).alias("value")
+    )
+
+
+def moved_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All listings, of which a fifth is delivered again later as the next seller's."""
+    first, key = raw_items(spark, sf_dir), F.col("ingest_ordinal")
+    again = first.filter(key % 5 == 0).withColumns(
+        {"seller_id": F.col("seller_id") + 1, "ingest_ordinal": key + LATER}
+    )
+    return first.unionByName(again)
+
+
 def delivered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All listings, a fifth of them delivered again later with another price and status."""
     first, key = raw_items(spark, sf_dir), F.col("ingest_ordinal")
@@ -149,11 +170,17 @@ def raw_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "labels").select(
+    """Reviews, of which a quarter was delivered with a better rating before."""
+    rated = table(spark, sf_dir, "labels").select(
         listing_id(F.col("doc_id")).alias("item_id"),
         F.col("quality").cast("double").alias("rating_average"),
         F.col("toxic").cast("bigint").alias("total_reviews"),
+        F.col("doc_id").alias("ingest_ordinal"),
     )
+    older = rated.filter(F.col("ingest_ordinal") % 4 == 0).withColumns(
+        {"rating_average": F.lit(9.0), "ingest_ordinal": F.col("ingest_ordinal") - LATER}
+    )
+    return older.unionByName(rated)
 
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,11 +288,14 @@ def raw_orders(
 ) -> DataFrame:
     """Order documents.  With ``defects`` some cannot be loaded, for varied reasons.
 
-    An order with very many lines has them in several documents; of the test tables none
-    has, and the scan for those skips all row groups by their statistics.
+    An order with very many lines has them in several documents.  Whether there is one is looked up
+    first, a scan that skips row groups by their statistics.
     """
-    first, further = (_documents(spark, sf_dir, run, defects, x) for x in (False, True))
-    return first.unionByName(further)
+    documents = _documents(spark, sf_dir, run, defects, False)
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") > LINE_NUMBERS)
+    if lines.select("l_orderkey").isEmpty():
+        return documents
+    return documents.unionByName(_documents(spark, sf_dir, run, defects, True))
 
 
 def _documents(
@@ -351,6 +381,21 @@ def delivered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+def three_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All order documents, half of them again later, a third of them once more after that."""
+    first, key = raw_orders(spark, sf_dir), F.col("ingest_ordinal")
+    return [first] + [
+        first.filter(key % part == 0).withColumns(
+            {
+                "status": F.lit(status),
+                "order_items": F.slice("order_items", 1, part),
+                "ingest_ordinal": key + late * LATER,
+            }
+        )
+        for part, status, late in ((2, "second", 1), (3, "third", 2))
+    ]
+
+
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order documents as lines of JSON, of which some are cut off."""
     orders = raw_orders(spark, sf_dir)
