@@ -514,4 +514,11 @@ ORACLES = {
         SELECT 'orders' AS stored, id, seller_id, status FROM ({_orders()}) WHERE k % 23 <> 0
         UNION ALL SELECT 'quarantine', '{{"id": "' || id || '", "seller": {{"id": 5', NULL,
           'unreadable document' FROM ({_orders()}) WHERE k % 23 = 0""",
+    "item_search_indexed": f"""
+        SELECT query, id, title FROM ({_items()})
+        JOIN (VALUES ('ring'), ('Blue'), ('old p'), ('zzz'), ('re')) q(query)
+          ON contains(lower(title), lower(query))""",
+    "item_pages": f"""
+        SELECT CAST((row_number() OVER (ORDER BY id) - 1) // 1000 AS INTEGER) AS page, id, title, seller_id
+        FROM ({_items()}) WHERE seller_id = 1""",
 }

@@ -7,14 +7,16 @@ equivalent SQL in ``oracles``.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.functions import get_attr
 from tradewind.operators import insights, items, orders, reports, upsert
 from tradewind.operators.current import one_per_key
+from tradewind.plans import listing_index
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.tables import TableStore
@@ -37,6 +39,8 @@ LIMIT = 5
 ITEM_ID = "MLB000000000042"
 USER_ID = 7
 SEARCH = {"query": "RING", "limit": 20, "offset": 20}
+SEARCHES = ("ring", "Blue", "old p", "zzz", "re")
+PAGE = 1000
 CATEGORY = "PROMO"
 START, END = "1996-01-01", "1997-06-30"
 
@@ -99,6 +103,27 @@ def item_search_page(spark, sf):
     return found.select("id", "title", "category_id", "seller_id")
 
 
+def item_search_indexed(spark, sf):
+    """Searches through the trigrams of titles; the last one is too short for them and scans."""
+    index = listing_index.build(spark, _new_folder(spark), td.delivered_items(spark, sf), ORD)
+    found = [
+        index.search(query).select(F.lit(query).alias("query"), "id", "title")
+        for query in SEARCHES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def item_pages(spark, sf):
+    """All pages of the listings of one seller, each behind the last id of the one before."""
+    index = listing_index.build(spark, _new_folder(spark), td.delivered_items(spark, sf), ORD)
+    own = F.col("seller_id") == td.BIG_SELLER
+    found = [
+        page.select(F.lit(n).alias("page"), "id", "title", "seller_id")
+        for n, page in enumerate(index.pages(PAGE, own))
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def items_with_descriptions(spark, sf):
     listings = td.raw_items(spark, sf).select("id", "title")
     return items.attach_descriptions(listings, td.raw_descriptions(spark, sf), ORD)
@@ -598,7 +623,7 @@ QUERIES = {
     for f in (
         attr_extract, enrich_items, items_active_limit, items_of_sellers, items_active, item_details,
         item_lookup,
-        item_search_page, items_with_descriptions, items_with_reviews, items_extract,
+        item_search_page, item_search_indexed, item_pages, items_with_descriptions, items_with_reviews, items_extract,
         item_questions,
         user_lookup, category_trends, price_quarantine,
         sellers_of_category, sellers_quick10, category_seller_counts, seller_outcomes,
