@@ -498,6 +498,44 @@ def test_late_files_lose(spark, store, tmp_path):
     assert rows(store.read("orders"), "id", "status") == [("1", "new"), ("2", "paid")]
 
 
+# --- parts ----------------------------------------------------------------------
+
+
+def test_a_run_writes_the_parts_of_its_keys_only(spark, store, tmp_path):
+    first = [order(str(n), seller=n, payments=[payment(f"p{n}")]) for n in range(60)]
+    load_orders(spark, store, tmp_path, "r1", RUN_1, first)
+    before = store.current()["tables"]
+    part = store.parts_of("orders", spark.createDataFrame([("7",)], "id STRING"))
+    load_orders(spark, store, tmp_path, "r2", RUN_2, [order("7", seller=7, status="changed")])
+    after = store.current()["tables"]
+    for name in ("orders", "order_items", "payments", "order_arrivals"):
+        changed = {int(p) for p in after[name] if after[name][p] != before[name].get(p)}
+        assert changed == set(part), name
+    assert len(after["orders"]) > 20
+    assert store.read("orders").count() == 60 and rows(store.read("orders", parts=part), "id", "status")
+    assert rows(store.read("orders").filter("status <> 'paid'"), "id") == [("7",)]
+    assert rows(store.read("order_days")) == rows(rollup.order_days(store.read("orders")))
+
+
+def test_a_run_of_listings_writes_the_parts_of_its_keys_only(spark, store, tmp_path):
+    load_items(spark, store, tmp_path, "r1", RUN_1, [listing(f"a{n}") for n in range(60)])
+    before = store.current()["tables"]["items"]
+    load_items(spark, store, tmp_path, "r2", RUN_2, [listing("a7", price=8)])
+    after = store.current()["tables"]["items"]
+    assert sum(after[p] != before[p] for p in before) == 1 and len(before) > 20
+    assert store.read("items").count() == 60
+    assert rows(store.read("items").filter("current_price > 0"), "item_id") == [("a7",)]
+
+
+def test_the_number_of_parts_stays(spark, tmp_path):
+    root = str(tmp_path / "t")
+    load_orders(spark, TableStore(spark, root, parts=3), tmp_path, "r1", RUN_1, [order(str(n)) for n in range(20)])
+    store = TableStore(spark, root, parts=50)
+    load_orders(spark, store, tmp_path, "r2", RUN_2, [order("7", status="changed"), order("21")])
+    assert set(store.current()["tables"]["orders"]) == {"0", "1", "2"}
+    assert store.read("orders").count() == 21
+
+
 # --- counts that are kept up to date --------------------------------------------
 
 

@@ -21,7 +21,7 @@ from tradewind.operators.items import (
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
 from tradewind.plans.staging import staging
-from tradewind.plans.tables import TableStore
+from tradewind.plans.tables import PARTS, TableStore
 from tradewind.session import build_session, shuffle_partitions
 from tradewind.sources.landing import ARRIVAL, CORRUPT, read_landing, with_arrival
 from tradewind.streaming.orders_stream import run_orders_stream
@@ -113,7 +113,7 @@ def _print_sellers(spark: SparkSession, args: argparse.Namespace, named: DataFra
 
 
 def _init(spark: SparkSession, args: argparse.Namespace) -> int:
-    TableStore(spark, args.root).init_tables()
+    TableStore(spark, args.root, args.parts).init_tables()
     return 0
 
 
@@ -138,7 +138,8 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--seller", type=int, action="append", help="repeatable; default all")
         sub.add_argument("--run-id", default=f"run-{utc_now().isoformat()}")
 
-    command("init", _init, "create the tables", landing=False)
+    sub = command("init", _init, "create the tables", landing=False)
+    sub.add_argument("--parts", type=int, default=PARTS, help="hash parts of the larger tables")
     sub = command("items", _items, "load listings")
     run_options(sub)
     sub.add_argument("--limit", type=int, help="listings per seller; default all")

@@ -25,7 +25,7 @@ from tradewind.operators.upsert import (
     with_item_id,
 )
 from tradewind.plans.staging import Stage, staging
-from tradewind.plans.tables import TableStore
+from tradewind.plans.tables import TableStore, Touched
 from tradewind.sources.landing import ARRIVAL, CORRUPT
 
 
@@ -118,10 +118,12 @@ def run_records(
 def load_records(
     store: TableStore, records: DataFrame, run_id: str, as_of: str | dt.datetime, ord: str,
     present: str | None = None,
-) -> dict[str, DataFrame]:
+) -> dict[str, DataFrame | Touched]:
     """New items and sellers tables and added price records for enriched records."""
+    parts = store.parts_of("items", with_item_id(records).select("item_id"))
+    stored = store.read("items", parts=parts)
     return {
-        "items": upsert_items(store.read("items"), records, ord, as_of, present),
+        "items": Touched(upsert_items(stored, records, ord, as_of, present), parts),
         "sellers": upsert_sellers(store.read("sellers"), records, ord),
         "price_history": price_records(records, ord, as_of, run_id),
     }
