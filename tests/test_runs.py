@@ -539,6 +539,20 @@ def test_the_number_of_parts_stays(spark, tmp_path):
 # --- counts that are kept up to date --------------------------------------------
 
 
+def test_sellers_per_category_follow_the_listings(spark, store, tmp_path):
+    rng = random.Random(6)
+    for run in range(4):
+        documents = [
+            listing(f"a{rng.randrange(12)}", seller_id=rng.choice([0, 1, 2, None]), category_id=rng.choice("XY"))
+            for _ in range(8)
+        ]
+        load_items(spark, store, tmp_path, f"r{run}", RUN_1, documents)
+        counts, items = store.read("category_sellers"), store.read("items")
+        assert rows(counts) == rows(rollup.category_sellers(items))
+        expected = items.filter("seller_id <> 0").groupBy("category_id").agg({"seller_id": "count"})
+        assert {r[0] for r in rows(rollup.sellers_per_category(counts))} == {r[0] for r in rows(expected)}
+
+
 def test_counts_per_day_equal_those_of_all_orders(spark, store, tmp_path):
     rng = random.Random(5)
     for run in range(4):

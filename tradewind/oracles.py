@@ -521,4 +521,9 @@ ORACLES = {
     "item_pages": f"""
         SELECT CAST((row_number() OVER (ORDER BY id) - 1) // 1000 AS INTEGER) AS page, id, title, seller_id
         FROM ({_items()}) WHERE seller_id = 1""",
+    "category_sellers_maintained": f"""
+        SELECT category_id, count(DISTINCT seller_id) AS n_sellers FROM ({_items_after(
+        _enriched(1, RUN_1, ACTIVE.format(items=_last(_items(1), "id"))),
+        _enriched(2, RUN_2, ACTIVE.format(items=_last(_items(2), "id"))),
+    )}) WHERE seller_id <> 0 GROUP BY category_id""",
 }

@@ -17,6 +17,7 @@ from tradewind.operators.items import (
     with_seller,
 )
 from tradewind.operators.reports import seller_outcomes
+from tradewind.operators.rollup import roll_listings
 from tradewind.operators.topk import cutoffs, up_to_cutoff
 from tradewind.operators.upsert import (
     price_records,
@@ -122,8 +123,10 @@ def load_records(
     """New items and sellers tables and added price records for enriched records."""
     parts = store.parts_of("items", with_item_id(records).select("item_id"))
     stored = store.read("items", parts=parts)
+    after = upsert_items(stored, records, ord, as_of, present)
     return {
-        "items": Touched(upsert_items(stored, records, ord, as_of, present), parts),
+        "items": Touched(after, parts),
+        "category_sellers": roll_listings(store.read("category_sellers"), stored, after),
         "sellers": upsert_sellers(store.read("sellers"), records, ord),
         "price_history": price_records(records, ord, as_of, run_id),
     }

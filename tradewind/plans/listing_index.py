@@ -39,7 +39,9 @@ AHEAD = 4
 
 def grams_of(title: Column) -> Column:
     """The distinct trigrams of a title in lower case; code points, in one pass."""
-    found = F.regexp_extract_all(F.lower(title), F.lit(f"(?s)(?=({'.' * GRAM}))"), F.lit(1))
+    # Not from the second half of a character that has two.
+    pattern = rf"(?s)(?!\p{{Cs}})(?=(.{{{GRAM}}}))"
+    found = F.regexp_extract_all(F.lower(title), F.lit(pattern), F.lit(1))
     return F.array_distinct(found)
 
 

@@ -121,6 +121,9 @@ ORDER_ARRIVALS = """
     arrived STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>
 """
 
+#: How many stored listings a seller has in a category.
+CATEGORY_SELLERS = "category_id STRING, seller_id BIGINT, n BIGINT"
+
 #: How many stored orders of a seller are in a status and of a day, and the first and last of them.
 ORDER_DAYS = """
     seller_id BIGINT, status STRING, day DATE, n BIGINT,
