@@ -177,6 +177,7 @@ def test_random_batches_equal_a_model(spark, store, tmp_path):
             (k, p["id"]) for k, d in stored.items() for p in d["payments"] or []
         )
         assert store.read("quarantine").count() == held_back
+        assert rows(store.read("payment_owners")) == rows(store.read("payments"), "id", "order_id")
     assert held_back > 8
 
 
@@ -517,6 +518,16 @@ def test_a_run_writes_the_parts_of_its_keys_only(spark, store, tmp_path):
     assert rows(store.read("order_days")) == rows(rollup.order_days(store.read("orders")))
 
 
+def test_payment_ids_are_looked_up_in_their_parts_only(spark, store, tmp_path, monkeypatch):
+    load_orders(spark, store, tmp_path, "r1", RUN_1, [order(str(n)) for n in range(60)])
+    read, given = store.read, []
+    monkeypatch.setattr(store, "read", lambda name, *a, **k: given.append((name, k.get("parts"))) or read(name, *a, **k))
+    load_orders(spark, store, tmp_path, "r2", RUN_2, [order("x", payments=[payment("p-7")]), order("y")])
+    assert {name for name, parts in given if parts is None} <= {"runs", "etl_state"}
+    assert all(len(parts) <= 3 for name, parts in given if name in ("payments", "payment_owners"))
+    assert rows(store.read("quarantine"), "record_id") == [("x",)]
+
+
 def test_a_run_of_listings_writes_the_parts_of_its_keys_only(spark, store, tmp_path):
     load_items(spark, store, tmp_path, "r1", RUN_1, [listing(f"a{n}") for n in range(60)])
     before = store.current()["tables"]["items"]

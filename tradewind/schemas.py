@@ -121,6 +121,9 @@ ORDER_ARRIVALS = """
     arrived STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>
 """
 
+#: The order of each stored payment, by the payment's id.
+PAYMENT_OWNERS = "payment_id STRING, order_id STRING"
+
 #: How many stored listings a seller has in a category.
 CATEGORY_SELLERS = "category_id STRING, seller_id BIGINT, n BIGINT"
 
