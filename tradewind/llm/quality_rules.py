@@ -215,7 +215,7 @@ def clean(docs: DataFrame, text: str = "text", into: str = "quality") -> DataFra
     words, repeated, lines, cleaned, counts = map(
         fresh, ("words", "repeated", "lines", "cleaned", "counts")
     )
-    value = F.col(text)
+    value = quoted(text)
     step = docs.withColumn(words, words_of(value))
     step = step.withColumn(repeated, repeated_words(F.col(words)))
     step = step.withColumn(lines, F.split(value, "\n", -1))
@@ -256,7 +256,7 @@ def clean(docs: DataFrame, text: str = "text", into: str = "quality") -> DataFra
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    out = clean(docs.select(F.col(id_col), F.col(text)), text, "quality")
+    out = clean(docs.select(quoted(id_col), quoted(text)), text, "quality")
     return out.select(id_col, "quality.*")
 
 
