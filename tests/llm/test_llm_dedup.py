@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from messy import documents, empty, prose, rows
 
-from tradewind.llm import embedding_dups, ngram_join, phrase_automata, suffix_dedup, textscan
+from tradewind.llm import anchors, embedding_dups, ngram_join, phrase_automata, suffix_dedup, textscan
 from tradewind.llm.common import Scratch
 from tradewind.llm.components import components
 
@@ -318,6 +318,26 @@ def test_suffixes(spark, monkeypatch, tmp_path, scan):
     assert sorted(map(tuple, got.collect()), key=str) == brute_bytes(given)
 
 
+@pytest.mark.parametrize("bits", [6, 7, 10])
+def test_anchors_of_texts_longer_than_a_slice(monkeypatch, bits):
+    rng = np.random.default_rng(bits)
+    items = rng.integers(0, 5, 3000).astype(np.uint64)
+    bounds = np.array([0, 1000, 1000, 1040, 3000])
+
+    def found():
+        a = anchors.Anchors(len(items), bounds, anchors.stretch_hashes(items), 50, 20)
+        return [x.tolist() for x in (a.place, a.first, a.last, a.text, a.key, a.context)]
+
+    whole = found()
+    monkeypatch.setattr(anchors, "PLACE_BITS", bits)
+    assert found() == whole and len(whole[0]) > 50
+
+
+def test_suffix_stage_without_a_number_of_characters(spark):
+    docs = documents(spark, rows(7), extra=False).drop("n_chars")
+    assert suffix_dedup.stage(spark, docs, None).columns == docs.columns
+
+
 def test_suffix_stage(spark):
     given = rows(7)
     docs = documents(spark, given)

@@ -15,7 +15,7 @@ import numpy as np
 
 from tradewind.llm.textscan import BASE, mix, powers
 
-#: Positions within one scan are kept in this many bits while the smallest hash is looked for.
+#: Positions within a slice of a scan are kept in this many bits while the smallest hash is looked for.
 PLACE_BITS = 26
 
 
@@ -41,13 +41,9 @@ class Anchors:
         self.key = self.context = np.empty(0, np.uint64)
         if n < size:
             return
-        if n >> PLACE_BITS:
-            raise ValueError(f"a text has more than {1 << PLACE_BITS} items")
         at = np.arange(n - grams + 1)
         gram = mix(hashes(at, at + grams))
-        low = np.uint64((1 << PLACE_BITS) - 1)
-        named = sliding_minimum((gram & ~low) | at.astype(np.uint64), size - grams + 1) & low
-        named = named.astype(np.int64)
+        named = self._named(gram, size - grams + 1)
         # Windows that go beyond their text are none.
         ends = np.repeat(bounds[1:], np.diff(bounds))[: len(named)]
         begin = np.flatnonzero(np.arange(len(named)) + size <= ends)
@@ -65,6 +61,20 @@ class Anchors:
         around = ((self.place - self.first) * (size + 1) + self.last - self.first).astype(np.uint64)
         self.context = mix(hashes(self.first, self.last + size) + mix(around + np.uint64(1)))
 
+    @staticmethod
+    def _named(gram: np.ndarray, width: int) -> np.ndarray:
+        """Per window of ``width`` stretches, the place of the one that it names.
+
+        Taken in slices, in which a place fits its bits; windows at a slice's end begin the next one.
+        """
+        low, found = np.uint64((1 << PLACE_BITS) - 1), []
+        step = (1 << PLACE_BITS) - width + 1
+        for start in range(0, len(gram) - width + 1, step):
+            part = gram[start : start + step + width - 1]
+            packed = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+            found.append((sliding_minimum(packed, width) & low).astype(np.int64) + start)
+        return np.concatenate(found)
+
 
 def stretch_hashes(items: np.ndarray):
     """Hashes of stretches of 64-bit items."""

@@ -1,7 +1,11 @@
-"""Substring dedup by distributed prefix doubling over sampled suffixes.
+"""Substring dedup by sorted ranks of sampled strings, which takes the place of prefix doubling.
 
 Removed is each byte covered by a 50-byte string that also starts in a document with a smaller id.
 
+There is no loop of growing offsets that ranks anew until ranks are unique: the first rank is that of 20 bytes
+at once, and one step from there reaches the threshold of 50. Doubling as such would sort a row of some 25
+bytes for every byte of text, several times.
+
 Ranks are names of classes of equal strings, taken from hashes. Instead of all suffixes, those at anchors
 are ranked (see ``anchors``): every 50-byte string names one, so equal strings are always compared.
 
@@ -365,4 +369,6 @@ def remove_covered(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 def stage(spark, docs, sf_dir):
     """All documents, without the passages of 50 bytes or more that an earlier one has."""
     out = remove_covered(docs)
+    if "n_chars" not in docs.columns:
+        return out
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
