@@ -1,6 +1,7 @@
 """The operators that judge or transform each row, against brute force and round trips."""
 
 import hashlib
+import math
 import random
 import re
 import textwrap
@@ -9,7 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from messy import documents, empty, prose, rows
+from messy import SCHEMA, documents, empty, prose, rows
 
 from tradewind.llm import byte_bpe, chat_format, language_id, quality_rules
 
@@ -290,6 +291,62 @@ def test_prototypes_are_sums_of_text_vectors(spark):
     assert (profiles.bundle(["B"])[0][0] == expected).all()
 
 
+def test_predictions_equal_plain_sums_of_bound_letters(spark):
+    """Binding, bundling and the cosine one n-gram at a time, over texts of all kinds."""
+    given = rows()
+    profiles, n = language_id.Profiles(256), 256
+
+    def vector(text):
+        kept = "".join(c.lower() if c.isalpha() and len(c.lower()) == 1 else c if c.isalpha() else " " for c in text or "")
+        if not kept.strip():
+            return None
+        line = f" {' '.join(kept.split())} "
+        total = np.zeros(n, np.int64)
+        for k in range(len(line) - 2):
+            bound = np.ones(n, np.int64)
+            for place, c in enumerate(line[k : k + 3]):
+                letter = profiles.letter(0 if c == " " else ord(c))
+                bound *= np.roll(letter.astype(np.int64), place)
+            total += bound
+        return total
+
+    known = [(t, "even" if k % 2 else "odd") for k, (_, t, *_) in enumerate(given) if len(t or "") < 3000]
+    sums = {}
+    for text, lang in known:
+        v = vector(text)
+        if v is not None:
+            sums[lang] = sums.get(lang, 0) + v
+    df = spark.createDataFrame([(k, t, lang, "s", 0) for k, (t, lang) in enumerate(known)], SCHEMA)
+    learned = language_id.prototypes(df, dimensions=n)
+    assert {k: v.tolist() for k, v in learned.items()} == {k: v.tolist() for k, v in sums.items()}
+    got = {r.doc_id: r for r in language_id.predict(df, learned, dimensions=n).collect()}
+    for k, (text, _) in enumerate(known):
+        v = vector(text)
+        if v is None:
+            assert (got[k].lang_pred, got[k].score) == ("und", 0.0)
+            continue
+        cosines = {x: v @ s / math.sqrt(int(v @ v) * int(s @ s)) for x, s in sums.items()}
+        best = max(cosines.values())
+        assert got[k].score == pytest.approx(max(best, 0), abs=1e-5)
+        assert cosines[got[k].lang_pred] == pytest.approx(best, abs=1e-5)
+
+
+def test_sums_of_very_long_texts_are_whole_numbers():
+    profiles = language_id.Profiles(16)
+    text = "ab " * 3_000_000 + "cd " * 3_000_001
+    (vector,), _ = profiles.bundle([text])
+    (once,), _ = profiles.bundle(["ab " * 10 + "cd " * 11])
+    (twice,), _ = profiles.bundle(["ab " * 11 + "cd " * 12])
+    # Of each word one more adds the same each time.
+    assert (vector.astype(int) - once.astype(int) == (3_000_000 - 10) * (twice - once).astype(int)).all()
+
+
+def test_quality_of_columns_with_dots(spark):
+    df = spark.createDataFrame([(1, "A sentence of words. " * 12)], "`a.id` bigint, `the.text` string")
+    out = quality_rules.clean(df, "the.text", "verdict").select("verdict.*").first()
+    assert out.n_words == 48
+
+
 def test_nothing_to_learn(spark):
     assert language_id.prototypes(empty(spark)) == {}
     got = language_id.predict(documents(spark, [(1, "abc", None, "s")]), {}).collect()

@@ -81,17 +81,20 @@ class Profiles:
         """The texts' vectors as rows, and which texts have a letter at all."""
         counted = [grams_of(text) for text in texts]
         has_letter = np.array([x is not None for x in counted])
-        out = np.zeros((len(texts), self.dimensions), np.float32)
         found = [(i, *x) for i, x in enumerate(counted) if x is not None]
+        # Whole numbers: exact as long as they fit the kind.
+        most = max((int(x[2].sum()) for x in found), default=0)
+        kind = np.float32 if most < 1 << 24 else np.float64
+        out = np.zeros((len(texts), self.dimensions), kind)
         if found:
             every = np.concatenate([x[1] for x in found])
             grams, column = np.unique(every, return_inverse=True)
-            counts = np.zeros((len(texts), len(grams)), np.float32)
+            counts = np.zeros((len(texts), len(grams)), kind)
             row = np.repeat([x[0] for x in found], [len(x[1]) for x in found])
             counts[row, column] = np.concatenate([x[2] for x in found])
             rows = self.lookup(grams)
             for start in range(0, len(rows), 4096):
-                part = self.vectors[rows[start : start + 4096]].astype(np.float32)
+                part = self.vectors[rows[start : start + 4096]].astype(kind)
                 out += counts[:, start : start + 4096] @ part
         return out, has_letter
 
