@@ -101,6 +101,8 @@ def test_urls(spark):
     for _ in range(250):
         host = rng.choice(["a", "shop", "blog.b"]) + rng.choice([".com", ".net", ".org", ".example.com"])
         urls.append(f"http://{host}/{rng.choice(['en', 'es', 'fr', 'de'])}/{rng.randrange(99)}")
+    # Cut in one pass, and its n-grams do not carry it along.
+    urls += ["http://long.org/" + "ab/" * 100_000, "http://odd.org/" + "".join(rng.choices("xyz🙂/", k=200_000))]
     df = spark.createDataFrame(
         [(k, u, k, "x") for k, u in enumerate(urls)], "page_id int, url string, gram int, host string"
     ).repartition(3)

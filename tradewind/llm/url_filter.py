@@ -64,12 +64,10 @@ def parse(pages: DataFrame, id_col: str, url: str, rules=RULES) -> DataFrame:
 
 
 def grams_of(host: Column, path: Column) -> Column:
-    """An n-gram for each character and one for the end."""
+    """An n-gram for each character and one for the end, cut in one pass."""
     whole = F.concat(F.lit(BEFORE * (ORDER - 1)), host, path, F.lit(AFTER))
-    return F.transform(
-        F.sequence(F.lit(1), F.length(whole) - (ORDER - 1)),
-        lambda i: F.substring(whole, i, F.lit(ORDER)),
-    )
+    # Not from the second half of a character that has two.
+    return F.regexp_extract_all(whole, F.lit(rf"(?s)(?!\p{{Cs}})(?=(.{{{ORDER}}}))"), F.lit(1))
 
 
 def model(grams: DataFrame) -> DataFrame:
@@ -143,32 +141,32 @@ def judge(
     """id, host, path, rule, verdict and score of every row; the score is null under a rule."""
     scratch = Scratch(pages.sparkSession)
     parsed = parse(pages, id_col, url, rules)
-    # Equal sequences are scored once; a hot URL is a single row from here on.
+    # Equal sequences are scored once; a hot URL is a single row from here on. Its n-grams carry its
+    # number alone, however long it is.
     sequences = parsed.groupBy("host", "path").agg(
         F.first("ruled", ignorenulls=True).alias("ruled"), F.count("*").alias("n")
     )
+    sequences = scratch.put("sequences", sequences.withColumn("seq", F.monotonically_increasing_id()))
     exploded = sequences.select(
-        "host", "path", "ruled", "n", F.explode(grams_of(F.col("host"), F.col("path"))).alias("gram")
+        "seq", "ruled", "n", F.explode(grams_of(F.col("host"), F.col("path"))).alias("gram")
     )
     counts = exploded.groupBy("gram").agg(
         F.sum(F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0)).alias("good"),
         F.sum(F.when(F.col("ruled") == "block", F.col("n")).otherwise(0)).alias("bad"),
     )
     ratios = model(scratch.put("grams", counts))
-    # The sum runs in whole steps of 1e-9, so that its order does not matter.
-    scored = (
-        exploded.join(ratios, "gram")
-        .groupBy("host", "path")
-        .agg(
-            (F.sum(F.round(F.col("ratio") * 1e9).cast("bigint")) / F.count("*") / 1e9).alias("score"),
-            F.first("ruled", ignorenulls=True).alias("ruled"),
-            F.first("n").alias("n"),
-        )
-    )
-    scored = scratch.put("scored", scored)
+    # The sum runs in whole steps of 1e-9, so that its order does not matter. The n-grams are many
+    # times larger than the planner takes them for, so neither side may be broadcast.
+    scores = (
+        exploded.select("seq", "gram").hint("merge").join(ratios, "gram")
+        .groupBy("seq")
+        .agg((F.sum(F.round(F.col("ratio") * 1e9).cast("bigint")) / F.count("*") / 1e9).alias("score"))
+    )
+    scored = scratch.put("scored", sequences.hint("merge").join(scores, "seq").drop("seq"))
     each = scored.where("ruled is not null").select("ruled", "score", "n")
     threshold = threshold_of(each)
-    free = parsed.where("rule is null").join(scored.drop("ruled", "n"), ["host", "path"])
+    found = scored.drop("ruled", "n").hint("merge")
+    free = parsed.where("rule is null").join(found, ["host", "path"])
     passes = F.lit(True) if threshold is None else F.col("score") >= threshold
     rest = free.withColumn("verdict", F.when(passes, "allow").otherwise("block"))
     ruled = parsed.where("rule is not null").select(
