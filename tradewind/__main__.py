@@ -20,6 +20,7 @@ from tradewind.operators.items import (
 )
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
+from tradewind.plans.replay import CORRECTIONS, replay_orders
 from tradewind.plans.staging import staging
 from tradewind.plans.tables import PARTS, TableStore
 from tradewind.session import build_session, shuffle_partitions
@@ -68,6 +69,12 @@ def _orders(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def _replay(spark: SparkSession, args: argparse.Namespace) -> int:
+    texts = spark.read.schema(CORRECTIONS).json(args.corrections) if args.corrections else None
+    replay_orders(TableStore(spark, args.root), args.run_id, utc_now(), texts)
+    return 0
+
+
 def _stats(spark: SparkSession, args: argparse.Namespace) -> int:
     store = TableStore(spark, args.root)
     stats = reports.stats_of_days(store.read("order_days"), store.read("etl_state"), args.seller)
@@ -154,6 +161,9 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--start-date", help="ISO date or time, inclusive")
     sub.add_argument("--end-date", help="ISO date or time, inclusive; a date is its midnight")
     sub.add_argument("--checkpoint", help="follow new files, noting progress in this folder")
+    sub = command("replay", _replay, "load rejected orders again", landing=False)
+    sub.add_argument("--run-id", default=f"run-{utc_now().isoformat()}")
+    sub.add_argument("--corrections", help="JSON lines of entry and corrected document; default: all")
     sub = command("stats", _stats, "print a seller's order statistics", landing=False)
     sub.add_argument("--seller", type=int, required=True)
     sub = command("last-orders", _last_orders, "print a seller's newest orders", root=False)

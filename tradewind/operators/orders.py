@@ -89,7 +89,7 @@ def accepted(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col(REASON).isNull()).drop(REASON)
 
 
-def rejected(checked: DataFrame) -> DataFrame:
+def rejected(checked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Quarantine records of the rejected orders, with the document as it came if unreadable."""
     document = F.to_json(F.struct(*[c for c in checked.columns if c[0] != "_" and c != REASON]))
     if CORRUPT in checked.columns:
@@ -99,6 +99,7 @@ def rejected(checked: DataFrame) -> DataFrame:
         F.col("id").alias("record_id"),
         F.col(REASON).alias("reason"),
         document.alias("raw_json"),
+        *keep,
     )
 
 

@@ -510,6 +510,23 @@ ORACLES = {
         UNION ALL SELECT DISTINCT 'sellers', CAST(seller_id AS VARCHAR), 'false' FROM loaded
           WHERE seller_id <> 0
         UNION ALL SELECT 'quarantine', id, 'price is not a number' FROM r WHERE k % 37 = 0""",
+    "orders_replayed": f"""
+        WITH d AS (
+          SELECT id, k, status, CASE WHEN k % 2 = 0 THEN k % 8 = 0 ELSE k % 5 = 0 END AS was_open,
+            CASE WHEN k % 8 = 0 THEN 'no status' ELSE 'no currency' END AS reason,
+            (k % 5 = 0)::INT + (k % 8 = 0)::INT AS n
+          FROM ({_orders()}))
+        SELECT 'orders' AS stored, id, CASE WHEN k % 3 = 0 THEN 'third'
+            WHEN was_open AND k % 3 = 1 AND k % 7 <> 0 AND reason = 'no status' THEN 'mended'
+            WHEN k % 2 = 0 AND k % 8 <> 0 THEN 'second' ELSE status END AS value,
+          CAST(NULL AS BIGINT) AS n
+        FROM d WHERE k % 3 = 0 OR (was_open AND k % 3 = 1 AND k % 7 <> 0)
+          OR (k % 2 = 0 AND k % 8 <> 0) OR k % 5 <> 0
+        UNION ALL SELECT 'quarantine_open', id, reason, n + (k % 3 = 1)::INT FROM d
+          WHERE was_open AND (k % 3 = 2 OR (k % 3 = 1 AND k % 7 = 0))
+        UNION ALL SELECT 'quarantine_closed', id, CASE WHEN NOT was_open THEN 'run-1'
+            WHEN k % 3 = 0 THEN 'run-2' ELSE 'replay' END, n FROM d
+          WHERE (k % 10 = 0 AND k % 8 <> 0) OR (was_open AND (k % 3 = 0 OR (k % 3 = 1 AND k % 7 <> 0)))""",
     "orders_pending": f"""
         SELECT 'orders' AS stored, id, seller_id, status FROM ({_orders()}) WHERE k % 23 <> 0
         UNION ALL SELECT 'quarantine', '{{"id": "' || id || '", "seller": {{"id": 5', NULL,

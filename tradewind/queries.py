@@ -19,6 +19,7 @@ from tradewind.operators.current import one_per_key
 from tradewind.plans import listing_index
 from tradewind.plans.items_run import run_items
 from tradewind.plans.orders_run import run_orders
+from tradewind.plans.replay import replay_orders
 from tradewind.plans.tables import TableStore
 from tradewind.session import shared_folder
 from tradewind.sources import testdata as td
@@ -508,6 +509,40 @@ def orders_out_of_order(spark, sf):
     return found.join(lines, "id", "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
 
 
+def orders_replayed(spark, sf):
+    """Three deliveries, of the first two some orders cannot be loaded; a third of those is loaded again in between.
+
+    Of the documents that are loaded again most are corrected.  Returns the orders, the entries that are still
+    open and those that were closed.
+    """
+    store = TableStore(spark, f"{_new_folder(spark)}/tables")
+    deliveries, key = td.three_deliveries(spark, sf), F.col(ORD) % td.LATER
+    deliveries[0] = deliveries[0].withColumn(
+        "currency_id", F.when(key % 5 != 0, F.col("currency_id"))
+    )
+    deliveries[1] = deliveries[1].withColumn("status", F.when(key % 8 != 0, F.col("status")))
+    for n in (0, 1):
+        run_orders(store, deliveries[n], f"run-{n}", RUN_1, ORD, across_runs=True)
+    number, text = F.col("entry").cast("bigint"), F.col("raw_json")
+    missing = F.when(F.col("reason") == "no status", '{"status":"mended",').otherwise('{"currency_id":"BRL",')
+    corrected = F.when(number % 7 != 0, F.concat(missing, F.substr(text, F.lit(2))))
+    found = store.read("quarantine_open").filter(number % 3 == 1)
+    replay_orders(store, "replay", RUN_1, found.select("entry", corrected.alias("document")))
+    run_orders(store, deliveries[2], "run-2", RUN_1, ORD, across_runs=True)
+
+    def named(name, key, value, n):
+        return store.read(name).select(
+            F.lit(name).alias("stored"), F.col(key).alias("id"), F.col(value).alias("value"),
+            (F.col(n) if n else F.lit(None)).cast("bigint").alias("n"),
+        )
+
+    return (
+        named("orders", "id", "status", None)
+        .unionByName(named("quarantine_open", "entry", "reason", "n_attempts"))
+        .unionByName(named("quarantine_closed", "entry", "closed_by", "n_attempts"))
+    )
+
+
 #: By session and tables: the store after two runs, which two queries read.
 _stores: dict[tuple[str, str], TableStore] = {}
 
@@ -652,6 +687,6 @@ QUERIES = {
         price_positions, competitor_ranks, market_shares, trend_growth, price_changes,
         sales_velocity, variant_performance, category_segments,
         items_run, items_run_tables, category_sellers_maintained, orders_run, orders_run_tables, seller_stats_maintained,
-        orders_out_of_order, orders_pending, orders_stream,
+        orders_out_of_order, orders_replayed, orders_pending, orders_stream,
     )
 }

@@ -141,4 +141,13 @@ ETL_STATE = """
 
 QUARANTINE = "source STRING, record_id STRING, reason STRING, raw_json STRING"
 
+#: Rejected documents of which no later copy was loaded; see ``operators.quarantine``.
+QUARANTINE_OPEN = """
+    entry STRING, record_id STRING, reason STRING, raw_json STRING, n_attempts BIGINT,
+    opened_by STRING,
+    arrived STRUCT<time: TIMESTAMP, file: STRING, offset: BIGINT, row: BIGINT>
+"""
+
+QUARANTINE_CLOSED = "entry STRING, n_attempts BIGINT, opened_by STRING, closed_by STRING"
+
 RUN_OUTCOMES = "run_id STRING, seller_id BIGINT, n_loaded BIGINT, success BOOLEAN"
