@@ -1,0 +1,100 @@
+"""Free JSON of orders as VARIANT columns."""
+
+import json
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from documents import land, order
+from tradewind.operators import order_json
+from tradewind.operators.orders import flatten_orders
+
+TEXTS = [
+    '["paid","not_delivered"]', '[]', '{"a":{"b":1.5},"c":[1,null]}', '"x"', "true", "17", '{"é":"ñ \\" q"}', "null",
+]
+
+
+def parsed(spark, records):
+    given = spark.createDataFrame(
+        [(str(n), 5, *r) for n, r in enumerate(records)],
+        "id string, seller_id bigint, tags string, feedback_data string, context_data string",
+    )
+    return order_json.order_json(given)
+
+
+def test_text_is_the_same_after_a_round_trip(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    parsed(spark, [(t, t, t) for t in TEXTS]).write.parquet(path)
+    found = spark.read.parquet(path)
+    again = rows(found, "order_id", F.to_json("tags"), F.to_json("feedback"), F.to_json("context"))
+    assert again == [(str(n), t, t, t) for n, t in enumerate(TEXTS)]
+    assert rows(found.filter(F.size("unparsed") > 0)) == []
+
+
+def test_values_stay_where_the_form_does_not(spark):
+    text = '{ "z": 1.50, "b": [ 1 ] }'
+    (again,) = parsed(spark, [(text, None, None)]).select(F.to_json("tags")).first()
+    assert again != text and json.loads(again) == json.loads(text)
+
+
+@pytest.mark.parametrize("bad", ["nope", "", '{"a":1', '{"a":1,"a":2}', "[1,]"])
+def test_unparsed_text_is_told_from_null(spark, bad):
+    found = parsed(spark, [(bad, None, "{}"), (None, "{}", bad), ("null", None, None)])
+    assert rows(found, "order_id", "unparsed") == [("0", ["tags"]), ("1", ["context"]), ("2", [])]
+    assert rows(found.filter("tags is null"), "order_id") == [("0",), ("1",)]
+
+
+def test_fields_have_types(spark):
+    context = '{"flows":["b2b"],"score":{"n":"12","value":1.25}}'
+    found = order_json.with_fields(
+        parsed(spark, [(None, None, context), (None, None, "[]"), (None, None, None)]), "context",
+        {
+            "flow": ("$.flows[0]", "string"), "n": ("$.score.n", "int"),
+            "value": ("$.score.value", "decimal(10,2)"), "wrong": ("$.flows", "int"),
+            "none": ("$.nothing", "string"),
+        },
+    )
+    first, *others = rows(found, "flow", "n", F.col("value").cast("string"), "wrong", "none")
+    assert ("b2b", 12, "1.25", None, None) in [first, *others]
+    assert [first, *others].count((None,) * 5) == 2
+
+
+def test_tags(spark):
+    found = parsed(
+        spark,
+        [
+            ('["a","b","a"]', None, None), ('["a",null,7,{"k":1}]', None, None),
+            ('"a"', None, None), ("[]", None, None), (None, None, None), ("nope", None, None),
+        ],
+    )
+    assert rows(order_json.order_tags(found), "order_id", "tag") == [
+        ("0", "a"), ("0", "b"), ("1", "7"), ("1", "a"), ("1", '{"k":1}'),
+    ]
+    assert rows(order_json.tag_counts(found), "tag", "n_orders") == [
+        ("7", 1), ("a", 2), ("b", 1), ('{"k":1}', 1),
+    ]
+    assert rows(order_json.tag_counts(found.limit(0))) == []
+
+
+def test_landed_documents(spark, tmp_path):
+    """The landing keeps free JSON as text, objects of any form too; it is parsed from the flat orders."""
+    landed = land(
+        spark, tmp_path / "landing",
+        [order("1", tags=["paid"], context={"site": "MLB", "flows": []}), order("2")],
+    )
+    found = order_json.with_fields(
+        order_json.order_json(flatten_orders(landed)), "context", {"site": ("$.site", "string")}
+    )
+    assert rows(found, "order_id", "site") == [("1", "MLB"), ("2", None)]
+    assert rows(order_json.order_tags(found), "order_id", "seller_id", "tag") == [("1", 5, "paid")]
+
+
+def test_other_names(spark):
+    """Any text column can be parsed, in place too, and other columns stay."""
+    given = spark.createDataFrame([("{}", 1), ("x", 2)], "attributes string, n int")
+    found = order_json.with_variants(given, {"attributes": "attributes"})
+    assert rows(found, "n", F.to_json("attributes"), "unparsed") == [
+        (1, "{}", []), (2, None, ["attributes"]),
+    ]

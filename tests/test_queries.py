@@ -20,7 +20,7 @@ TABLES = (
 ).split()
 STORED = (
     "items_run", "items_run_tables", "orders_run", "orders_run_tables", "seller_stats_maintained",
-    "category_sellers_maintained", "orders_out_of_order", "orders_replayed", "orders_pending", "orders_stream", "item_search_indexed", "item_pages",
+    "category_sellers_maintained", "orders_out_of_order", "orders_replayed", "orders_pending", "orders_stream", "item_search_indexed", "item_pages", "orders_json",
 )
 # These end in one total, summed up from one partial sum per task.
 TOTALS = ("seller_run_summary", "market_shares")

@@ -312,6 +312,13 @@ ORACLES = {
     "seller_run_summary": f"""
         SELECT count(*) FILTER (success) AS successful, count(*) AS total FROM ({OUTCOMES})""",
     "orders_flat": f"SELECT {ORDER_COLUMNS} FROM ({_orders()})",
+    "orders_json": f"""
+        SELECT id AS order_id, c_mktsegment AS segment, status_detail AS first_tag, 0 AS n_unparsed,
+          tags AS tags_text, feedback_data AS feedback_text, context_data AS context_text
+        FROM ({_orders()}) JOIN customer ON c_custkey = custkey""",
+    "order_tag_counts": f"""
+        SELECT seller_id, status_detail AS tag, count(*) AS n_orders
+        FROM ({_orders()}) GROUP BY seller_id, status_detail""",
     "order_items_flat": _lines(_orders()),
     "payments_flat": _payments(_orders()),
     "orders_date_range": f"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.functions import get_attr
-from tradewind.operators import insights, items, orders, reports, rollup, upsert
+from tradewind.operators import insights, items, order_json, orders, reports, rollup, upsert
 from tradewind.operators.current import one_per_key
 from tradewind.plans import listing_index
 from tradewind.plans.items_run import run_items
@@ -212,6 +212,23 @@ def orders_flat(spark, sf):
     return orders.flatten_orders(td.raw_orders(spark, sf))
 
 
+def orders_json(spark, sf):
+    """Fields of the free JSON of orders, from VARIANT columns that were stored, and its text again."""
+    stored = f"{_new_folder(spark)}/order_json"
+    order_json.order_json(orders_flat(spark, sf)).write.parquet(stored)
+    parsed = spark.read.parquet(stored)
+    parsed = order_json.with_fields(parsed, "context", {"segment": ("$.segment", "string")})
+    parsed = order_json.with_fields(parsed, "tags", {"first_tag": ("$[0]", "string")})
+    return parsed.select(
+        "order_id", "segment", "first_tag", F.size("unparsed").alias("n_unparsed"),
+        *[F.to_json(c).alias(f"{c}_text") for c in order_json.FIELDS],
+    )
+
+
+def order_tag_counts(spark, sf):
+    return order_json.tag_counts(order_json.order_json(orders_flat(spark, sf)))
+
+
 def order_items_flat(spark, sf):
     return orders.flatten_order_items(td.raw_orders(spark, sf)).drop("id")
 
@@ -678,7 +695,7 @@ QUERIES = {
         user_lookup, category_trends, price_quarantine,
         sellers_of_category, sellers_quick10, category_seller_counts, seller_outcomes,
         seller_run_summary,
-        orders_flat, order_items_flat, payments_flat, orders_date_range, orders_of_seller,
+        orders_flat, orders_json, order_tag_counts, order_items_flat, payments_flat, orders_date_range, orders_of_seller,
         orders_new_only, orders_quarantine, orders_unreadable, orders_accepted, payment_conflicts,
         last_two_orders, last_order_documents, orders_by_status, orders_date_span, seller_stats,
         seller_stats_json, order_details, order_lines,
