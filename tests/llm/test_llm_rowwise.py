@@ -6,7 +6,9 @@ import random
 import re
 import textwrap
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -93,6 +95,55 @@ def test_quality_stage_keeps_clean_documents(spark, text):
     assert out.text == text
 
 
+def odd_text(rng):
+    """Lines that are wrapped, in other scripts, notices, menus and odd ends, in any order."""
+    filler = WRAPPED.replace("\n", " ").split(" ")
+    out = []
+    for _ in range(rng.randrange(1, 9)):
+        k = rng.randrange(len(filler) - 20)
+        sentence = " ".join(filler[k : k + rng.randrange(3, 60)])
+        kind = rng.randrange(9)
+        if kind < 3:
+            phrase = rng.choice(["", " all rights reserved", " Privacy  Policy", " privacy policy", " Click here", "."])
+            out += textwrap.wrap(sentence + phrase + rng.choice(["", " " + sentence]), rng.choice([30, 45, 70, 110, 130]))
+        elif kind == 3:
+            out.append(rng.choice(["Home | News | Sport", "a|b", "x » y » z and more", "STOP!!!!! NOW", "### $$ a b", "<a> & <b>"]))
+        elif kind == 4:
+            out.append(rng.choice(["", " ", "\f", "\t \v", "\r", "\u2028"]))
+        elif kind == 5:
+            out.append(rng.choice(["यह एक पुराना गाँव है जहाँ लोग", "นี่คือ หมู่บ้าน เก่า ที่ ผู้คน อาศัย", "ນີ້ ແມ່ນ ບ້ານ ເກົ່າ ທີ່ ຄົນ", "ที่ ก ข ค ง long latin words here", "日 本 語 の 文 章", "İstanbul ſ K privacy policy"]))
+        elif kind == 6:
+            out += ["the same word " * 12, "next words are here in this line and go on"]
+        else:
+            out.append(sentence + rng.choice([".", ".)", "?”  ", "!\r", ".\u2028", "\u0085", " ।", "  ", "։"]))
+    return "\n".join(out)
+
+
+def test_quality_equals_sql(spark):
+    """The SQL states the rules that run, also where texts are wrapped, of other scripts or notices."""
+    rng = random.Random(11)
+    given = rows() + [(1000 + k, odd_text(rng), "en", "s") for k in range(1500)]
+    given = list({r[0]: r for r in given}.values())
+    found = quality_rules.judge(documents(spark, given)).toPandas()
+    connection = duckdb.connect()
+    documents_table = pa.table({"doc_id": [r[0] for r in given], "text": pa.array([r[1] for r in given], pa.string())})
+    connection.register("documents", documents_table)
+    answer = connection.execute(quality_rules.ORACLE)
+    names = [c[0] for c in answer.description]
+    expected = sorted(answer.fetchall())
+    assert sorted(tuple(r) for r in found[names].itertuples(index=False)) == expected
+    lost = [r[names.index("n_lost_chars")] for r in expected]
+    assert sum(x > 0 for x in lost) > 200 and sum(x == 0 for x in lost) > 200
+
+
+def test_quality_line_verdicts(spark):
+    """A line of a wrapped notice that names no phrase stays; the one that does goes."""
+    notice = "The text and all of the pictures in this small volume belong to its\nauthors, all rights reserved by them, see the privacy policy for it."
+    text = WRAPPED + "\n\n" + notice
+    (out,) = quality_rules.stage(spark, documents(spark, [(1, text, "en", "s")]), None).collect()
+    assert out.text == WRAPPED + "\n\n" + notice.split("\n")[0]
+
+
 def test_quality_stage_still_removes_lines_beside_wrapped_ones(spark):
     junk = "a line of many words without any sentence mark"
     notice = "This work is licensed under the GNU General Public License, version 3."

@@ -4,9 +4,10 @@ Each line of a text is held against three kinds of rules: punctuation, navigatio
 boilerplate. Lines that fail go, and a document that loses too much of its text, or fails the
 base rules (too few words, too many repeated words), is rejected.
 
-Lines that a hard wrap has broken inside a sentence are one paragraph, and the sentence marks and
-phrases are looked for in all of it. Scripts that have no sentence marks need none, and a phrase fails a
-paragraph only if phrases make up an eighth of it.
+Every line has a verdict of its own. Lines that a hard wrap has broken inside a sentence are joined to a
+paragraph only to acquit them: a line fails for want of a sentence mark only if its paragraph has none either,
+and for phrases, which must make up an eighth of it, only if they also make up an eighth of its
+paragraph. Lines in scripts that have no sentence marks need none. ``ORACLE`` states the same in SQL.
 
 Defined results: a null text has no words and no lines, is rejected, and its cleaned text is
 null; an empty text is rejected and stays empty. Repeated rows are judged one by one, and an empty
@@ -57,7 +58,7 @@ UNMARKED_LETTER = r"[\p{L}&&[\p{IsThai}\p{IsLao}\p{IsTai_Le}\p{IsNew_Tai_Lue}\p{
 BOILERPLATE_SHARE = 8
 #: Lengths of lines that a hard wrap makes.
 LEAST_WRAPPED, MOST_WRAPPED = 40, 120
-ENDS = rf"[{SENTENCE_MARK[1:-1]}{OTHER_MARKS}][\"'”’»)\]]*\s*$"
+ENDS = rf"[{SENTENCE_MARK[1:-1]}{OTHER_MARKS}][\"'”’»)\]]*[\x20\x09-\x0D]*\z"
 #: Between paragraphs; no line that is part of a longer one is blank.
 APART = "\n\f\n"
 
@@ -79,15 +80,20 @@ def _is_junk(line: Column, n_words: Column) -> Column:
 
 
 def _is_unmarked(text: Column) -> Column:
-    """Whether a text lacks the sentence marks that its script has; most have one of the first few."""
+    """Whether a text has no sentence mark; most have one of the first few."""
+    return ~text.rlike(SENTENCE_MARK) & ~text.rlike(OTHER_MARK)
+
+
+def _needs_marks(text: Column) -> Column:
+    """Whether at least half of the letters are of scripts that have sentence marks."""
     without = F.regexp_count(text, F.lit(UNMARKED_LETTER))
-    return ~text.rlike(SENTENCE_MARK) & ~text.rlike(OTHER_MARK) & (without * 2 <= F.regexp_count(text, F.lit(r"\p{L}")))
+    return without * 2 <= F.regexp_count(text, F.lit(r"\p{L}"))
 
 
 def _is_boilerplate(text: Column) -> Column:
     lowered = F.lower(text)
     phrases = F.length(lowered) - F.length(F.regexp_replace(lowered, BOILERPLATE_PATTERN, ""))
-    return lowered.rlike(BOILERPLATE_PATTERN) & (phrases * BOILERPLATE_SHARE >= F.length(lowered))
+    return lowered.rlike(BOILERPLATE_PATTERN) & (phrases * BOILERPLATE_SHARE >= F.length(text))
 
 
 def _n_words(line: Column) -> Column:
@@ -99,7 +105,7 @@ def line_fails(line: Column) -> Column:
     n_words = _n_words(line)
     return (
         _is_junk(line, n_words)
-        | (~line.rlike(SENTENCE_MARK) & (n_words >= 5) & _is_unmarked(line))
+        | (~line.rlike(SENTENCE_MARK) & (n_words >= 5) & _is_unmarked(line) & _needs_marks(line))
         | _is_boilerplate(line)
     )
 
@@ -155,13 +161,15 @@ def clean_lines(lines: Column) -> Column:
             return F.filter(
                 F.split(paragraph, "\n", -1),
                 lambda x: ~(
-                    _is_junk(x, _n_words(x)) | ((_n_words(x) >= 5) & v["unmarked"]) | v["boilerplate"]
+                    _is_junk(x, _n_words(x))
+                    | (v["unmarked"] & (_n_words(x) >= 5) & _needs_marks(x))
+                    | (v["boilerplate"] & _is_boilerplate(x))
                 ),
             )
 
         return let(verdict, left)
 
-    # Where all lines pass by themselves, so do their paragraphs.
+    # Paragraphs only acquit lines, so where all pass by themselves none are needed.
     return F.when(
         F.exists(lines, line_fails), F.flatten(F.transform(paragraphs(lines), passing))
     ).otherwise(lines)
@@ -284,6 +292,16 @@ def stage(spark, docs, sf_dir):
     )
 
 
+def _notice_sql(text: str) -> str:
+    left = f"regexp_replace(lower({text}), '{BOILERPLATE_PATTERN}', '', 'g')"
+    return (
+        f"(regexp_matches(lower({text}), '{BOILERPLATE_PATTERN}')"
+        f" AND (len(lower({text})) - len({left})) * {BOILERPLATE_SHARE} >= len({text}))"
+    )
+
+
+ENDS_SQL = ENDS.replace("'", "''")
+UNMARKED_SCRIPTS_SQL = r"\p{Thai}\p{Lao}\p{Tai_Le}\p{New_Tai_Lue}\p{Tai_Viet}"
 ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}') AS ws FROM documents
@@ -295,16 +313,40 @@ WITH d AS (
 ), covered AS (
   SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM again, range(0, {WINDOW}) AS r(j) GROUP BY doc_id
 ), lines AS (
-  SELECT doc_id, line, len(regexp_extract_all(line, '{WORD_PATTERN}')) AS n,
+  SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
+), figures AS (
+  SELECT *, regexp_extract_all(line, '{WORD_PATTERN}') AS words, len(words) AS n,
+    len(rtrim(line, ' ')) AS long,
     len(line) - len(translate(line, '{NAVIGATION_MARKS}', '')) AS marks,
     len(line) - len(translate(line, '{SYMBOLS}', '')) AS symbols,
-    len(line) - len(replace(line, '!', '')) AS shouts
-  FROM d, unnest(string_split(text, chr(10))) AS t(line)
-), judged AS (
-  SELECT *, (marks >= 2 AND marks * 4 >= n) OR (symbols >= 5 AND symbols * 2 >= n)
-    OR (shouts >= 5 AND shouts * 2 >= n) OR (n >= 5 AND NOT regexp_matches(line, '{SENTENCE_MARK}'))
-    OR regexp_matches(lower(line), '{BOILERPLATE_PATTERN}') AS fails
+    len(line) - len(replace(line, '!', '')) AS shouts,
+    (marks >= 2 AND marks * 4 >= n) OR (symbols >= 5 AND symbols * 2 >= n)
+      OR (shouts >= 5 AND shouts * 2 >= n) AS junk,
+    NOT junk AND len(list_distinct(words)) * 2 >= n AS prose
   FROM lines
+), neighbours AS (
+  SELECT *, lead(long) OVER w AS after, lag(long) OVER w AS before, lead(prose) OVER w AS prose_after,
+    lead(len(words[1])) OVER w AS first
+  FROM figures WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), wrapped AS (
+  SELECT *, coalesce(
+    long BETWEEN {LEAST_WRAPPED} AND {MOST_WRAPPED} AND after <= {MOST_WRAPPED} AND first > 0
+    AND long + 1 + first > greatest(long, after, CASE WHEN before <= {MOST_WRAPPED} THEN before END)
+    AND NOT regexp_matches(line, '{ENDS_SQL}') AND prose AND prose_after, false) AS goes_on
+  FROM neighbours
+), numbered AS (
+  SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) - (NOT goes_on)::INT AS paragraph
+  FROM wrapped
+), paragraphs AS (
+  SELECT doc_id, paragraph, string_agg(line, chr(10) ORDER BY i) AS whole FROM numbered GROUP BY doc_id, paragraph
+), judged AS (
+  SELECT doc_id, line, n, junk
+    OR (n >= 5 AND NOT regexp_matches(whole, '{SENTENCE_MARK}') AND NOT regexp_matches(whole, '{OTHER_MARK}')
+      AND 2 * len(regexp_replace(regexp_replace(line, '[^{UNMARKED_SCRIPTS_SQL}]', '', 'g'), '\P{{L}}', '', 'g'))
+        <= len(regexp_replace(line, '\P{{L}}', '', 'g')))
+    OR ({_notice_sql('line')} AND {_notice_sql('whole')}) AS fails
+  FROM numbered JOIN paragraphs USING (doc_id, paragraph)
 ), by_line AS (
   SELECT doc_id, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines,
     coalesce(sum(len(line)) FILTER (NOT fails) + count(*) FILTER (NOT fails) - 1, 0) AS left_chars
