@@ -41,3 +41,24 @@ def test_shuffle_partitions():
     assert shuffle_partitions(0) == 8
     assert shuffle_partitions(1 << 40) == 8192
     assert shuffle_partitions(100 << 40) == 100_000
+
+
+def test_staged_texts_are_not_taken_for_small(spark, tmp_path):
+    """A file of a few hundred KB with documents of 40 MB: no hash table of them is made on the driver."""
+    from pyspark.sql import functions as F
+
+    from conftest import plan
+    from tradewind.plans.staging import FACTOR, staging
+
+    before = spark.conf.get(FACTOR)
+    text = F.concat(F.repeat(F.lit('{"status":"approved"},'), 90), F.col("id").cast("string"))
+    rows = spark.range(20000).select("id", text.alias("text"))
+    rows.write.parquet(str(tmp_path / "stored"))
+    with staging(spark) as stage:
+        staged = stage.put("texts", rows)
+        joined = spark.read.parquet(str(tmp_path / "stored")).select("id").join(staged, "id")
+        few = stage.put("few", spark.range(3).toDF("id"))
+        assert "BroadcastHashJoin" not in plan(joined)
+        assert joined.count() == 20000
+        assert "BroadcastHashJoin" in plan(staged.join(few, "id"))
+    assert spark.conf.get(FACTOR) == before
