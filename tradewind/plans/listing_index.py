@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -122,6 +122,23 @@ class ListingIndex:
                 return
             after = last
 
+    def numbered_pages(self, limit: int, where: Column | None = None) -> DataFrame:
+        """The listings of all pages that ``pages`` would give, with the number of the ``page``, from 0.
+
+        In one pass over the ranges however many pages there are: what meets the condition is counted in each
+        range, and of the ranges before only these counts are added up.
+        """
+        met = self.listings if where is None else self.listings.filter(where)
+        # One row for each range.
+        ahead = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        before = met.groupBy(RANGE).agg(F.count("*").alias("_n")).select(
+            RANGE, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")
+        )
+        place = F.row_number().over(Window.partitionBy(RANGE).orderBy("id")) - 1
+        placed = met.withColumn("_place", place).join(before, RANGE)
+        page = F.floor((F.col("_before") + F.col("_place")) / limit).cast("int")
+        return placed.withColumn("page", page).drop(RANGE, "_place", "_before")
+
     def _ranges_behind(self, after: str | None, rows: int | None, least: int = AHEAD) -> list[int]:
         """Numbers of the ranges that hold so many rows behind the cursor, or of some at least."""
         behind = self.ranges if after is None else self.ranges.filter(F.col("last") > after)
