@@ -53,3 +53,18 @@ def test_parquet_files_can_be_followed(spark, store, tmp_path):
     run_orders_stream(store, path, str(tmp_path / "cp"), "s", "2024-06-01", fmt="parquet")
     assert rows(store.read("order_items"), "order_id") == [("1",), ("1",)]
     assert rows(store.read("quarantine"), "record_id", "reason") == [("2", "no valid date_created")]
+
+
+def test_landings_of_texts_are_packed(spark, tmp_path):
+    """As plain text the order documents took some 25 times the tables; packed files stay small, and are several."""
+    import os
+
+    from tradewind.sources import testdata as td
+
+    texts, folder = td.order_texts(spark, "/root/testdata/sf0.001"), str(tmp_path / "texts")
+    td.land(texts, folder, "text", file_rows=100)
+    files = [n for n in os.listdir(folder) if n.startswith("part-")]
+    assert len(files) >= 8 and all(n.endswith(".gz") for n in files)
+    expected = sorted(r.value for r in texts.collect())
+    assert sum(os.path.getsize(f"{folder}/{n}") for n in files) < sum(map(len, expected)) / 5
+    assert sorted(r.value for r in spark.read.text(folder).collect()) == expected

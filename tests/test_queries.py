@@ -85,3 +85,8 @@ def test_entry_without_an_optional_library(tmp_path):
         capture_output=True, text=True, timeout=120,
     )
     assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
+
+
+def test_documents_are_only_made_of_the_newest_orders(spark):
+    text = plan(QUERIES["last_order_documents"](spark, SF))
+    assert "LeftSemi" in text

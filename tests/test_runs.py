@@ -593,3 +593,19 @@ def test_arrival_order_follows_file_time_then_place(spark, tmp_path):
     raw = with_arrival(read_landing(spark, str(tmp_path / "in"), schemas.RAW_ORDER))
     assert [r.id for r in raw.orderBy(ARRIVAL).collect()] == ["1", "2", "3", "4"]
     assert orders_in_range(raw, "2025-01-01").isEmpty()
+
+
+def test_documents_to_load_and_to_reject_are_parted_in_one_join(spark, store, tmp_path, monkeypatch):
+    """The documents meet the dropped rows once; those that are rejected then are only filtered."""
+    from tradewind.plans.staging import Stage
+
+    put, staged = Stage.put, {}
+    monkeypatch.setattr(Stage, "put", lambda self, name, df: staged.setdefault(name, plan(df)) and put(self, name, df))
+    documents = [order(1, payments=[payment("p")]), order(2, payments=[payment("p")]), order(3), order(3), order(4, status=None)]
+    raw = ordered(spark, tmp_path, documents, schemas.RAW_ORDER, "r")
+    assert run_orders(store, raw, "r", RUN_1, "ord")
+    assert "Join" in staged["rest"] and "Join" not in staged["rejected"]
+    assert rows(store.read("orders"), "id") == [("3",)]
+    assert rows(store.read("quarantine"), "record_id", "reason") == [
+        ("1", "payment id is not unique"), ("2", "payment id is not unique"), ("4", "no status")
+    ]
