@@ -37,7 +37,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tradewind.llm.common import quoted, table
+from tradewind.llm.common import giving_back, quoted, table
 
 INFINITE = 1 << 62
 #: Pieces whose encodings a Python worker keeps, and as many that were used before them.
@@ -288,6 +288,7 @@ def _run(docs: DataFrame, text: str, path: str, pattern: str, fields: dict, make
         *[quoted(c).alias(n) for c, n in zip(docs.columns, names, strict=True)],
     )
 
+    @giving_back
     def run(batches):
         encoder = _encoder(key, ranks, pattern)
         for batch in _pieces_of(batches):

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Scratch, quoted, table
+from tradewind.llm.common import Scratch, giving_back, quoted, table
 from tradewind.llm.components import components
 from tradewind.llm.textscan import (
     REMEMBERED, REPEATS_SCHEMA, Scan, combine_repeats, mix, parts, word_windows,
@@ -106,6 +106,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
 
 
+@giving_back
 def _sign(batches: Iterator[pa.RecordBatch]):
     for part in parts(batches, 1):
         sets = shingle_sets(part.column(1))
@@ -120,6 +121,7 @@ def _sign(batches: Iterator[pa.RecordBatch]):
         )
 
 
+@giving_back
 def _bands(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         node, signatures = batch.column(0), _matrix(batch.column(1), np.uint16)
@@ -194,6 +196,7 @@ def _connect(least: list[int]):
                 break
         return alive
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]):
         nodes, roots = [], []
         for unit in _units(batches, ("key", "low", "high")):
@@ -236,6 +239,7 @@ def _pairs(a, b):
     )
 
 
+@giving_back
 def _shingle(batches: Iterator[pa.RecordBatch]):
     """Rows of members with their shingles, where the text is the class's own.
 
@@ -285,6 +289,7 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 def _verify(min_jaccard: float):
     """(node, links, root) of the members of each cluster."""
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]):
         for unit in _units(batches, ("cluster", "low", "high")):
             # A class that several tasks have sent.
@@ -384,7 +389,7 @@ def jaccard_join(
     once = given.where("id is not null and text is not null").select(
         F.xxhash64("id", "text").alias("hash"), "id", "text"
     )
-    once = once.mapInArrow(combine_repeats, REPEATS_SCHEMA).where("text is not null")
+    once = once.mapInArrow(giving_back(combine_repeats), REPEATS_SCHEMA).where("text is not null")
     once = once.select("id", "text")
     # Sorted and merged at every size, so that the cost grows evenly with the input.
     texts = once.hint("merge").join(members, once["id"] == members["node"]).select(

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.anchors import Anchors
-from tradewind.llm.common import Scratch, fresh, quoted, table
+from tradewind.llm.common import Scratch, fresh, give_back, giving_back, quoted, table
 from tradewind.llm.textscan import Scan, mix, parts
 
 SIZE = 50
@@ -85,6 +85,7 @@ def _sent(names: list[str], keys: list[np.ndarray], doc, place, covered) -> pa.R
     )
 
 
+@giving_back
 def _anchor_rows(batches: Iterator[pa.RecordBatch]):
     """Anchors with both ranks; those covered by a smaller document of the same scan are marked."""
     for part in parts(batches, 1, COMBINED_BYTES):
@@ -132,6 +133,7 @@ def _spans(is_open: bool, doc, first, last) -> pa.RecordBatch:
     return _batch(SPAN_NAMES, [np.full(len(doc), is_open), doc, first, last])
 
 
+@giving_back
 def _settle(batches: Iterator[pa.RecordBatch]):
     """Covered spans, and open ranges: the begins of strings whose ranks are neither unique nor settled."""
 
@@ -179,6 +181,7 @@ def _settle(batches: Iterator[pa.RecordBatch]):
         yield spans(True, doc[still], place[still])
 
 
+@giving_back
 def _merge(batches: Iterator[pa.RecordBatch]):
     """One row (doc, runs) per document: its spans, sorted by begin, united where they touch."""
 
@@ -225,6 +228,7 @@ def runs_by_doc(spans: DataFrame) -> DataFrame:
     return sorted_spans.mapInArrow(_merge, "doc bigint, runs binary")
 
 
+@giving_back
 def _open_bytes(batches: Iterator[pa.RecordBatch]):
     """(doc, runs, bytes): of each text only the strings that begin in its ranges, range by range."""
     for batch in batches:
@@ -239,6 +243,7 @@ def _open_bytes(batches: Iterator[pa.RecordBatch]):
         yield pa.RecordBatch.from_arrays(columns, names=["doc", "runs", "bytes"])
 
 
+@giving_back
 def _pair_rows(batches: Iterator[pa.RecordBatch]):
     """(a, b, doc, at): the ranks of both halves of every string that begins in a document's ranges."""
     for part in parts(batches, 2):
@@ -263,6 +268,7 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]):
             yield _sent(PAIR_NAMES, [r[s] for r in ranks], doc[s], at[s], covered[s])
 
 
+@giving_back
 def _cover(batches: Iterator[pa.RecordBatch]):
     least_of = _Least()
     for batch in batches:
@@ -316,6 +322,7 @@ def cut(data: bytes, runs: bytes | None) -> tuple[bytes, int, int]:
     return b"".join(kept), gone, n
 
 
+@giving_back
 def _digest(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         rows = []
@@ -358,7 +365,9 @@ def remove_covered(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     @F.pandas_udf("string")
     def without(texts: pd.Series, packed: pd.Series) -> pd.Series:
         pairs = zip(texts, packed, strict=True)
-        return pd.Series([cut(t.encode(), r)[0].decode("utf-8", "ignore") for t, r in pairs])
+        left = pd.Series([cut(t.encode(), r)[0].decode("utf-8", "ignore") for t, r in pairs])
+        give_back()
+        return left
 
     joined = docs.hint("merge").join(found, quoted(id_col).cast("bigint") == F.col(doc), "left")
     texts = F.coalesce(quoted(text), F.lit(""))
