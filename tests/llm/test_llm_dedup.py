@@ -6,6 +6,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from messy import documents, empty, prose, rows
 
@@ -318,6 +320,30 @@ def test_suffixes(spark, monkeypatch, tmp_path, scan):
     assert sorted(map(tuple, got.collect()), key=str) == brute_bytes(given)
 
 
+def test_anchors_with_other_sides_go_no_further():
+    """Of strings around 20 common bytes only those are open that have a side in common with another document's."""
+    rng, n = np.random.default_rng(5), 40
+
+    def some(size):
+        return bytes(rng.integers(33, 127, size, dtype=np.uint8))
+
+    grams, longer = [some(30) for _ in range(n)], [some(49) for _ in range(n)]
+
+    def texts(common):
+        return [b"".join(some(80) + c + some(80) for c in common).decode("ascii") for _ in range(2)]
+
+    def opened(given):
+        batch = pa.record_batch([pa.array([1, 2]), pa.array(given)], names=["doc", "text"])
+        found = pa.Table.from_batches(suffix_dedup._anchor_rows(iter([batch])))
+        found = found.sort_by([(c, "ascending") for c in ("key", "context", "doc")])
+        found = pa.Table.from_batches(suffix_dedup._settle(iter(found.combine_chunks().to_batches())))
+        return pc.sum(pc.cast(found["open"], pa.int64())).as_py() or 0
+
+    # What the last key has stays open, as the next batch may have it too.
+    assert opened(texts(grams)) <= 2
+    assert opened(texts(longer)) >= n
+
+
 @pytest.mark.parametrize("bits", [6, 7, 10])
 def test_anchors_of_texts_longer_than_a_slice(monkeypatch, bits):
     rng = np.random.default_rng(bits)

@@ -14,7 +14,9 @@ are ranked (see ``anchors``): every 50-byte string names one, so equal strings a
    same strings around them: all but the smallest document's are covered.
 2. Where the 20 bytes agree but what is around differs, ranks are doubled: each string of 50 bytes gets
    the pair of the ranks of its halves, at offsets 0 and 25. Spark sorts these by the pair and
-   document; past the threshold, all but the smallest document of each pair are covered.
+   document; past the threshold, all but the smallest document of each pair are covered. A string reaches 15
+   bytes to the left of its anchor or 16 to the right. An anchor carries a few bits of a hash of either side, and
+   the strings of a side on which no other document agrees go no further.
 3. The covered spans are joined to their documents, merged and cut out.
 
 Within a map task equal rows are combined before either shuffle, so that a passage which many documents
@@ -51,8 +53,12 @@ HALF = SIZE // 2
 GRAM = 20
 #: Text whose anchors are combined before the shuffle.
 COMBINED_BYTES = 3 << 19
-#: An anchor's first string and how many follow, in one number.
-FOLLOW_BITS = 6
+#: In one number: an anchor's first string, how many follow, and where in the first string the anchor is.
+FOLLOW_BITS, OFFSET_BITS = 6, 5
+#: The last bits of an anchor's key are hashes of its two sides; only the others say where it is sent.
+SIDE_BITS = 10
+#: Strings that begin so far before their anchor have its left side in common, others its right side.
+REACH = (SIZE - GRAM) // 2
 ANCHOR_SCHEMA = "key bigint, context bigint, doc bigint, place bigint"
 NAMES = ["key", "context", "doc", "place"]
 PAIR_NAMES = ["a", "b", "doc", "at"]
@@ -72,7 +78,12 @@ def _combined(keys: list[np.ndarray], doc: np.ndarray, place: np.ndarray):
 
 
 def _sent(names: list[str], keys: list[np.ndarray], doc, place, covered) -> pa.RecordBatch:
-    """Rows for the shuffle. Covered ones have no second key, and a first one that spreads them."""
+    """Rows for the shuffle. Covered ones have no second key, and a first one that spreads them.
+
+    In order of their documents, which are then packed better than in that of their hashes.
+    """
+    order = np.lexsort((place, doc))
+    keys, doc, place, covered = [k[order] for k in keys], doc[order], place[order], covered[order]
     first = np.where(covered, mix(doc.astype(np.uint64)), keys[0])
     return pa.RecordBatch.from_arrays(
         [
@@ -85,6 +96,56 @@ def _sent(names: list[str], keys: list[np.ndarray], doc, place, covered) -> pa.R
     )
 
 
+def _low(x: np.ndarray, bits: int) -> np.ndarray:
+    return x & ((1 << bits) - 1)
+
+
+def _sides(scan: Scan, found: Anchors) -> np.ndarray:
+    """Hashes of both sides of anchors; a side that none of its strings reaches has none."""
+    begin = np.where(found.place - found.first >= REACH, found.place - REACH, found.place)
+    reach = np.where(found.place - found.last < REACH, SIZE - REACH + 1, 0)
+    left = mix(scan.hashes(begin, found.place + GRAM))
+    right = mix(scan.hashes(found.place, found.place + reach))
+    rest = np.uint64(64 - SIDE_BITS)
+    return ((left >> rest) << np.uint64(SIDE_BITS)) | (right >> rest)
+
+
+class _Strings:
+    """The strings of some anchors, from their places."""
+
+    def __init__(self, place: np.ndarray):
+        follow = place >> OFFSET_BITS
+        self.first = follow >> FOLLOW_BITS
+        self.last = self.first + _low(follow, FOLLOW_BITS)
+        #: The last string that has the left side.
+        self.middle = self.first + _low(place, OFFSET_BITS) - REACH
+
+
+def _agree(group: np.ndarray, side: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether another document of its group has the same side."""
+    if not len(doc):
+        return np.zeros(0, bool)
+    order = np.lexsort((doc, side, group))
+    new = _changes(group[order], side[order])
+    begins = np.flatnonzero(new)
+    ends = np.append(begins[1:], len(doc)) - 1
+    out = np.empty(len(doc), bool)
+    out[order] = (doc[order][ends] > doc[order][begins])[np.cumsum(new) - 1]
+    return out
+
+
+def _narrowed(group: np.ndarray, key: np.ndarray, doc: np.ndarray, place: np.ndarray):
+    """Document, first and last string of what is left open of anchors whose group is all here."""
+    s = _Strings(place)
+    left, right = s.first <= s.middle, s.last > s.middle
+    left[left] = _agree(group[left], _low(key[left] >> SIDE_BITS, SIDE_BITS), doc[left])
+    right[right] = _agree(group[right], _low(key[right], SIDE_BITS), doc[right])
+    first = np.where(left, s.first, np.maximum(s.first, s.middle + 1))
+    last = np.where(right, s.last, np.minimum(s.last, s.middle))
+    some = left | right
+    return doc[some], first[some], last[some]
+
+
 @giving_back
 def _anchor_rows(batches: Iterator[pa.RecordBatch]):
     """Anchors with both ranks; those covered by a smaller document of the same scan are marked."""
@@ -93,9 +154,12 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]):
         found = Anchors(len(scan.data), scan.offsets, scan.hashes, SIZE, GRAM)
         if len(found.key):
             doc = part.column(0).to_numpy()[found.text]
-            first = found.first - scan.offsets[found.text]
-            place = (first << FOLLOW_BITS) + (found.last - found.first)
-            yield _sent(NAMES, *_combined([found.key, found.context], doc, place))
+            place = found.first - scan.offsets[found.text]
+            place = (place << FOLLOW_BITS) + (found.last - found.first)
+            place = (place << OFFSET_BITS) + (found.place - found.first)
+            keep = np.uint64((1 << 64) - (1 << 2 * SIDE_BITS))
+            key = (found.key & keep) | _sides(scan, found)
+            yield _sent(NAMES, *_combined([key, found.context], doc, place))
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -138,9 +202,8 @@ def _settle(batches: Iterator[pa.RecordBatch]):
     """Covered spans, and open ranges: the begins of strings whose ranks are neither unique nor settled."""
 
     def spans(is_open: bool, doc, place):
-        first = place >> FOLLOW_BITS
-        last = first + (place & ((1 << FOLLOW_BITS) - 1))
-        return _spans(is_open, doc, first, last + (1 if is_open else SIZE))
+        of = _Strings(place)
+        return _spans(is_open, doc, of.first, of.last + (1 if is_open else SIZE))
 
     least_of = _Least()
     known, context_of, several_of, waiting = None, None, False, []
@@ -149,10 +212,12 @@ def _settle(batches: Iterator[pa.RecordBatch]):
         _, _, doc, place = _columns(batch.filter(is_span))
         if len(doc):
             yield spans(False, doc, place)
-        key, context, doc, place = _columns(batch.filter(pc.invert(is_span)))
-        if not len(key):
+        sided, context, doc, place = _columns(batch.filter(pc.invert(is_span)))
+        if not len(sided):
             continue
-        covered = doc > least_of(doc, key, context)
+        # Equal contexts have equal sides.
+        covered = doc > least_of(doc, sided, context)
+        key = sided >> 2 * SIDE_BITS
         # Open are keys that occur with several contexts.
         new = _changes(key)
         group, one = np.cumsum(new) - 1, context[new]
@@ -178,7 +243,13 @@ def _settle(batches: Iterator[pa.RecordBatch]):
         known, context_of, several_of = key[-1], one[-1], several[-1]
         yield spans(False, doc[covered], place[covered])
         still = several[group] & ~covered
-        yield spans(True, doc[still], place[still])
+        # Of keys that other batches have too, all is open.
+        partly = (group == group[-1]) | ((group == 0) & goes_on)
+        some = still & partly
+        yield spans(True, doc[some], place[some])
+        some = still & ~partly
+        open_doc, first, last = _narrowed(group[some], sided[some], doc[some], place[some])
+        yield _spans(True, open_doc, first, last + 1)
 
 
 @giving_back
@@ -263,9 +334,9 @@ def _pair_rows(batches: Iterator[pa.RecordBatch]):
         middle = begin + HALF
         ranks = [mix(scan.hashes(begin, middle)), mix(scan.hashes(middle, begin + SIZE))]
         ranks, doc, at, covered = _combined(ranks, np.concatenate(docs), np.concatenate(places))
+        sent = _sent(PAIR_NAMES, ranks, doc, at, covered)
         for start in range(0, len(doc), 100_000):
-            s = slice(start, start + 100_000)
-            yield _sent(PAIR_NAMES, [r[s] for r in ranks], doc[s], at[s], covered[s])
+            yield sent.slice(start, 100_000)
 
 
 @giving_back
@@ -288,7 +359,8 @@ def covered_runs(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     given = docs.select(quoted(id_col).cast("bigint").alias("doc"), quoted(text).alias("text"))
     given = given.where("doc is not null and text is not null")
     anchors = given.mapInArrow(_anchor_rows, ANCHOR_SCHEMA)
-    by_rank = anchors.repartition("key").sortWithinPartitions("key", "context", "doc")
+    group = F.shiftright("key", 2 * SIDE_BITS)
+    by_rank = anchors.repartition(group).sortWithinPartitions("key", "context", "doc")
     settled = scratch.put("settled", by_rank.mapInArrow(_settle, SPAN_SCHEMA))
     open_ranges = runs_by_doc(settled.where("open"))
     # Merged at every size, so that the cost grows evenly with the input. What is cut out of the
